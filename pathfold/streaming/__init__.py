@@ -1,0 +1,7 @@
+"""Streaming.
+
+The hit-log jobs this package rebuilds are batch jobs: they read a finished
+log for a closed date range and cut every client's whole history into paths.
+There is no streaming source, watermark or stateful operator to rebuild, so
+this package holds none (see README, "Not built").
+"""
