@@ -1 +1,4 @@
 """Sinks: CSV reports."""
+from .csv import write_csv
+
+__all__ = ["write_csv"]
