@@ -5,6 +5,8 @@ parameters and returns a lazy DataFrame; nothing is collected.
 """
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,8 +114,10 @@ def lookback_trim(hits: DataFrame, params: JobParams, variant: Variant = CANONIC
 
 
 def goal_counts(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
-    """Hits per normalised goal (a diagnostic of the canonical job)."""
-    return scope(hits, params, variant).groupBy("goal").agg(F.count("ClientID").alias("count"))
+    """Hits per normalised goal (a diagnostic of the canonical job); counted
+    before client selection, so a null client's hits form groups but add 0."""
+    every_client = dataclasses.replace(variant, keep_null_client=True)
+    return scope(hits, params, every_client).groupBy("goal").agg(F.count("ClientID").alias("count"))
 
 
 def conversion_counts(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
