@@ -58,12 +58,16 @@ def segment_filter(mode: str = "both", clients: str = "all", trim: bool = False)
 
 
 def _joined(items: Column, field: str) -> Column:
-    return F.array_join(F.transform(items, lambda x: x[field]), PATH_SEPARATOR)
+    # field of an array of structs -> array of that field (no lambda, so no
+    # interpreted higher-order function per element)
+    return F.array_join(items[field], PATH_SEPARATOR)
 
 
 def pieces(local: DataFrame) -> DataFrame:
     """Level 1: one row per (client, chunk, local_seg)."""
-    items = F.array_sort(F.collect_list(F.struct(
+    # sort_array orders structs by their first field with a natural-order
+    # comparator (array_sort without a comparator runs a lambda per comparison)
+    items = F.sort_array(F.collect_list(F.struct(
         F.col("local_rn"), F.col("channel"), F.col("HitTimeStamp").cast("string").alias("ts"))))
     return (local.groupBy("ClientID", "chunk", "local_seg")
             .agg(items.alias("items"), F.max("conv").alias("has_conv"), F.count(F.lit(1)).alias("n"))
@@ -85,7 +89,7 @@ def segments(scoped: DataFrame, chunk_ms: int, mode: str = "both", clients: str
         "seg", F.col("conv_before") + F.col("local_seg"))
     if cond is not None:
         joined = joined.filter(cond)
-    parts = F.array_sort(F.collect_list(F.struct("chunk", "path_piece", "timeline_piece")))
+    parts = F.sort_array(F.collect_list(F.struct("chunk", "path_piece", "timeline_piece")))
     return (joined.groupBy("ClientID", "seg")
             .agg(parts.alias("parts"), F.max("has_conv").alias("status"), F.sum("n").alias("n_touches"))
             .select("ClientID", "seg",

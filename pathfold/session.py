@@ -17,6 +17,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         # small local inputs: let AQE keep one partition per core instead of
+         # merging every shuffle into a single 1 MB task
+         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.driver.memory", os.environ.get("PATHFOLD_DRIVER_MEMORY", "8g")))
     for k, v in (extra or {}).items():
