@@ -4,6 +4,8 @@
     spark-submit pathfold/cli.py paths-v3 ... | paths-null ...
     spark-submit pathfold/cli.py pivot   ... (same options; output_path is a prefix)
     spark-submit pathfold/cli.py top     config.json
+
+Optional for paths / pivot: --single_file=true writes each report as one file.
 """
 from __future__ import annotations
 
@@ -24,13 +26,15 @@ def main(argv: list[str]) -> int:
         return 2
     spark = SparkSession.builder.appName("pathfold").getOrCreate()
     cmd, rest = argv[0], argv[1:]
+    options = parse_cli_options(rest) if cmd != "top" else {}
+    single = options.pop("single_file", "false").strip().lower() == "true"
     if cmd in COMMANDS:
         strict = cmd == "paths"
-        params = JobParams.from_options(parse_cli_options(rest), strict_dates=strict)
-        jobs.path_reports(spark, params, jobs.PATH_VARIANTS[COMMANDS[cmd]])
+        params = JobParams.from_options(options, strict_dates=strict)
+        jobs.path_reports(spark, params, jobs.PATH_VARIANTS[COMMANDS[cmd]], single_file=single)
     elif cmd == "pivot":
-        params = JobParams.from_options(parse_cli_options(rest), strict_dates=False)
-        jobs.pivot_report(spark, params)
+        params = JobParams.from_options(options, strict_dates=False)
+        jobs.pivot_report(spark, params, single_file=single)
     elif cmd == "top":
         params = read_config(spark, rest[0])
         jobs.top_paths_report(spark, params).show(truncate=False)

@@ -15,32 +15,38 @@ PATH_VARIANTS = {"canonical": CANONICAL, "v3": V3, "null": NULL}
 
 
 def path_reports(spark: SparkSession, params: JobParams, variant: Variant = CANONICAL,
-                 hits: DataFrame | None = None, merge_schema: bool = True) -> None:
-    """Detail report to ``output_path_detail`` and path counts (one file) to
-    ``output_path``.  The detail is persisted while both are written so the
-    paths are built once; lost blocks are rebuilt from lineage."""
+                 hits: DataFrame | None = None, merge_schema: bool = True,
+                 single_file: bool = False) -> None:
+    """Detail report to ``output_path_detail`` and path counts (most frequent
+    first) to ``output_path``.  The detail is persisted while both are written
+    so the paths are built once; lost blocks are rebuilt from lineage.
+
+    ``single_file`` writes each report as one file (one writer task per
+    report); by default the writes stay parallel and the counts keep their
+    order across part files."""
     params.validate()
     if hits is None:
         hits = read_hits(spark, params.flat_path, merge_schema=merge_schema)
     detail = reports.detail_report(hits, params, variant).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_csv(detail, params.output_path_detail, single_file=variant is not CANONICAL)
-        write_csv(reports.aggregate_report(detail), params.output_path, single_file=True,
-                  sort_by=[F.desc("count"), F.asc("user_path")])
+        write_csv(detail, params.output_path_detail, single_file=single_file)
+        write_csv(reports.aggregate_report(detail), params.output_path, single_file=single_file,
+                  sort_by=[F.desc("count"), F.asc("user_path")] if single_file else None)
     finally:
         detail.unpersist()
 
 
-def pivot_report(spark: SparkSession, params: JobParams, hits: DataFrame | None = None) -> str:
-    """Success / fail pivot with shares, one file under output_path + report name."""
+def pivot_report(spark: SparkSession, params: JobParams, hits: DataFrame | None = None,
+                 single_file: bool = False) -> str:
+    """Success / fail pivot with shares under output_path + report name."""
     start, finish = params.start_ms, params.finish_ms
     if start >= finish:
         raise ValueError("`date_start` must be earlier than `date_finish`")
     if hits is None:
         hits = read_hits(spark, params.flat_path, merge_schema=False)
     path = (params.output_path or "") + params.report_name()
-    write_csv(reports.status_pivot(hits, params, V2), path, single_file=True,
-              sort_by=[F.desc("true"), F.asc("paths")])
+    write_csv(reports.status_pivot(hits, params, V2), path, single_file=single_file,
+              sort_by=[F.desc("true"), F.asc("paths")] if single_file else None)
     return path
 
 

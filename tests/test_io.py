@@ -69,7 +69,7 @@ def test_path_job_writes_reports(spark, tmp_path):
     p = JobParams(project_id=1, date_start=100, date_finish=200, date_lookback=0, target_numbers=(3, 5),
                   source_platform=("ga",), flat_path=(src,), output_path=str(tmp_path / "agg"),
                   output_path_detail=str(tmp_path / "detail"))
-    jobs.path_reports(spark, p)
+    jobs.path_reports(spark, p, single_file=True)
     files, lines = _csv_rows(str(tmp_path / "agg"))
     assert len(files) == 1
     assert [letters(x) for x in lines] == ["user_path,count", "A,2", "B,1", "B=>C=>D,1", "C,1", "E=>F,1"]
@@ -84,8 +84,20 @@ def test_pivot_job_writes_one_named_file(spark, tmp_path):
     p = JobParams(project_id=1, date_start=100, date_finish=200, target_numbers=(3, 5),
                   source_platform=("ga",), flat_path=(src,), output_path=str(tmp_path) + "/",
                   product_name="null")
-    out = jobs.pivot_report(spark, p)
+    out = jobs.pivot_report(spark, p, single_file=True)
     assert out.endswith("1_100_200_null_3;5")
     files, lines = _csv_rows(out)
     assert len(files) == 1 and lines[0] == "paths,true,false,share"
     assert letters(lines[1]).startswith("A,3,,0.428")
+
+
+def test_parallel_reports_keep_order(spark, tmp_path):
+    src = str(tmp_path / "hits")
+    hits_df(spark, micro_rows()).write.parquet(src)
+    p = JobParams(project_id=1, date_start=100, date_finish=200, date_lookback=0, target_numbers=(3, 5),
+                  source_platform=("ga",), flat_path=(src,), output_path=str(tmp_path / "agg"),
+                  output_path_detail=str(tmp_path / "detail"))
+    jobs.path_reports(spark, p)
+    _, lines = _csv_rows(str(tmp_path / "agg"))
+    body = [letters(x) for x in lines if x != "user_path,count"]
+    assert body == ["A,2", "B,1", "B=>C=>D,1", "C,1", "E=>F,1"]
