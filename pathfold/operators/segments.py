@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import PATH_SEPARATOR
-from .sequence import chunk_carry, join_carry, local_order
+from .sequence import chunk_carry, chunk_keys, join_carry, local_order
 
 MODES = ("success", "fail", "both")
 CLIENTS = ("converters", "nonconverters", "all")
@@ -63,33 +63,35 @@ def _joined(items: Column, field: str) -> Column:
     return F.array_join(items[field], PATH_SEPARATOR)
 
 
-def pieces(local: DataFrame) -> DataFrame:
-    """Level 1: one row per (client, chunk, local_seg)."""
+def pieces(local: DataFrame, keys: tuple[str, ...] = ("chunk",)) -> DataFrame:
+    """Level 1: one row per (client, chunk keys, local_seg)."""
     # sort_array orders structs by their first field with a natural-order
     # comparator (array_sort without a comparator runs a lambda per comparison)
     items = F.sort_array(F.collect_list(F.struct(
         F.col("local_rn"), F.col("channel"), F.col("HitTimeStamp").cast("string").alias("ts"))))
-    return (local.groupBy("ClientID", "chunk", "local_seg")
+    return (local.groupBy("ClientID", *keys, "local_seg")
             .agg(items.alias("items"), F.max("conv").alias("has_conv"), F.count(F.lit(1)).alias("n"))
-            .select("ClientID", "chunk", "local_seg",
+            .select("ClientID", *keys, "local_seg",
                     _joined(F.col("items"), "channel").alias("path_piece"),
                     _joined(F.col("items"), "ts").alias("timeline_piece"),
                     "has_conv", "n"))
 
 
 def segments(scoped: DataFrame, chunk_ms: int, mode: str = "both", clients: str = "all",
-             trim: bool = False, keep_null_client: bool = False) -> DataFrame:
+             trim: bool = False, keep_null_client: bool = False,
+             hot_rows: int | None = None) -> DataFrame:
     """Kept segments of ``scoped`` hits (ClientID, HitTimeStamp, channel, conv,
     qual, pre) as rows ClientID, seg, user_path, timeline, status, n_touches."""
-    local = local_order(scoped, chunk_ms)
-    carry = chunk_carry(scoped, chunk_ms)
+    keyed, keys = chunk_keys(scoped, chunk_ms, hot_rows, keep_null_client)
+    carry = chunk_carry(keyed, keys)
     cond = segment_filter(mode, clients, trim)
-    # client-level conditions only read carry columns: filter the small side first
-    joined = join_carry(pieces(local), carry, keep_null_client).withColumn(
-        "seg", F.col("conv_before") + F.col("local_seg"))
+    # client-level conditions only read carry columns: Catalyst filters the
+    # small side before the join
+    joined = join_carry(pieces(local_order(keyed, keys), keys), carry, keys, keep_null_client) \
+        .withColumn("seg", F.col("conv_before") + F.col("local_seg"))
     if cond is not None:
         joined = joined.filter(cond)
-    parts = F.sort_array(F.collect_list(F.struct("chunk", "path_piece", "timeline_piece")))
+    parts = F.sort_array(F.collect_list(F.struct(*keys, "path_piece", "timeline_piece")))
     return (joined.groupBy("ClientID", "seg")
             .agg(parts.alias("parts"), F.max("has_conv").alias("status"), F.sum("n").alias("n_touches"))
             .select("ClientID", "seg",

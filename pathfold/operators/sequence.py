@@ -22,6 +22,13 @@ into a single task.  Instead the history is cut into time chunks
 
 The chunk rows are far fewer than hits; joining them back reuses the
 (client, chunk) partitioning of the hits, so the hits shuffle once.
+
+Time chunks split a busy client by time.  A client that is busy *within* one
+chunk (thousands of hits an hour) is split further when ``hot_rows`` is set:
+chunks holding more than ``hot_rows`` hits get a finer sub-chunk width, so
+that a sub-chunk holds about ``hot_rows`` hits.  Those chunks are found by a
+(client, chunk) count; there are at most total hits / ``hot_rows`` of them, a
+bounded list that is broadcast.  Chunk keys are then ``(chunk, sub)``.
 """
 from __future__ import annotations
 
@@ -29,7 +36,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ORDER = ("HitTimeStamp", "conv", "channel")
-KEYS = ("ClientID", "chunk")
 
 
 def with_chunk(df: DataFrame, chunk_ms: int) -> DataFrame:
@@ -40,10 +46,60 @@ def _count_true(c: str) -> Column:
     return F.sum(F.col(c).cast("int"))
 
 
-def local_order(scoped: DataFrame, chunk_ms: int) -> DataFrame:
-    """Adds ``chunk``, ``local_rn`` and ``local_seg`` (values inside the chunk)."""
-    w = Window.partitionBy(*KEYS).orderBy(*ORDER)
-    return with_chunk(scoped, chunk_ms).select(
+def _join_on(left: DataFrame, right: DataFrame, keys: tuple[str, ...], how: str,
+             keep_null_client: bool) -> DataFrame:
+    """Equi-join on ClientID + ``keys``; null-safe on ClientID only where a
+    null client is a real client of the report (plain equi-keys keep the
+    existing hash partitioning of the hits).
+
+    Both sides usually derive from the same hits, so the right side's keys
+    are renamed first: every column reference stays unambiguous.
+    """
+    if not keep_null_client:
+        return left.join(right, ["ClientID", *keys], how)
+    names = ("ClientID", *keys)
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in names else F.col(c)
+                             for c in right.columns])
+    cond = F.col("ClientID").eqNullSafe(F.col("_r_ClientID"))
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(f"_r_{k}"))
+    return left.join(renamed, cond, how).drop(*[f"_r_{c}" for c in names])
+
+
+def hot_chunks(chunked: DataFrame, chunk_ms: int, hot_rows: int) -> DataFrame:
+    """(ClientID, chunk, sub_ms) for chunks with more than ``hot_rows`` hits;
+    ``sub_ms`` makes sub-chunks of about ``hot_rows`` hits.  At most
+    total hits / ``hot_rows`` rows."""
+    n = F.col("n")
+    return (chunked.groupBy("ClientID", "chunk").agg(F.count(F.lit(1)).alias("n"))
+            .filter(n > F.lit(hot_rows))
+            .select("ClientID", "chunk",
+                    F.greatest(F.lit(1).cast("bigint"),
+                               F.expr(f"{int(chunk_ms)} * {int(hot_rows)} div n")).alias("sub_ms")))
+
+
+def chunk_keys(scoped: DataFrame, chunk_ms: int, hot_rows: int | None = None,
+               keep_null_client: bool = False) -> tuple[DataFrame, tuple[str, ...]]:
+    """``scoped`` with its chunk key columns, and their names.
+
+    Both the in-chunk window and the chunk carries must read the frame
+    returned here: the hot-chunk list is one broadcast, reused by both.
+    """
+    df = with_chunk(scoped, chunk_ms)
+    if hot_rows is None:
+        return df, ("chunk",)
+    if hot_rows <= 0:
+        raise ValueError("hot_rows must be positive")
+    hot = F.broadcast(hot_chunks(df, chunk_ms, hot_rows))  # bounded: total hits / hot_rows
+    df = _join_on(df, hot, ("chunk",), "left", keep_null_client)
+    sub = F.coalesce(F.expr("HitTimeStamp div sub_ms"), F.lit(0).cast("bigint"))
+    return df.withColumn("sub", sub).drop("sub_ms"), ("chunk", "sub")
+
+
+def local_order(keyed: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Adds ``local_rn`` and ``local_seg``: values inside the chunk."""
+    w = Window.partitionBy("ClientID", *keys).orderBy(*ORDER)
+    return keyed.select(
         "*",
         F.row_number().over(w).alias("local_rn"),
         F.coalesce(_count_true("conv").over(w.rowsBetween(Window.unboundedPreceding, -1)),
@@ -51,25 +107,25 @@ def local_order(scoped: DataFrame, chunk_ms: int) -> DataFrame:
     )
 
 
-def chunk_carry(scoped: DataFrame, chunk_ms: int) -> DataFrame:
+def chunk_carry(keyed: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """One row per (client, chunk): carries from earlier chunks and client totals.
 
     ``client_conv`` - conversions in the client's history, ``client_pre`` -
     of those flagged ``pre`` (before the report start), ``client_qual`` - hits
     flagged ``qual`` (conversions that make the client a converter).
     """
-    per_chunk = with_chunk(scoped, chunk_ms).groupBy(*KEYS).agg(
+    per_chunk = keyed.groupBy("ClientID", *keys).agg(
         F.count(F.lit(1)).alias("n_hits"),
         _count_true("conv").alias("n_conv"),
         _count_true("pre").alias("n_pre"),
         _count_true("qual").alias("n_qual"),
     )
-    w = Window.partitionBy("ClientID").orderBy("chunk")
+    w = Window.partitionBy("ClientID").orderBy(*keys)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     zero = F.lit(0).cast("bigint")
     return per_chunk.select(
-        *KEYS,
+        "ClientID", *keys,
         F.coalesce(F.sum("n_hits").over(before), zero).alias("hits_before"),
         F.coalesce(F.sum("n_conv").over(before), zero).alias("conv_before"),
         F.sum("n_conv").over(whole).alias("client_conv"),
@@ -78,23 +134,19 @@ def chunk_carry(scoped: DataFrame, chunk_ms: int) -> DataFrame:
     )
 
 
-def join_carry(left: DataFrame, carry: DataFrame, keep_null_client: bool) -> DataFrame:
-    """Attach chunk carries; null-safe on ClientID only where a null client
-    is a real client of the report (plain equi-keys keep the hit partitioning)."""
-    if not keep_null_client:
-        return left.join(carry, list(KEYS), "inner")
-    cond = left["ClientID"].eqNullSafe(carry["ClientID"]) & (left["chunk"] == carry["chunk"])
-    return left.join(carry, cond, "inner").drop(carry["ClientID"]).drop(carry["chunk"])
+def join_carry(left: DataFrame, carry: DataFrame, keys: tuple[str, ...],
+               keep_null_client: bool) -> DataFrame:
+    """Attach chunk carries (inner: every chunk of ``left`` has one)."""
+    return _join_on(left, carry, keys, "inner", keep_null_client)
 
 
-def sequence(scoped: DataFrame, chunk_ms: int, keep_null_client: bool = False) -> DataFrame:
+def sequence(scoped: DataFrame, chunk_ms: int, keep_null_client: bool = False,
+             hot_rows: int | None = None) -> DataFrame:
     """Every hit with its global ``rn`` and ``seg`` plus its client's totals."""
-    local = local_order(scoped, chunk_ms)
-    carry = chunk_carry(scoped, chunk_ms)
-    joined = join_carry(local, carry, keep_null_client)
+    keyed, keys = chunk_keys(scoped, chunk_ms, hot_rows, keep_null_client)
+    joined = join_carry(local_order(keyed, keys), chunk_carry(keyed, keys), keys, keep_null_client)
     return joined.select(
-        *[c for c in scoped.columns],
-        "chunk",
+        *scoped.columns, *keys,
         (F.col("hits_before") + F.col("local_rn")).alias("rn"),
         (F.col("conv_before") + F.col("local_seg")).alias("seg"),
         "client_conv", "client_pre", "client_qual",

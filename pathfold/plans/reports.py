@@ -35,7 +35,8 @@ def path_segments(hits: DataFrame, params: JobParams, variant: Variant = CANONIC
     d_mode, d_clients = _selection(params, variant)
     return segments(scope(hits, params, variant), params.chunk_ms,
                     mode=mode or d_mode, clients=clients or d_clients,
-                    trim=variant.trim, keep_null_client=variant.keep_null_client)
+                    trim=variant.trim, keep_null_client=variant.keep_null_client,
+                    hot_rows=params.hot_chunk_rows)
 
 
 def detail_report(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
@@ -59,7 +60,7 @@ def status_pivot(hits: DataFrame, params: JobParams, variant: Variant = V2) -> D
     not a second pass over the paths, and no row goes through the driver."""
     scoped = scope(hits, params, variant)
     segs = segments(scoped, params.chunk_ms, mode="both", clients="all", trim=variant.trim,
-                    keep_null_client=variant.keep_null_client)
+                    keep_null_client=variant.keep_null_client, hot_rows=params.hot_chunk_rows)
     total = scoped.select(F.count_if(F.col("conv")).alias("total")).scalar()
     counts = segs.groupBy(F.col("user_path").alias("paths")).agg(
         F.sum(F.when(F.col("status"), F.lit(1))).alias("true"),
@@ -96,7 +97,8 @@ def selected_hits(hits: DataFrame, params: JobParams, variant: Variant = CANONIC
 def client_sequences(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
     """Every scoped hit with its position ``rn`` in its client's history,
     its segment ``seg`` and its tagged touch."""
-    seq = sequence(scope(hits, params, variant), params.chunk_ms, variant.keep_null_client)
+    seq = sequence(scope(hits, params, variant), params.chunk_ms, variant.keep_null_client,
+                   params.hot_chunk_rows)
     return seq.select("ClientID", "HitTimeStamp", "channel", "conv", "rn", "seg",
                       tagged_touch(F.col("channel"), F.col("conv"), variant.old_marks).alias("channel_conv"))
 
@@ -104,7 +106,8 @@ def client_sequences(hits: DataFrame, params: JobParams, variant: Variant = CANO
 def lookback_trim(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
     """Hits of the selected clients that survive the look-back cut."""
     mode, clients = _selection(params, variant)
-    seq = sequence(scope(hits, params, variant), params.chunk_ms, variant.keep_null_client)
+    seq = sequence(scope(hits, params, variant), params.chunk_ms, variant.keep_null_client,
+                   params.hot_chunk_rows)
     keep = F.col("seg") >= F.col("client_pre")
     if clients == "converters":
         keep = keep & (F.col("client_qual") > 0)

@@ -19,17 +19,17 @@ hit_st = st.builds(
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
 
-def _params(mode, chunk):
+def _params(mode, chunk, hot=None):
     return JobParams(project_id=1, date_start=20, date_finish=50, date_lookback=5,
                      target_numbers=(3, 5), source_platform=("ga", "bq"), achieve_mode=mode,
-                     chunk_ms=chunk)
+                     chunk_ms=chunk, hot_chunk_rows=hot)
 
 
 @SETTINGS
 @given(st.lists(hit_st, min_size=1, max_size=40), st.sampled_from(["true", "false"]),
-       st.sampled_from([1, 4, 9, 1000]))
-def test_canonical_matches_model(spark, rows, mode, chunk):
-    p = _params(mode, chunk)
+       st.sampled_from([1, 4, 9, 1000]), st.sampled_from([None, None, 1, 3]))
+def test_canonical_matches_model(spark, rows, mode, chunk, hot):
+    p = _params(mode, chunk, hot)
     df = spark.createDataFrame(rows, HIT_DDL).repartition(3)
     got = sorted((r.ClientID, r.user_path, r.timeline) for r in reports.detail_report(df, p).collect())
     expected = string_model.canonical([dict(zip(NAMES, r)) for r in rows], p)
@@ -37,9 +37,10 @@ def test_canonical_matches_model(spark, rows, mode, chunk):
 
 
 @SETTINGS
-@given(st.lists(hit_st, min_size=1, max_size=40), st.sampled_from([1, 6, 1000]))
-def test_pivot_matches_model(spark, rows, chunk):
-    p = _params("true", chunk)
+@given(st.lists(hit_st, min_size=1, max_size=40), st.sampled_from([1, 6, 1000]),
+       st.sampled_from([None, 1, 2]))
+def test_pivot_matches_model(spark, rows, chunk, hot):
+    p = _params("true", chunk, hot)
     df = spark.createDataFrame(rows, HIT_DDL).repartition(2)
     got = {r.paths: (r["true"], r["false"], r.share) for r in reports.status_pivot(df, p, V2).collect()}
     expected = string_model.v2_pivot([dict(zip(NAMES, r)) for r in rows], p)
