@@ -35,6 +35,9 @@ PARAMS = JobParams(project_id=3, date_start="2024-01-10", date_lookback="2024-01
                    source_platform=("adriver", "dcm", "ga", "bq"), achieve_mode="true")
 FAIL_PARAMS = JobParams(**{**PARAMS.__dict__, "achieve_mode": "false"})
 PRODUCT_PARAMS = JobParams(**{**PARAMS.__dict__, "product_name": "p1"})
+# same report, planned with day chunks and every chunk of more than one hit
+# split into sub-chunks (the busy-client path of the sequence scan)
+SPLIT_PARAMS = JobParams(**{**PARAMS.__dict__, "chunk_ms": 86_400_000, "hot_chunk_rows": 1})
 
 HIT_COLS = ["ProjectID", "ClientID", "HitTimeStamp", "ga_sourcemedium", "utm_source", "utm_medium",
             "utm_campaign", "interaction_type", "dcm_placement_id", "profile", "ga_location", "goal",
@@ -57,6 +60,10 @@ def q_paths_success_agg(spark, sf_dir):
     return reports.aggregate_report(reports.detail_report(_hits(spark, sf_dir), PARAMS))
 
 
+def q_paths_success_agg_hot_split(spark, sf_dir):
+    return reports.aggregate_report(reports.detail_report(_hits(spark, sf_dir), SPLIT_PARAMS))
+
+
 def q_paths_fail_agg(spark, sf_dir):
     return reports.aggregate_report(reports.detail_report(_hits(spark, sf_dir), FAIL_PARAMS))
 
@@ -198,6 +205,7 @@ def q_report_csv_roundtrip(spark, sf_dir):
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "paths_success_agg": q_paths_success_agg,
+    "paths_success_agg_hot_split": q_paths_success_agg_hot_split,
     "hits_scan": q_hits_scan,
     "hits_in_scope": q_hits_in_scope,
     "hits_in_window": q_hits_in_window,
@@ -372,6 +380,7 @@ def oracle_sql() -> dict[str, str]:
     csv_select = ", ".join(c if c in csv_cols else f"CAST(NULL AS VARCHAR) AS {c}" for c in HIT_COLS)
     return {
         "paths_success_agg": _paths_sql(CANONICAL, "success", "converters", _AGG),
+        "paths_success_agg_hot_split": _paths_sql(CANONICAL, "success", "converters", _AGG),
         "hits_scan": _with(_HITS_CTE) + f"SELECT {_ALL_HIT_COLS} FROM hits",
         "hits_in_scope": _with(_HITS_CTE) + f"SELECT {_ALL_HIT_COLS} FROM hits WHERE {_where(CANONICAL)}",
         "hits_in_window": _with(_HITS_CTE) + (

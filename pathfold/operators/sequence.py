@@ -71,11 +71,12 @@ def hot_chunks(chunked: DataFrame, chunk_ms: int, hot_rows: int) -> DataFrame:
     ``sub_ms`` makes sub-chunks of about ``hot_rows`` hits.  At most
     total hits / ``hot_rows`` rows."""
     n = F.col("n")
+    budget = int(chunk_ms) * int(hot_rows)  # exact in Python; a bigint literal below
     return (chunked.groupBy("ClientID", "chunk").agg(F.count(F.lit(1)).alias("n"))
             .filter(n > F.lit(hot_rows))
+            .withColumn("budget", F.lit(budget).cast("bigint"))
             .select("ClientID", "chunk",
-                    F.greatest(F.lit(1).cast("bigint"),
-                               F.expr(f"{int(chunk_ms)} * {int(hot_rows)} div n")).alias("sub_ms")))
+                    F.greatest(F.lit(1).cast("bigint"), F.expr("budget div n")).alias("sub_ms")))
 
 
 def chunk_keys(scoped: DataFrame, chunk_ms: int, hot_rows: int | None = None,
