@@ -36,3 +36,9 @@ def tagged_touch(channel: Column, conv: Column, old_style: bool = False) -> Colu
     """``channel::_get@conv`` style tag (``channel_1`` for the CSV era)."""
     glue = OLD_GLUE if old_style else GLUE
     return F.concat(channel, F.lit(glue), conversion_mark(conv, old_style))
+
+
+def touch_map(tag: Column, ts: Column | None = None) -> Column:
+    """One-entry map ``tagged touch -> HitTimeStamp`` (the touch record of the
+    original jobs; inside plans the struct of ts, conv and channel is used)."""
+    return F.create_map(tag, F.col("HitTimeStamp") if ts is None else ts)
