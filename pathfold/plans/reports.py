@@ -15,24 +15,13 @@ from ..operators import clients as client_sets
 from ..operators.segments import segments
 from ..operators.sequence import sequence
 from ..params import JobParams
-from .variants import CANONICAL, CSV_ERA, NULL, V2, V3, Variant, scope
-
-
-def _selection(params: JobParams, variant: Variant) -> tuple[str, str]:
-    """(mode, clients) of a variant's path report."""
-    if variant is NULL:
-        return "fail", "nonconverters"
-    if variant is V3:
-        return "success", "converters"
-    if variant in (V2, CSV_ERA):
-        return "both", "all"
-    return ("success", "converters") if params.converted else ("fail", "nonconverters")
+from .variants import CANONICAL, CSV_ERA, V2, Variant, scope
 
 
 def path_segments(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL,
                   mode: str | None = None, clients: str | None = None) -> DataFrame:
     """Kept paths: ClientID, seg, user_path, timeline, status, n_touches."""
-    d_mode, d_clients = _selection(params, variant)
+    d_mode, d_clients = variant.selection(params)
     return segments(scope(hits, params, variant), params.chunk_ms,
                     mode=mode or d_mode, clients=clients or d_clients,
                     trim=variant.trim, keep_null_client=variant.keep_null_client,
@@ -86,7 +75,7 @@ def scoped_hits(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL
 def selected_hits(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
     """Hits of the clients the report keeps (converters or non-converters)."""
     scoped = scope(hits, params, variant)
-    _, clients = _selection(params, variant)
+    _, clients = variant.selection(params)
     if clients == "converters":
         return client_sets.converter_hits(scoped)
     if clients == "nonconverters":
@@ -105,7 +94,7 @@ def client_sequences(hits: DataFrame, params: JobParams, variant: Variant = CANO
 
 def lookback_trim(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
     """Hits of the selected clients that survive the look-back cut."""
-    mode, clients = _selection(params, variant)
+    _, clients = variant.selection(params)
     seq = sequence(scope(hits, params, variant), params.chunk_ms, variant.keep_null_client,
                    params.hot_chunk_rows)
     keep = F.col("seg") >= F.col("client_pre")

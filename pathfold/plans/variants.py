@@ -1,12 +1,12 @@
 """The report variants and how each one scopes the hit log.
 
-| variant   | lower bound | goal rule                          | null client | trim |
-|-----------|-------------|------------------------------------|-------------|------|
-| canonical | look-back   | keep null/target goals, rest -> out | dropped     | yes  |
-| v3        | look-back   | null -> -1, keep target / -1        | dropped     | yes  |
-| null      | start       | null -> -1, all kept, all touches   | dropped     | no   |
-| v2        | start       | null -> -1, keep target / -1        | kept        | no   |
-| csv       | start       | null -> -1, keep target / -1        | kept        | no   |
+| variant   | lower bound | goal rule                           | null client | trim | paths kept                  |
+|-----------|-------------|-------------------------------------|-------------|------|-----------------------------|
+| canonical | look-back   | keep null/target goals, rest -> out | dropped     | yes  | by achieve_mode             |
+| v3        | look-back   | null -> -1, keep target / -1        | dropped     | yes  | converters' success         |
+| null      | start       | null -> -1, all kept, all touches   | dropped     | no   | non-converters' fail        |
+| v2        | start       | null -> -1, keep target / -1        | kept        | no   | everyone's success and fail |
+| csv       | start       | null -> -1, keep target / -1        | kept        | no   | everyone's success          |
 """
 from __future__ import annotations
 
@@ -32,18 +32,33 @@ class Variant:
     keep_null_client: bool    # a null ClientID is one client of the report
     channel: str = "label"    # "label" (platform rules) or "utm_source"
     old_marks: bool = False   # 1/0 conversion marks with '_' glue
+    # which paths of which clients the report keeps; None for both means
+    # "from achieve_mode": converters' success paths or non-converters' fail paths
+    mode: str | None = None       # "success" | "fail" | "both"
+    clients: str | None = None    # "converters" | "nonconverters" | "all"
 
     def __post_init__(self):
         if self.goal_rule not in GOAL_RULES:
             raise ValueError(f"goal_rule must be one of {GOAL_RULES}")
+        if (self.mode is None) != (self.clients is None):
+            raise ValueError("give both mode and clients, or neither")
+
+    def selection(self, params: JobParams) -> tuple[str, str]:
+        """(mode, clients) of the variant's path report."""
+        if self.mode is not None:
+            return self.mode, self.clients
+        return ("success", "converters") if params.converted else ("fail", "nonconverters")
 
 
 CANONICAL = Variant("canonical", lookback=True, goal_rule="drop_nontarget", trim=True, keep_null_client=False)
-V3 = Variant("v3", lookback=True, goal_rule="transit", trim=True, keep_null_client=False)
-NULL = Variant("null", lookback=False, goal_rule="erase", trim=False, keep_null_client=False)
-V2 = Variant("v2", lookback=False, goal_rule="transit", trim=False, keep_null_client=True)
+V3 = Variant("v3", lookback=True, goal_rule="transit", trim=True, keep_null_client=False,
+             mode="success", clients="converters")
+NULL = Variant("null", lookback=False, goal_rule="erase", trim=False, keep_null_client=False,
+               mode="fail", clients="nonconverters")
+V2 = Variant("v2", lookback=False, goal_rule="transit", trim=False, keep_null_client=True,
+             mode="both", clients="all")
 CSV_ERA = Variant("csv", lookback=False, goal_rule="transit", trim=False, keep_null_client=True,
-                  channel="utm_source", old_marks=True)
+                  channel="utm_source", old_marks=True, mode="success", clients="all")
 
 VARIANTS = {v.name: v for v in (CANONICAL, V3, NULL, V2, CSV_ERA)}
 
