@@ -26,7 +26,7 @@ from pathfold.plans.variants import filtered_hits, scope
 from pathfold.session import shared_dir
 from pathfold.sinks import write_csv
 from pathfold.sources import hits_from_events, read_csv_hits
-from pathfold.sources.csv import CSV_HIT_COLUMNS
+from pathfold.constants import CSV_HIT_COLUMNS
 
 # Fixture parameters (FIXTURES.md section 3): project 3, goals 3 and 5, all
 # four platforms, no product; Moscow midnight of the three days.

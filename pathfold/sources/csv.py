@@ -4,19 +4,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
-from ..constants import CSV_HIT_COLUMNS
 from .hits import to_hit_schema
 
-CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in CSV_HIT_COLUMNS])
-
 
 def read_csv_hits(spark: SparkSession, paths: str | Sequence[str], sep: str = ";") -> DataFrame:
-    """Read the CSV hit log with an explicit all-string schema (no inference
-    pass over the data) and cast it to the hit schema."""
+    """Read the CSV hit log and cast it to the hit schema.
+
+    Columns are taken by their header names, in any order, as strings (no
+    inference pass over the data); columns the log lacks become null and bad
+    numbers become null through ``try_cast``.
+    """
     if isinstance(paths, str):
         paths = [paths]
-    raw = (spark.read.option("header", "true").option("sep", sep)
-           .option("enforceSchema", "false").schema(CSV_SCHEMA).csv(list(paths)))
+    raw = spark.read.option("header", "true").option("sep", sep).option("inferSchema", "false").csv(list(paths))
     return to_hit_schema(raw)

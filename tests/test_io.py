@@ -41,6 +41,16 @@ def test_csv_source(spark, tmp_path):
         ("c1", 110, "u1", 3), ("c1", 120, None, None)]
 
 
+def test_csv_source_reads_columns_by_header_name(spark, tmp_path):
+    path = str(tmp_path / "log2.csv")
+    with open(path, "w") as f:
+        f.write("src;goal;ClientID;HitTimeStamp;ProjectID;utm_source\n")
+        f.write("ga;5;c2;130;1;u2\nbq;x;c2;140;1;u3\n")
+    rows = read_csv_hits(spark, path).orderBy("HitTimeStamp").collect()
+    assert [(r.ProjectID, r.ClientID, r.HitTimeStamp, r.goal, r.src, r.utm_source, r.ga_location)
+            for r in rows] == [(1, "c2", 130, 5, "ga", "u2", None), (1, "c2", 140, None, "bq", "u3", None)]
+
+
 def test_json_config(spark, tmp_path):
     path = str(tmp_path / "params.json")
     with open(path, "w") as f:
