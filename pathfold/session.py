@@ -43,3 +43,27 @@ def shared_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a path job over ``input_bytes`` of hit log on a cluster.
+
+    The hit shuffle carries a handful of the log's columns, so it is about
+    the size of the compressed input; one shuffle partition per
+    ``partition_bytes`` of input keeps each sort / window task well inside an
+    executor's memory (it spills, but should not need to), and adaptive
+    execution merges the small partitions of the later, smaller shuffles
+    (carries, pieces, path counts).  Skewed join partitions (a hot client in
+    a client-set semi / anti join) are split by AQE.
+    """
+    if input_bytes < 0 or partition_bytes <= 0:
+        raise ValueError("sizes must be positive")
+    partitions = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }

@@ -79,3 +79,11 @@ def test_options_contract():
 def test_pivot_report_name():
     p = JobParams(**{**BASE, "target_numbers": (3, 5), "product_name": "p1"})
     assert p.report_name() == "1_2019-01-01_2019-02-01_p1_3;5"
+
+
+def test_cluster_conf_sizes_partitions():
+    from pathfold.session import cluster_conf
+    assert cluster_conf(10 << 20)["spark.sql.shuffle.partitions"] == "200"
+    conf = cluster_conf(100 * (1 << 40))  # 100 TiB
+    assert conf["spark.sql.shuffle.partitions"] == str(100 * (1 << 40) // (256 << 20))
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
