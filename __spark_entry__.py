@@ -11,22 +11,26 @@ engines hash alike.
 from __future__ import annotations
 
 import os
+import sys
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathfold import JobParams
-from pathfold.functions import conversion_mark, local_midnight_ms, tagged_touch
-from pathfold.operators import clients as client_sets
-from pathfold.operators import filters
-from pathfold.plans import CANONICAL, CSV_ERA, NULL, V2, V3, reports
-from pathfold.plans.variants import filtered_hits, scope
-from pathfold.session import shared_dir
-from pathfold.sinks import write_csv
-from pathfold.sources import hits_from_events, read_csv_hits
-from pathfold.constants import CSV_HIT_COLUMNS
+# the package lives next to this file; make it importable from any working directory
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from pathfold import JobParams  # noqa: E402
+from pathfold.functions import conversion_mark, local_midnight_ms, tagged_touch  # noqa: E402
+from pathfold.operators import clients as client_sets  # noqa: E402
+from pathfold.operators import filters  # noqa: E402
+from pathfold.plans import CANONICAL, CSV_ERA, NULL, V2, V3, reports  # noqa: E402
+from pathfold.plans.variants import filtered_hits, scope  # noqa: E402
+from pathfold.session import shared_dir  # noqa: E402
+from pathfold.sinks import write_csv  # noqa: E402
+from pathfold.sources import hits_from_events, read_csv_hits  # noqa: E402
+from pathfold.constants import CSV_HIT_COLUMNS  # noqa: E402
 
 # Fixture parameters (FIXTURES.md section 3): project 3, goals 3 and 5, all
 # four platforms, no product; Moscow midnight of the three days.
