@@ -1,11 +1,14 @@
 """Whole jobs: parameters in, report files out."""
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import JobParams
+from ..session import shared_dir
 from ..sinks import write_csv
 from ..sources import read_csv_hits, read_hits
 from . import reports
@@ -14,12 +17,20 @@ from .variants import CANONICAL, CSV_ERA, NULL, V2, V3, Variant
 PATH_VARIANTS = {"canonical": CANONICAL, "v3": V3, "null": NULL}
 
 
+def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table in the shared checkpoint folder and
+    read it back: computed once, lineage cut, survives lost executors."""
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def path_reports(spark: SparkSession, params: JobParams, variant: Variant = CANONICAL,
                  hits: DataFrame | None = None, merge_schema: bool = True,
                  single_file: bool = False) -> None:
     """Detail report to ``output_path_detail`` and path counts (most frequent
-    first) to ``output_path``.  The detail is persisted while both are written
-    so the paths are built once; lost blocks are rebuilt from lineage.
+    first) to ``output_path``.  The detail is staged once as a parquet table
+    in the shared folder and both reports read it.
 
     ``single_file`` writes each report as one file (one writer task per
     report); by default the writes stay parallel and the counts keep their
@@ -27,13 +38,10 @@ def path_reports(spark: SparkSession, params: JobParams, variant: Variant = CANO
     params.validate()
     if hits is None:
         hits = read_hits(spark, params.flat_path, merge_schema=merge_schema)
-    detail = reports.detail_report(hits, params, variant).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_csv(detail, params.output_path_detail, single_file=single_file)
-        write_csv(reports.aggregate_report(detail), params.output_path, single_file=single_file,
-                  sort_by=[F.desc("count"), F.asc("user_path")] if single_file else None)
-    finally:
-        detail.unpersist()
+    detail = stage(spark, reports.detail_report(hits, params, variant), "detail")
+    write_csv(detail, params.output_path_detail, single_file=single_file)
+    write_csv(reports.aggregate_report(detail), params.output_path, single_file=single_file,
+              sort_by=[F.desc("count"), F.asc("user_path")] if single_file else None)
 
 
 def pivot_report(spark: SparkSession, params: JobParams, hits: DataFrame | None = None,
