@@ -207,6 +207,22 @@ def q_report_csv_roundtrip(spark, sf_dir):
     return spark.read.option("header", "true").schema(schema).csv(path)
 
 
+def q_report_agg_csv_roundtrip(spark, sf_dir):
+    """Write the path counts as one sorted CSV file and read it back."""
+    path = _scratch(spark, "agg-report")
+    agg = reports.aggregate_report(reports.detail_report(_hits(spark, sf_dir), PARAMS))
+    write_csv(agg, path, single_file=True, sort_by=[F.desc("count"), F.asc("user_path")])
+    return spark.read.option("header", "true").schema("user_path string, count bigint").csv(path)
+
+
+def q_report_pivot_csv_roundtrip(spark, sf_dir):
+    """Write the success / fail pivot as CSV and read it back."""
+    path = _scratch(spark, "pivot-report")
+    write_csv(reports.status_pivot(_hits(spark, sf_dir), PARAMS, V2), path)
+    schema = "paths string, true bigint, false bigint, share double"
+    return spark.read.option("header", "true").schema(schema).csv(path)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "paths_success_agg": q_paths_success_agg,
     "paths_success_agg_hot_split": q_paths_success_agg_hot_split,
@@ -240,6 +256,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conversion_counts": q_conversion_counts,
     "csv_scan": q_csv_scan,
     "report_csv_roundtrip": q_report_csv_roundtrip,
+    "report_agg_csv_roundtrip": q_report_agg_csv_roundtrip,
+    "report_pivot_csv_roundtrip": q_report_pivot_csv_roundtrip,
 }
 
 
@@ -374,6 +392,12 @@ def _paths_sql(variant, mode, clients, final: str) -> str:
 _DETAIL = f"SELECT ClientID, user_path, timeline, '{_P.targets_csv}' AS target_numbers FROM segs"
 _AGG = 'SELECT user_path, CAST(count(ClientID) AS BIGINT) AS "count" FROM segs GROUP BY user_path'
 _ALL_HIT_COLS = ", ".join(HIT_COLS)
+_PIVOT = ('SELECT user_path AS paths, '
+          'CAST(sum(CASE WHEN status THEN 1 END) AS BIGINT) AS "true", '
+          'CAST(sum(CASE WHEN NOT status THEN 1 END) AS BIGINT) AS "false", '
+          'CAST(sum(CASE WHEN status THEN 1 END) AS DOUBLE) '
+          '/ nullif((SELECT count(*) FROM flags WHERE conv), 0) AS share '
+          'FROM segs GROUP BY user_path')
 
 
 def oracle_sql() -> dict[str, str]:
@@ -432,13 +456,7 @@ def oracle_sql() -> dict[str, str]:
         "paths_v3_agg": _paths_sql(V3, "success", "converters", _AGG),
         "paths_null_detail": _paths_sql(NULL, "fail", "nonconverters", _DETAIL),
         "paths_null_agg": _paths_sql(NULL, "fail", "nonconverters", _AGG),
-        "paths_status_pivot": _paths_sql(V2, "both", "all", (
-            'SELECT user_path AS paths, '
-            'CAST(sum(CASE WHEN status THEN 1 END) AS BIGINT) AS "true", '
-            'CAST(sum(CASE WHEN NOT status THEN 1 END) AS BIGINT) AS "false", '
-            'CAST(sum(CASE WHEN status THEN 1 END) AS DOUBLE) '
-            '/ nullif((SELECT count(*) FROM flags WHERE conv), 0) AS share '
-            'FROM segs GROUP BY user_path')),
+        "paths_status_pivot": _paths_sql(V2, "both", "all", _PIVOT),
         "utm_source_paths_top10": _paths_sql(CSV_ERA, "success", "all", (
             'SELECT user_path AS paths, CAST(count(*) AS BIGINT) AS "count" FROM segs '
             'GROUP BY user_path ORDER BY "count" DESC, paths ASC LIMIT 10')),
@@ -449,4 +467,6 @@ def oracle_sql() -> dict[str, str]:
             "WHERE ClientID IN (SELECT ClientID FROM flags WHERE qual) GROUP BY 1"),
         "csv_scan": _with(_HITS_CTE) + f"SELECT {csv_select} FROM hits",
         "report_csv_roundtrip": _paths_sql(CANONICAL, "success", "converters", _DETAIL),
+        "report_agg_csv_roundtrip": _paths_sql(CANONICAL, "success", "converters", _AGG),
+        "report_pivot_csv_roundtrip": _paths_sql(V2, "both", "all", _PIVOT),
     }
