@@ -116,3 +116,39 @@ def v2_pivot(hits: list[dict], p) -> dict:
             counts[path][1] += 1
     total = sum(v[0] for v in counts.values())
     return {k: (v[0] or None, v[1] or None, (v[0] / total) if v[0] else None) for k, v in counts.items()}
+
+
+def v3(hits: list[dict], p) -> list[tuple]:
+    """ChainBuilder_v3: converters' success paths; null goal -> -1, only
+    target goals and -1 kept, look-back cut."""
+    lb, st, fin, t = p.lookback_ms, p.start_ms, p.finish_ms, set(p.target_numbers)
+    rows = []
+    for h in hits:
+        g = -1 if h["goal"] is None else h["goal"]
+        if (lb <= h["HitTimeStamp"] < fin and h["ProjectID"] == p.project_id
+                and h["src"] in p.source_platform and g in t | {-1}
+                and (p.product is None or h["ga_location"] == p.product)):
+            rows.append((h["ClientID"], h["HitTimeStamp"], channel(h), g != -1))
+    actors = {c for c, ts, _, conv in rows if conv and st <= ts < fin and c is not None}
+    rows = [r for r in rows if r[0] in actors]
+    out = []
+    for c, touches in _sequences(rows, st).items():
+        out += [(c, a, b) for a, b in _cut(search_inception(touches, st), "success")]
+    return sorted(out)
+
+
+def null_report(hits: list[dict], p) -> list[tuple]:
+    """ChainNullBuilder: non-converters' whole in-window history as one
+    unconverted path; every goal kept, every hit a touch."""
+    st, fin, t = p.start_ms, p.finish_ms, set(p.target_numbers)
+    scoped = [h for h in hits if st <= h["HitTimeStamp"] < fin and h["ProjectID"] == p.project_id
+              and h["src"] in p.source_platform
+              and (p.product is None or h["ga_location"] == p.product)]
+    actors = {h["ClientID"] for h in scoped if h["goal"] in t}
+    non = {h["ClientID"] for h in scoped} - actors
+    rows = [(h["ClientID"], h["HitTimeStamp"], channel(h), False) for h in scoped
+            if h["ClientID"] is not None and h["ClientID"] in non]
+    out = []
+    for c, touches in _sequences(rows, st).items():
+        out += [(c, a, b) for a, b in _cut(touches, "fail")]
+    return sorted(out)

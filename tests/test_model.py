@@ -49,3 +49,17 @@ def test_pivot_matches_model(spark, rows, chunk, hot):
         gt, gf, gs = got[k]
         assert (gt, gf) == (t, f)
         assert (gs is None and s is None) or abs(gs - s) < 1e-12
+
+
+@SETTINGS
+@given(st.lists(hit_st, min_size=1, max_size=40), st.sampled_from([1, 5, 1000]),
+       st.sampled_from([None, 2]))
+def test_v3_and_null_match_model(spark, rows, chunk, hot):
+    from pathfold.plans import NULL, V3
+    p = _params("true", chunk, hot)
+    df = spark.createDataFrame(rows, HIT_DDL).repartition(2)
+    dicts = [dict(zip(NAMES, r)) for r in rows]
+    got_v3 = sorted((r.ClientID, r.user_path, r.timeline) for r in reports.detail_report(df, p, V3).collect())
+    assert got_v3 == string_model.v3(dicts, p)
+    got_null = sorted((r.ClientID, r.user_path, r.timeline) for r in reports.detail_report(df, p, NULL).collect())
+    assert got_null == string_model.null_report(dicts, p)
