@@ -31,7 +31,10 @@ def main(argv: list[str]) -> int:
     if cmd in COMMANDS:
         strict = cmd == "paths"
         params = JobParams.from_options(options, strict_dates=strict)
-        jobs.path_reports(spark, params, jobs.PATH_VARIANTS[COMMANDS[cmd]], single_file=single)
+        diagnostics = jobs.path_reports(spark, params, jobs.PATH_VARIANTS[COMMANDS[cmd]],
+                                        single_file=single)
+        for df in diagnostics.values():
+            df.show()
     elif cmd == "pivot":
         params = JobParams.from_options(options, strict_dates=False)
         jobs.pivot_report(spark, params, single_file=single)

@@ -27,14 +27,15 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 def path_reports(spark: SparkSession, params: JobParams, variant: Variant = CANONICAL,
                  hits: DataFrame | None = None, merge_schema: bool = True,
-                 single_file: bool = False) -> None:
+                 single_file: bool = False) -> dict[str, DataFrame]:
     """Detail report to ``output_path_detail`` and path counts (most frequent
     first) to ``output_path``.  The detail is staged once as a parquet table
     in the shared folder and both reports read it.
 
     ``single_file`` writes each report as one file (one writer task per
     report); by default the writes stay parallel and the counts keep their
-    order across part files."""
+    order across part files.  Returns the job's diagnostics (hits per goal,
+    hits per conversion mark) as lazy DataFrames of a few rows each."""
     params.validate()
     if hits is None:
         hits = read_hits(spark, params.flat_path, merge_schema=merge_schema)
@@ -42,6 +43,8 @@ def path_reports(spark: SparkSession, params: JobParams, variant: Variant = CANO
     write_csv(detail, params.output_path_detail, single_file=single_file)
     write_csv(reports.aggregate_report(detail), params.output_path, single_file=single_file,
               sort_by=[F.desc("count"), F.asc("user_path")] if single_file else None)
+    return {"goal_counts": reports.goal_counts(hits, params, variant),
+            "conversion_counts": reports.conversion_counts(hits, params, variant)}
 
 
 def pivot_report(spark: SparkSession, params: JobParams, hits: DataFrame | None = None,

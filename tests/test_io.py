@@ -79,7 +79,8 @@ def test_path_job_writes_reports(spark, tmp_path):
     p = JobParams(project_id=1, date_start=100, date_finish=200, date_lookback=0, target_numbers=(3, 5),
                   source_platform=("ga",), flat_path=(src,), output_path=str(tmp_path / "agg"),
                   output_path_detail=str(tmp_path / "detail"))
-    jobs.path_reports(spark, p, single_file=True)
+    diag = jobs.path_reports(spark, p, single_file=True)
+    assert {r.goal: r["count"] for r in diag["goal_counts"].collect()} == {-1: 9, 3: 8, 5: 1}
     files, lines = _csv_rows(str(tmp_path / "agg"))
     assert len(files) == 1
     assert [letters(x) for x in lines] == ["user_path,count", "A,2", "B,1", "B=>C=>D,1", "C,1", "E=>F,1"]
@@ -111,3 +112,25 @@ def test_parallel_reports_keep_order(spark, tmp_path):
     _, lines = _csv_rows(str(tmp_path / "agg"))
     body = [letters(x) for x in lines if x != "user_path,count"]
     assert body == ["A,2", "B,1", "B=>C=>D,1", "C,1", "E=>F,1"]
+
+
+def test_cli_paths_end_to_end(spark, tmp_path):
+    """spark-submit style run over a parquet hit log: the 216 converting paths
+    of sf0.001 (FIXTURES.md section 3)."""
+    from pathfold import cli
+    from pathfold.sources import hits_from_events
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    log = str(tmp_path / "log")
+    hits_from_events(spark, sf).write.parquet(log)
+    args = ["paths", "--projectID=3", "--date_start=2024-01-10", "--date_tHOLD=2024-01-05",
+            "--date_finish=2024-01-28", "--target_numbers=3,5", "--product_name=null",
+            "--source_platform=adriver,dcm,ga,bq", "--achieve_mode=true", f"--flat_path={log}",
+            f"--output_path={tmp_path / 'agg'}", f"--output_pathD={tmp_path / 'detail'}",
+            "--single_file=true"]
+    assert cli.main(args) == 0
+    detail = spark.read.option("header", "true").csv(str(tmp_path / "detail"))
+    assert detail.count() == 216 and detail.select("ClientID").distinct().count() == 94
+    agg = spark.read.option("header", "true").schema("user_path string, count bigint").csv(str(tmp_path / "agg"))
+    assert agg.agg({"count": "sum"}).first()[0] == 216
