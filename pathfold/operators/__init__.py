@@ -1,7 +1,8 @@
 """DataFrame operators: filters, client sets, ordered histories, paths."""
 from . import clients, filters
 from .segments import pieces, segment_filter, segments
-from .sequence import chunk_carry, chunk_keys, hot_chunks, local_order, sequence
+from .sequence import (chunk_carry, chunk_keys, decode_client, encode_client, hot_chunks, local_order,
+                       sequence)
 
-__all__ = ["clients", "filters", "pieces", "segment_filter", "segments", "chunk_carry", "chunk_keys", "hot_chunks",
+__all__ = ["clients", "filters", "pieces", "segment_filter", "segments", "chunk_carry", "chunk_keys", "decode_client", "encode_client", "hot_chunks",
            "local_order", "sequence"]

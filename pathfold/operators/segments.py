@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import PATH_SEPARATOR
-from .sequence import chunk_carry, chunk_keys, join_carry, local_order
+from .sequence import chunk_carry, chunk_keys, decode_client, encode_client, join_carry, local_order
 
 MODES = ("success", "fail", "both")
 CLIENTS = ("converters", "nonconverters", "all")
@@ -81,20 +81,25 @@ def segments(scoped: DataFrame, chunk_ms: int, mode: str = "both", clients: str
              trim: bool = False, keep_null_client: bool = False,
              hot_rows: int | None = None) -> DataFrame:
     """Kept segments of ``scoped`` hits (ClientID, HitTimeStamp, channel, conv,
-    qual, pre) as rows ClientID, seg, user_path, timeline, status, n_touches."""
-    keyed, keys = chunk_keys(scoped, chunk_ms, hot_rows, keep_null_client)
+    qual, pre) as rows ClientID, seg, user_path, timeline, status, n_touches.
+
+    ``keep_null_client``: the hits of a null ClientID form one client (else
+    they are dropped)."""
+    if keep_null_client:
+        scoped = encode_client(scoped)
+    keyed, keys = chunk_keys(scoped, chunk_ms, hot_rows)
     carry = chunk_carry(keyed, keys)
     cond = segment_filter(mode, clients, trim)
     # client-level conditions only read carry columns: Catalyst filters the
     # small side before the join
-    joined = join_carry(pieces(local_order(keyed, keys), keys), carry, keys, keep_null_client) \
+    joined = join_carry(pieces(local_order(keyed, keys), keys), carry, keys) \
         .withColumn("seg", F.col("conv_before") + F.col("local_seg"))
     if cond is not None:
         joined = joined.filter(cond)
     parts = F.sort_array(F.collect_list(F.struct(*keys, "path_piece", "timeline_piece")))
     return (joined.groupBy("ClientID", "seg")
             .agg(parts.alias("parts"), F.max("has_conv").alias("status"), F.sum("n").alias("n_touches"))
-            .select("ClientID", "seg",
+            .select(decode_client() if keep_null_client else F.col("ClientID"), "seg",
                     _joined(F.col("parts"), "path_piece").alias("user_path"),
                     _joined(F.col("parts"), "timeline_piece").alias("timeline"),
                     "status", "n_touches"))

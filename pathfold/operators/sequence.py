@@ -46,24 +46,19 @@ def _count_true(c: str) -> Column:
     return F.sum(F.col(c).cast("int"))
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: tuple[str, ...], how: str,
-             keep_null_client: bool) -> DataFrame:
-    """Equi-join on ClientID + ``keys``; null-safe on ClientID only where a
-    null client is a real client of the report (plain equi-keys keep the
-    existing hash partitioning of the hits).
-
-    Both sides usually derive from the same hits, so the right side's keys
-    are renamed first: every column reference stays unambiguous.
-    """
-    if not keep_null_client:
-        return left.join(right, ["ClientID", *keys], how)
-    names = ("ClientID", *keys)
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in names else F.col(c)
-                             for c in right.columns])
-    cond = F.col("ClientID").eqNullSafe(F.col("_r_ClientID"))
-    for k in keys:
-        cond = cond & (F.col(k) == F.col(f"_r_{k}"))
-    return left.join(renamed, cond, how).drop(*[f"_r_{c}" for c in names])
+def encode_client(df: DataFrame) -> DataFrame:
+    """Make ClientID a non-null key where a null client is a real client of
+    the report: null -> '0', id -> '1' + id (injective).  Joins then stay
+    plain equi-joins on ClientID, which keep the hits' hash partitioning
+    (null-safe keys would be hashed as expressions and re-shuffle)."""
+    cid = F.col("ClientID")
+    return df.withColumn("ClientID", F.when(cid.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), cid)))
+
+
+def decode_client() -> Column:
+    """Inverse of ``encode_client``."""
+    return F.when(F.col("ClientID") == "0", F.lit(None).cast("string")) \
+        .otherwise(F.expr("substring(ClientID, 2)")).alias("ClientID")
 
 
 def hot_chunks(chunked: DataFrame, chunk_ms: int, hot_rows: int) -> DataFrame:
@@ -79,8 +74,8 @@ def hot_chunks(chunked: DataFrame, chunk_ms: int, hot_rows: int) -> DataFrame:
                     F.greatest(F.lit(1).cast("bigint"), F.expr("budget div n")).alias("sub_ms")))
 
 
-def chunk_keys(scoped: DataFrame, chunk_ms: int, hot_rows: int | None = None,
-               keep_null_client: bool = False) -> tuple[DataFrame, tuple[str, ...]]:
+def chunk_keys(scoped: DataFrame, chunk_ms: int,
+               hot_rows: int | None = None) -> tuple[DataFrame, tuple[str, ...]]:
     """``scoped`` with its chunk key columns, and their names.
 
     Both the in-chunk window and the chunk carries must read the frame
@@ -92,7 +87,7 @@ def chunk_keys(scoped: DataFrame, chunk_ms: int, hot_rows: int | None = None,
     if hot_rows <= 0:
         raise ValueError("hot_rows must be positive")
     hot = F.broadcast(hot_chunks(df, chunk_ms, hot_rows))  # bounded: total hits / hot_rows
-    df = _join_on(df, hot, ("chunk",), "left", keep_null_client)
+    df = df.join(hot, ["ClientID", "chunk"], "left")
     sub = F.coalesce(F.expr("HitTimeStamp div sub_ms"), F.lit(0).cast("bigint"))
     return df.withColumn("sub", sub).drop("sub_ms"), ("chunk", "sub")
 
@@ -135,19 +130,24 @@ def chunk_carry(keyed: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     )
 
 
-def join_carry(left: DataFrame, carry: DataFrame, keys: tuple[str, ...],
-               keep_null_client: bool) -> DataFrame:
+def join_carry(left: DataFrame, carry: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Attach chunk carries (inner: every chunk of ``left`` has one)."""
-    return _join_on(left, carry, keys, "inner", keep_null_client)
+    return left.join(carry, ["ClientID", *keys], "inner")
 
 
 def sequence(scoped: DataFrame, chunk_ms: int, keep_null_client: bool = False,
              hot_rows: int | None = None) -> DataFrame:
-    """Every hit with its global ``rn`` and ``seg`` plus its client's totals."""
-    keyed, keys = chunk_keys(scoped, chunk_ms, hot_rows, keep_null_client)
-    joined = join_carry(local_order(keyed, keys), chunk_carry(keyed, keys), keys, keep_null_client)
+    """Every hit with its global ``rn`` and ``seg`` plus its client's totals.
+
+    ``keep_null_client``: the hits of a null ClientID form one client (else
+    they are dropped)."""
+    if keep_null_client:
+        scoped = encode_client(scoped)
+    keyed, keys = chunk_keys(scoped, chunk_ms, hot_rows)
+    joined = join_carry(local_order(keyed, keys), chunk_carry(keyed, keys), keys)
     return joined.select(
-        *scoped.columns, *keys,
+        *[decode_client() if keep_null_client and c == "ClientID" else c for c in scoped.columns],
+        *keys,
         (F.col("hits_before") + F.col("local_rn")).alias("rn"),
         (F.col("conv_before") + F.col("local_seg")).alias("seg"),
         "client_conv", "client_pre", "client_qual",
