@@ -68,6 +68,10 @@ def q_paths_success_agg_hot_split(spark, sf_dir):
     return reports.aggregate_report(reports.detail_report(_hits(spark, sf_dir), SPLIT_PARAMS))
 
 
+def q_paths_status_pivot_hot_split(spark, sf_dir):
+    return reports.status_pivot(_hits(spark, sf_dir), SPLIT_PARAMS, V2)
+
+
 def q_paths_fail_agg(spark, sf_dir):
     return reports.aggregate_report(reports.detail_report(_hits(spark, sf_dir), FAIL_PARAMS))
 
@@ -251,6 +255,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "paths_null_detail": q_paths_null_detail,
     "paths_null_agg": q_paths_null_agg,
     "paths_status_pivot": q_paths_status_pivot,
+    "paths_status_pivot_hot_split": q_paths_status_pivot_hot_split,
     "utm_source_paths_top10": q_utm_source_paths_top10,
     "goal_counts": q_goal_counts,
     "conversion_counts": q_conversion_counts,
@@ -457,6 +462,7 @@ def oracle_sql() -> dict[str, str]:
         "paths_null_detail": _paths_sql(NULL, "fail", "nonconverters", _DETAIL),
         "paths_null_agg": _paths_sql(NULL, "fail", "nonconverters", _AGG),
         "paths_status_pivot": _paths_sql(V2, "both", "all", _PIVOT),
+        "paths_status_pivot_hot_split": _paths_sql(V2, "both", "all", _PIVOT),
         "utm_source_paths_top10": _paths_sql(CSV_ERA, "success", "all", (
             'SELECT user_path AS paths, CAST(count(*) AS BIGINT) AS "count" FROM segs '
             'GROUP BY user_path ORDER BY "count" DESC, paths ASC LIMIT 10')),
