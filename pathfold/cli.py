@@ -5,7 +5,10 @@
     spark-submit pathfold/cli.py pivot   ... (same options; output_path is a prefix)
     spark-submit pathfold/cli.py top     config.json
 
-Optional for paths / pivot: --single_file=true writes each report as one file.
+Optional for paths / pivot:
+    --single_file=true      write each report as one file
+    --chunk_ms=N            time-chunk width of the history scan (default one hour)
+    --hot_chunk_rows=N      split chunks holding more than N hits (default: never)
 """
 from __future__ import annotations
 
@@ -28,15 +31,16 @@ def main(argv: list[str]) -> int:
     cmd, rest = argv[0], argv[1:]
     options = parse_cli_options(rest) if cmd != "top" else {}
     single = options.pop("single_file", "false").strip().lower() == "true"
+    tuning = {k: int(options.pop(k)) for k in ("chunk_ms", "hot_chunk_rows") if k in options}
     if cmd in COMMANDS:
         strict = cmd == "paths"
-        params = JobParams.from_options(options, strict_dates=strict)
+        params = JobParams.from_options(options, strict_dates=strict, **tuning)
         diagnostics = jobs.path_reports(spark, params, jobs.PATH_VARIANTS[COMMANDS[cmd]],
                                         single_file=single)
         for df in diagnostics.values():
             df.show()
     elif cmd == "pivot":
-        params = JobParams.from_options(options, strict_dates=False)
+        params = JobParams.from_options(options, strict_dates=False, **tuning)
         jobs.pivot_report(spark, params, single_file=single)
     elif cmd == "top":
         params = read_config(spark, rest[0])

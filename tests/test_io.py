@@ -128,7 +128,7 @@ def test_cli_paths_end_to_end(spark, tmp_path):
             "--date_finish=2024-01-28", "--target_numbers=3,5", "--product_name=null",
             "--source_platform=adriver,dcm,ga,bq", "--achieve_mode=true", f"--flat_path={log}",
             f"--output_path={tmp_path / 'agg'}", f"--output_pathD={tmp_path / 'detail'}",
-            "--single_file=true"]
+            "--single_file=true", "--chunk_ms=86400000", "--hot_chunk_rows=3"]
     assert cli.main(args) == 0
     detail = spark.read.option("header", "true").csv(str(tmp_path / "detail"))
     assert detail.count() == 216 and detail.select("ClientID").distinct().count() == 94
