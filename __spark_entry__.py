@@ -61,11 +61,11 @@ def _scratch(spark: SparkSession, name: str) -> str:
 # ---------------------------------------------------------------------------
 
 def q_paths_success_agg(spark, sf_dir):
-    return reports.aggregate_report(reports.detail_report(_hits(spark, sf_dir), PARAMS))
+    return reports.path_counts(_hits(spark, sf_dir), PARAMS)
 
 
 def q_paths_success_agg_hot_split(spark, sf_dir):
-    return reports.aggregate_report(reports.detail_report(_hits(spark, sf_dir), SPLIT_PARAMS))
+    return reports.path_counts(_hits(spark, sf_dir), SPLIT_PARAMS)
 
 
 def q_paths_status_pivot_hot_split(spark, sf_dir):
@@ -73,7 +73,7 @@ def q_paths_status_pivot_hot_split(spark, sf_dir):
 
 
 def q_paths_fail_agg(spark, sf_dir):
-    return reports.aggregate_report(reports.detail_report(_hits(spark, sf_dir), FAIL_PARAMS))
+    return reports.path_counts(_hits(spark, sf_dir), FAIL_PARAMS)
 
 
 def q_paths_success_detail(spark, sf_dir):
@@ -89,7 +89,7 @@ def q_paths_v3_detail(spark, sf_dir):
 
 
 def q_paths_v3_agg(spark, sf_dir):
-    return reports.aggregate_report(reports.detail_report(_hits(spark, sf_dir), PARAMS, V3))
+    return reports.path_counts(_hits(spark, sf_dir), PARAMS, V3)
 
 
 def q_paths_null_detail(spark, sf_dir):
@@ -97,7 +97,7 @@ def q_paths_null_detail(spark, sf_dir):
 
 
 def q_paths_null_agg(spark, sf_dir):
-    return reports.aggregate_report(reports.detail_report(_hits(spark, sf_dir), PARAMS, NULL))
+    return reports.path_counts(_hits(spark, sf_dir), PARAMS, NULL)
 
 
 def q_paths_status_pivot(spark, sf_dir):
@@ -214,7 +214,7 @@ def q_report_csv_roundtrip(spark, sf_dir):
 def q_report_agg_csv_roundtrip(spark, sf_dir):
     """Write the path counts as one sorted CSV file and read it back."""
     path = _scratch(spark, "agg-report")
-    agg = reports.aggregate_report(reports.detail_report(_hits(spark, sf_dir), PARAMS))
+    agg = reports.path_counts(_hits(spark, sf_dir), PARAMS)
     write_csv(agg, path, single_file=True, sort_by=[F.desc("count"), F.asc("user_path")])
     return spark.read.option("header", "true").schema("user_path string, count bigint").csv(path)
 

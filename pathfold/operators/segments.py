@@ -63,26 +63,31 @@ def _joined(items: Column, field: str) -> Column:
     return F.array_join(items[field], PATH_SEPARATOR)
 
 
-def pieces(local: DataFrame, keys: tuple[str, ...] = ("chunk",)) -> DataFrame:
+def pieces(local: DataFrame, keys: tuple[str, ...] = ("chunk",), timeline: bool = True) -> DataFrame:
     """Level 1: one row per (client, chunk keys, local_seg)."""
     # sort_array orders structs by their first field with a natural-order
     # comparator (array_sort without a comparator runs a lambda per comparison)
-    items = F.sort_array(F.collect_list(F.struct(
-        F.col("local_rn"), F.col("channel"), F.col("HitTimeStamp").cast("string").alias("ts"))))
+    fields = [F.col("local_rn"), F.col("channel")]
+    if timeline:
+        fields.append(F.col("HitTimeStamp").cast("string").alias("ts"))
+    items = F.sort_array(F.collect_list(F.struct(*fields)))
+    texts = [_joined(F.col("items"), "channel").alias("path_piece")]
+    if timeline:
+        texts.append(_joined(F.col("items"), "ts").alias("timeline_piece"))
     return (local.groupBy("ClientID", *keys, "local_seg")
             .agg(items.alias("items"), F.max("conv").alias("has_conv"), F.count(F.lit(1)).alias("n"))
-            .select("ClientID", *keys, "local_seg",
-                    _joined(F.col("items"), "channel").alias("path_piece"),
-                    _joined(F.col("items"), "ts").alias("timeline_piece"),
-                    "has_conv", "n"))
+            .select("ClientID", *keys, "local_seg", *texts, "has_conv", "n"))
 
 
 def segments(scoped: DataFrame, chunk_ms: int, mode: str = "both", clients: str = "all",
              trim: bool = False, keep_null_client: bool = False,
-             hot_rows: int | None = None) -> DataFrame:
+             hot_rows: int | None = None, timeline: bool = True) -> DataFrame:
     """Kept segments of ``scoped`` hits (ClientID, HitTimeStamp, channel, conv,
     qual, pre) as rows ClientID, seg, user_path, timeline, status, n_touches.
 
+    ``timeline=False`` leaves the timeline out (column and all its text):
+    reports that only count paths do not build or shuffle it.
+
     ``keep_null_client``: the hits of a null ClientID form one client (else
     they are dropped)."""
     if keep_null_client:
@@ -92,14 +97,16 @@ def segments(scoped: DataFrame, chunk_ms: int, mode: str = "both", clients: str
     cond = segment_filter(mode, clients, trim)
     # client-level conditions only read carry columns: Catalyst filters the
     # small side before the join
-    joined = join_carry(pieces(local_order(keyed, keys), keys), carry, keys) \
+    joined = join_carry(pieces(local_order(keyed, keys), keys, timeline), carry, keys) \
         .withColumn("seg", F.col("conv_before") + F.col("local_seg"))
     if cond is not None:
         joined = joined.filter(cond)
-    parts = F.sort_array(F.collect_list(F.struct(*keys, "path_piece", "timeline_piece")))
+    texts = ["path_piece", "timeline_piece"] if timeline else ["path_piece"]
+    parts = F.sort_array(F.collect_list(F.struct(*keys, *texts)))
+    out = [_joined(F.col("parts"), "path_piece").alias("user_path")]
+    if timeline:
+        out.append(_joined(F.col("parts"), "timeline_piece").alias("timeline"))
     return (joined.groupBy("ClientID", "seg")
             .agg(parts.alias("parts"), F.max("has_conv").alias("status"), F.sum("n").alias("n_touches"))
-            .select(decode_client() if keep_null_client else F.col("ClientID"), "seg",
-                    _joined(F.col("parts"), "path_piece").alias("user_path"),
-                    _joined(F.col("parts"), "timeline_piece").alias("timeline"),
+            .select(decode_client() if keep_null_client else F.col("ClientID"), "seg", *out,
                     "status", "n_touches"))

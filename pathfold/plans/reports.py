@@ -19,13 +19,14 @@ from .variants import CANONICAL, CSV_ERA, V2, Variant, scope
 
 
 def path_segments(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL,
-                  mode: str | None = None, clients: str | None = None) -> DataFrame:
-    """Kept paths: ClientID, seg, user_path, timeline, status, n_touches."""
+                  mode: str | None = None, clients: str | None = None,
+                  timeline: bool = True) -> DataFrame:
+    """Kept paths: ClientID, seg, user_path, [timeline,] status, n_touches."""
     d_mode, d_clients = variant.selection(params)
     return segments(scope(hits, params, variant), params.chunk_ms,
                     mode=mode or d_mode, clients=clients or d_clients,
                     trim=variant.trim, keep_null_client=variant.keep_null_client,
-                    hot_rows=params.hot_chunk_rows)
+                    hot_rows=params.hot_chunk_rows, timeline=timeline)
 
 
 def detail_report(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
@@ -36,11 +37,17 @@ def detail_report(hits: DataFrame, params: JobParams, variant: Variant = CANONIC
 
 
 def aggregate_report(detail: DataFrame) -> DataFrame:
-    """Clients per distinct path, most frequent first (path breaks ties)."""
+    """Clients per distinct path, most frequent first (path breaks ties), from
+    a detail report that is built anyway (the job runner)."""
     return (detail.groupBy("user_path").agg(F.count("ClientID").alias("count"))
             .orderBy(F.desc("count"), F.asc("user_path")))
 
 
+def path_counts(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
+    """The aggregate report straight from the hits, without building timelines."""
+    return aggregate_report(path_segments(hits, params, variant, timeline=False))
+
+
 def status_pivot(hits: DataFrame, params: JobParams, variant: Variant = V2) -> DataFrame:
     """paths, true, false, share: success / fail counts per path (null, not 0,
     when a path never has that status) and the path's share of all success
@@ -49,7 +56,8 @@ def status_pivot(hits: DataFrame, params: JobParams, variant: Variant = V2) -> D
     not a second pass over the paths, and no row goes through the driver."""
     scoped = scope(hits, params, variant)
     segs = segments(scoped, params.chunk_ms, mode="both", clients="all", trim=variant.trim,
-                    keep_null_client=variant.keep_null_client, hot_rows=params.hot_chunk_rows)
+                    keep_null_client=variant.keep_null_client, hot_rows=params.hot_chunk_rows,
+                    timeline=False)
     total = scoped.select(F.count_if(F.col("conv")).alias("total")).scalar()
     counts = segs.groupBy(F.col("user_path").alias("paths")).agg(
         F.sum(F.when(F.col("status"), F.lit(1))).alias("true"),
@@ -61,7 +69,7 @@ def status_pivot(hits: DataFrame, params: JobParams, variant: Variant = V2) -> D
 
 def top_paths(hits: DataFrame, params: JobParams, k: int = 10, variant: Variant = CSV_ERA) -> DataFrame:
     """The ``k`` most frequent success paths (utm-source channels): paths, count."""
-    segs = path_segments(hits, params, variant, mode="success", clients="all")
+    segs = path_segments(hits, params, variant, mode="success", clients="all", timeline=False)
     return (segs.groupBy(F.col("user_path").alias("paths")).agg(F.count(F.lit(1)).alias("count"))
             .orderBy(F.desc("count"), F.asc("paths")).limit(k))
 
