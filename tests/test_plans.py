@@ -55,3 +55,11 @@ def test_no_python_udf_no_cartesian_product(spark, tmp_path):
 def test_hits_shuffle_on_client_and_chunk(spark, tmp_path):
     plan = _plan(reports.detail_report(_hits(spark, tmp_path), PARAMS))
     assert re.search(r"hashpartitioning\(ClientID#\d+, chunk#\d+L", plan), plan
+
+
+def test_count_reports_build_no_timelines(spark, tmp_path):
+    hits = _hits(spark, tmp_path)
+    for df in (reports.path_counts(hits, PARAMS), reports.status_pivot(hits, PARAMS, V2)):
+        plan = _plan(df)
+        assert "timeline_piece" not in plan and "cast(HitTimeStamp" not in plan
+    assert "timeline_piece" in _plan(reports.detail_report(hits, PARAMS))
