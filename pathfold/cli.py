@@ -9,6 +9,7 @@ Optional for paths / pivot:
     --single_file=true      write each report as one file
     --chunk_ms=N            time-chunk width of the history scan (default one hour)
     --hot_chunk_rows=N      split chunks holding more than N hits (default: never)
+    --day_partition=COL     the log is partitioned by day in COL: read only the days needed
 """
 from __future__ import annotations
 
@@ -32,6 +33,8 @@ def main(argv: list[str]) -> int:
     options = parse_cli_options(rest) if cmd != "top" else {}
     single = options.pop("single_file", "false").strip().lower() == "true"
     tuning = {k: int(options.pop(k)) for k in ("chunk_ms", "hot_chunk_rows") if k in options}
+    if "day_partition" in options:
+        tuning["day_partition"] = options.pop("day_partition").strip()
     if cmd in COMMANDS:
         strict = cmd == "paths"
         params = JobParams.from_options(options, strict_dates=strict, **tuning)

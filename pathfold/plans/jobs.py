@@ -38,7 +38,8 @@ def path_reports(spark: SparkSession, params: JobParams, variant: Variant = CANO
     hits per conversion mark) as lazy DataFrames of a few rows each."""
     params.validate()
     if hits is None:
-        hits = read_hits(spark, params.flat_path, merge_schema=merge_schema)
+        hits = read_hits(spark, params.flat_path, merge_schema=merge_schema,
+                         day_column=params.day_partition, days=params.partition_days())
     detail = stage(spark, reports.detail_report(hits, params, variant), "detail")
     write_csv(detail, params.output_path_detail, single_file=single_file)
     write_csv(reports.aggregate_report(detail), params.output_path, single_file=single_file,
@@ -54,7 +55,8 @@ def pivot_report(spark: SparkSession, params: JobParams, hits: DataFrame | None
     if start >= finish:
         raise ValueError("`date_start` must be earlier than `date_finish`")
     if hits is None:
-        hits = read_hits(spark, params.flat_path, merge_schema=False)
+        hits = read_hits(spark, params.flat_path, merge_schema=False,
+                         day_column=params.day_partition, days=params.partition_days())
     path = (params.output_path or "") + params.report_name()
     write_csv(reports.status_pivot(hits, params, V2), path, single_file=single_file,
               sort_by=[F.desc("true"), F.asc("paths")] if single_file else None)

@@ -1,6 +1,7 @@
 """Hit-log readers (parquet, many paths) and the cast to the hit schema."""
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,9 +36,21 @@ def to_hit_schema(df: DataFrame) -> DataFrame:
     return df.select(*[_typed(df, name, t) for name, t in HIT_COLUMNS])
 
 
-def read_hits(spark: SparkSession, paths: str | Sequence[str], merge_schema: bool = True) -> DataFrame:
-    """Parquet hit log from one or more paths (comma list allowed)."""
+def read_hits(spark: SparkSession, paths: str | Sequence[str], merge_schema: bool = True,
+              day_column: str | None = None,
+              days: tuple[datetime.date, datetime.date] | None = None) -> DataFrame:
+    """Parquet hit log from one or more paths (comma list allowed).
+
+    A log partitioned by day (``.../dt=2024-01-10/...``) is read only for the
+    partitions with ``day_column`` in ``days`` (inclusive): a filter on the
+    partition column, so Spark lists and opens only those directories.
+    """
     if isinstance(paths, str):
         paths = [p.strip() for p in paths.split(",") if p.strip()]
     reader = spark.read.option("mergeSchema", "true" if merge_schema else "false")
-    return to_hit_schema(reader.parquet(*paths))
+    raw = reader.parquet(*paths)
+    if day_column is not None and days is not None:
+        first, last = days
+        day = F.col(day_column).cast("date")
+        raw = raw.filter((day >= F.lit(first)) & (day <= F.lit(last)))
+    return to_hit_schema(raw)

@@ -1,5 +1,6 @@
 """Sources and sinks: parquet with merged / legacy schemas, CSV, JSON config, job outputs."""
 import glob
+import re
 import json
 import os
 
@@ -134,3 +135,25 @@ def test_cli_paths_end_to_end(spark, tmp_path):
     assert detail.count() == 216 and detail.select("ClientID").distinct().count() == 94
     agg = spark.read.option("header", "true").schema("user_path string, count bigint").csv(str(tmp_path / "agg"))
     assert agg.agg({"count": "sum"}).first()[0] == 216
+
+
+def test_day_partition_pruning(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    import __spark_entry__ as E
+    from pathfold.plans import reports
+    from pathfold.sources import hits_from_events
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    log = str(tmp_path / "bydt")
+    (hits_from_events(spark, sf).withColumn("dt", F.to_date(F.timestamp_millis("HitTimeStamp")))
+     .write.partitionBy("dt").parquet(log))
+    p = JobParams(**{**E.PARAMS.__dict__, "day_partition": "dt"})
+    first, last = p.partition_days()
+    assert (str(first), str(last)) == ("2024-01-03", "2024-01-28")
+    pruned = read_hits(spark, log, day_column="dt", days=(first, last))
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*dt", plan), plan
+    assert reports.detail_report(pruned, p).count() == 216
+    assert reports.detail_report(read_hits(spark, log), p).count() == 216
