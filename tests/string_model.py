@@ -80,7 +80,7 @@ def _cut(touches, mode):
 
 
 def canonical(hits: list[dict], p) -> list[tuple]:
-    """ChainBuilder: detail rows (client, path, timeline) for p.achieve_mode."""
+    """Canonical report: detail rows (client, path, timeline) for p.achieve_mode."""
     lb, st, fin, t = p.lookback_ms, p.start_ms, p.finish_ms, set(p.target_numbers)
     scoped = [h for h in hits if lb <= h["HitTimeStamp"] < fin and h["ProjectID"] == p.project_id
               and (h["goal"] is None or h["goal"] in t) and h["src"] in p.source_platform
@@ -98,7 +98,7 @@ def canonical(hits: list[dict], p) -> list[tuple]:
 
 
 def v2_pivot(hits: list[dict], p) -> dict:
-    """ChainBuilder_v2: path -> (true, false, share)."""
+    """Pivot report (v2): path -> (true, false, share)."""
     st, fin, t = p.start_ms, p.finish_ms, set(p.target_numbers)
     rows = []
     for h in hits:
@@ -119,7 +119,7 @@ def v2_pivot(hits: list[dict], p) -> dict:
 
 
 def v3(hits: list[dict], p) -> list[tuple]:
-    """ChainBuilder_v3: converters' success paths; null goal -> -1, only
+    """v3 report: converters' success paths; null goal -> -1, only
     target goals and -1 kept, look-back cut."""
     lb, st, fin, t = p.lookback_ms, p.start_ms, p.finish_ms, set(p.target_numbers)
     rows = []
@@ -138,7 +138,7 @@ def v3(hits: list[dict], p) -> list[tuple]:
 
 
 def null_report(hits: list[dict], p) -> list[tuple]:
-    """ChainNullBuilder: non-converters' whole in-window history as one
+    """Null report: non-converters' whole in-window history as one
     unconverted path; every goal kept, every hit a touch."""
     st, fin, t = p.start_ms, p.finish_ms, set(p.target_numbers)
     scoped = [h for h in hits if st <= h["HitTimeStamp"] < fin and h["ProjectID"] == p.project_id
