@@ -33,15 +33,21 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     Set by the cluster; only when it is unset (tests, local runs) a fresh
-    temporary folder is created and registered.
+    temporary folder is created and registered as the context's checkpoint
+    folder (the conf itself cannot change at runtime).
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        try:
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext (Spark Connect)
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="pathfold-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:
+            pass
     return d
 
 
