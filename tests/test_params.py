@@ -87,3 +87,35 @@ def test_cluster_conf_sizes_partitions():
     conf = cluster_conf(100 * (1 << 40))  # 100 TiB
     assert conf["spark.sql.shuffle.partitions"] == str(100 * (1 << 40) // (256 << 20))
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_shared_dir_falls_back_only_when_unset():
+    import os
+
+    from pathfold.session import shared_dir
+
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default=None):
+            return self.value if key == "spark.checkpoint.dir" else default
+
+    class Ctx:
+        def __init__(self):
+            self.dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class Session:
+        def __init__(self, value):
+            self.conf, self.sparkContext = Conf(value), Ctx()
+
+    assert shared_dir(Session("hdfs:///shared/ckpt")) == "hdfs:///shared/ckpt"
+    s = Session(None)
+    d = shared_dir(s)
+    assert os.path.isdir(d) and s.sparkContext.dir == d
