@@ -48,10 +48,16 @@ HIT_COLS = ["ProjectID", "ClientID", "HitTimeStamp", "ga_sourcemedium", "utm_sou
             "src"]
 
 
-def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _all_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits_from_events(spark, sf_dir)
 
 
+def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits in [look-back, finish), the widest range any report scope reads;
+    the range also reaches the events scan as a filter on ``ts``."""
+    return hits_from_events(spark, sf_dir, PARAMS.lookback_ms, PARAMS.finish_ms)
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
@@ -109,7 +115,7 @@ def q_utm_source_paths_top10(spark, sf_dir):
 
 
 def q_hits_scan(spark, sf_dir):
-    return _hits(spark, sf_dir)
+    return _all_hits(spark, sf_dir)
 
 
 def q_hits_in_scope(spark, sf_dir):
@@ -198,7 +204,7 @@ def q_csv_scan(spark, sf_dir):
     """Write the CSV-era log (8 columns, ';', header) to the shared folder and
     read it back through the CSV source."""
     path = _scratch(spark, "csv-hits")
-    _hits(spark, sf_dir).select(*CSV_HIT_COLUMNS).write.option("header", "true") \
+    _all_hits(spark, sf_dir).select(*CSV_HIT_COLUMNS).write.option("header", "true") \
         .option("sep", ";").csv(path)
     return read_csv_hits(spark, path)
 

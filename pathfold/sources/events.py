@@ -5,7 +5,9 @@ DuckDB oracle, so both engines see identical hits.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import epoch_ms_ntz
@@ -36,5 +38,21 @@ def events_to_hits(events: DataFrame) -> DataFrame:
     return to_hit_schema(hits)
 
 
-def hits_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_to_hits(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+def _ntz(ms: int) -> Column:
+    """The timestamp_ntz whose epoch-ms value (as HitTimeStamp computes it) is ``ms``."""
+    t = datetime.datetime(1970, 1, 1) + datetime.timedelta(milliseconds=ms)
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
+def hits_from_events(spark: SparkSession, sf_dir: str, since_ms: int | None = None,
+                     until_ms: int | None = None) -> DataFrame:
+    """Hits of the ``events`` table; with ``since_ms`` / ``until_ms`` only those
+    with since <= HitTimeStamp < until.  That range is also put on ``ts``
+    itself (exactly the same rows: HitTimeStamp truncates ts to the ms), so
+    the parquet reader skips row groups outside it."""
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    if since_ms is not None:
+        events = events.filter(F.col("ts") >= _ntz(since_ms))
+    if until_ms is not None:
+        events = events.filter(F.col("ts") < _ntz(until_ms))
+    return events_to_hits(events)
