@@ -157,3 +157,39 @@ def test_day_partition_pruning(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*dt", plan), plan
     assert reports.detail_report(pruned, p).count() == 216
     assert reports.detail_report(read_hits(spark, log), p).count() == 216
+
+
+def test_cli_pivot_and_top_end_to_end(spark, tmp_path, capsys):
+    from pathfold import cli
+    from pathfold.constants import CSV_HIT_COLUMNS
+    from pathfold.sources import hits_from_events
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    hits = hits_from_events(spark, sf)
+    log = str(tmp_path / "log")
+    hits.write.parquet(log)
+    args = ["pivot", "--projectID=3", "--date_start=2024-01-10", "--date_tHOLD=2024-01-10",
+            "--date_finish=2024-01-28", "--target_numbers=[3,5]", "--product_name=null",
+            "--source_platform=[adriver,dcm,ga,bq]", "--achieve_mode=true", f"--flat_path={log}",
+            f"--output_path={tmp_path}/", "--output_pathD=unused", "--single_file=true"]
+    assert cli.main(args) == 0
+    out = glob.glob(str(tmp_path / "3_2024-01-10_2024-01-28_null_3;5" / "part-*.csv"))
+    assert len(out) == 1
+    pivot = spark.read.option("header", "true").schema(
+        "paths string, true bigint, false bigint, share double").csv(out[0])
+    total = pivot.agg({"true": "sum"}).first()[0]
+    assert total > 0 and abs(pivot.agg({"share": "sum"}).first()[0] - 1.0) < 1e-9
+
+    csv_log = str(tmp_path / "log.csv")
+    hits.select(*CSV_HIT_COLUMNS).write.option("header", "true").option("sep", ";").csv(csv_log)
+    config = str(tmp_path / "params.json")
+    with open(config, "w") as f:
+        json.dump({"projectID": 3, "date_start": "2024-01-10", "date_finish": "2024-01-28",
+                   "target_numbers": [3, 5], "product_name": None,
+                   "source_platform": ["adriver", "dcm", "ga", "bq"], "flat_path": csv_log,
+                   "output_path": str(tmp_path)}, f)
+    capsys.readouterr()
+    assert cli.main(["top", config]) == 0
+    shown = capsys.readouterr().out
+    assert "paths" in shown and "count" in shown
