@@ -19,17 +19,19 @@ hit_st = st.builds(
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
 
-def _params(mode, chunk, hot=None):
-    return JobParams(project_id=1, date_start=20, date_finish=50, date_lookback=5,
-                     target_numbers=(3, 5), source_platform=("ga", "bq"), achieve_mode=mode,
-                     chunk_ms=chunk, hot_chunk_rows=hot)
+def _params(mode, chunk, hot=None, start=20, width=30, back=15):
+    return JobParams(project_id=1, date_start=start, date_finish=start + width,
+                     date_lookback=max(0, start - back), target_numbers=(3, 5),
+                     source_platform=("ga", "bq"), achieve_mode=mode, chunk_ms=chunk,
+                     hot_chunk_rows=hot)
 
 
 @SETTINGS
 @given(st.lists(hit_st, min_size=1, max_size=40), st.sampled_from(["true", "false"]),
-       st.sampled_from([1, 4, 9, 1000]), st.sampled_from([None, None, 1, 3]))
-def test_canonical_matches_model(spark, rows, mode, chunk, hot):
-    p = _params(mode, chunk, hot)
+       st.sampled_from([1, 4, 9, 1000]), st.sampled_from([None, None, 1, 3]),
+       st.integers(0, 40), st.integers(1, 40), st.integers(0, 20))
+def test_canonical_matches_model(spark, rows, mode, chunk, hot, start, width, back):
+    p = _params(mode, chunk, hot, start, width, back)
     df = spark.createDataFrame(rows, HIT_DDL).repartition(3)
     got = sorted((r.ClientID, r.user_path, r.timeline) for r in reports.detail_report(df, p).collect())
     expected = string_model.canonical([dict(zip(NAMES, r)) for r in rows], p)
