@@ -119,3 +119,14 @@ def test_shared_dir_falls_back_only_when_unset():
     s = Session(None)
     d = shared_dir(s)
     assert os.path.isdir(d) and s.sparkContext.dir == d
+
+
+def test_tuning_values_are_checked():
+    with pytest.raises(ValueError):
+        JobParams(**{**BASE, "chunk_ms": 0})
+    with pytest.raises(ValueError):
+        JobParams(**{**BASE, "hot_chunk_rows": 0})
+    with pytest.raises(ValueError):
+        JobParams(**{**BASE, "target_numbers": ()})
+    p = JobParams(**{**BASE, "chunk_ms": 60_000, "hot_chunk_rows": 5, "day_partition": "dt"})
+    assert (p.chunk_ms, p.hot_chunk_rows, p.day_partition) == (60_000, 5, "dt")
