@@ -37,17 +37,26 @@ def _rows(columns, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE",
+                 "int": "INTEGER"}
+
+
 def compare(spark, name, query, sql, sf_dir, con) -> tuple[bool, str]:
     t0 = time.time()
     sdf = query(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     rel = con.sql(sql)
     d_cols = rel.columns
+    d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
     d_rows = rel.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={s_cols} oracle={d_cols}"
+    if s_types != d_types:
+        return False, f"types differ: spark={s_types} oracle={d_types}"
     if len(s_rows) != len(d_rows):
         return False, f"row count spark={len(s_rows)} oracle={len(d_rows)}"
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
