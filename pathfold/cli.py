@@ -13,13 +13,19 @@ Optional for paths / pivot:
 """
 from __future__ import annotations
 
+import os
 import sys
 
-from pyspark.sql import SparkSession
+if __package__ in (None, ""):
+    # run as a script (spark-submit pathfold/cli.py): make the package importable;
+    # only the driver needs it - every operator runs as built-in Spark SQL
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from .params import JobParams, parse_cli_options
-from .plans import jobs
-from .sources import read_config
+from pyspark.sql import SparkSession  # noqa: E402
+
+from pathfold.params import JobParams, parse_cli_options  # noqa: E402
+from pathfold.plans import jobs  # noqa: E402
+from pathfold.sources import read_config  # noqa: E402
 
 COMMANDS = {"paths": "canonical", "paths-v3": "v3", "paths-null": "null"}
 
