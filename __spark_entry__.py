@@ -272,6 +272,23 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# The training-data operators are a separate subpackage with their own queries
+# and SQL; everything else works without it.
+_LLM_ORACLE: dict[str, str] = {}
+try:
+    from pathfold.llm import queries as _llm  # noqa: E402
+    import corpus_pipeline as _corpus_pipeline  # noqa: E402
+except ModuleNotFoundError as e:
+    if not (e.name or "").startswith(("pathfold.llm", "corpus_pipeline")):
+        raise
+else:
+    _QUERIES.update(_llm.QUERIES)
+    _QUERIES["pipeline"] = _corpus_pipeline.run
+    _LLM_ORACLE.update(_llm.ORACLE)
+    if _corpus_pipeline.ORACLE_SQL is not None:
+        _LLM_ORACLE["pipeline"] = _corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: clients per converting path on sf0.001."""
     return q_paths_success_agg(spark, "/root/testdata/sf0.001")
@@ -417,7 +434,7 @@ def oracle_sql() -> dict[str, str]:
     seq = _with(_HITS_CTE, _flags_cte(CANONICAL), _SEQ_CTE)
     csv_cols = set(CSV_HIT_COLUMNS)
     csv_select = ", ".join(c if c in csv_cols else f"CAST(NULL AS VARCHAR) AS {c}" for c in HIT_COLS)
-    return {
+    return _LLM_ORACLE | {
         "paths_success_agg": _paths_sql(CANONICAL, "success", "converters", _AGG),
         "paths_success_agg_hot_split": _paths_sql(CANONICAL, "success", "converters", _AGG),
         "hits_scan": _with(_HITS_CTE) + f"SELECT {_ALL_HIT_COLS} FROM hits",
