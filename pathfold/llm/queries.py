@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontam, packing, toxicity
+from . import decontam, linedup, neardup, packing, secrets, toxicity
 from .common import staged, table
 
 CAPACITY = 2048
@@ -38,9 +38,26 @@ def op5_decontamination(spark, sf_dir):
                         (F.size("spans") > 0).alias("contaminated"))
 
 
+def op6_minhash_near_dedup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("key")
+
+
+def op7_line_dedup(spark, sf_dir):
+    return linedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", *[F.col(f"_dedup.{c}").cast("long").alias(c) for c in ("n_lines", "n_chunks", "n_removed", "n_removed_lines")],
+        "text")
+
+
+def op8_secret_scan(spark, sf_dir):
+    return secrets.per_document(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_secret_scan": op8_secret_scan,
 }
 ORACLE: dict[str, str] = {}
