@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontam, linedup, neardup, packing, secrets, toxicity
+from . import ann, decontam, licenses, linedup, neardup, packing, secrets, toxicity
 from .common import staged, table
 
 CAPACITY = 2048
@@ -52,6 +52,21 @@ def op8_secret_scan(spark, sf_dir):
     return secrets.per_document(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op9_license_scan(spark, sf_dir):
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    names = lambda c: F.transform(c, lambda x: x["label"])
+    text = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
+    words = F.transform("places", lambda x: x["word"])
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"), text(names(F.col("places"))).alias("base_labels"),
+        text(F.concat(names(F.col("places")), names(F.col("detections")))).alias("labels"), "score")
+
+
+def op10_collision_counting_ann(spark, sf_dir):
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_toxicity": op4_toxicity,
@@ -59,5 +74,7 @@ QUERIES = {
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_secret_scan": op8_secret_scan,
+    "op9_license_scan": op9_license_scan,
+    "op10_collision_counting_ann": op10_collision_counting_ann,
 }
 ORACLE: dict[str, str] = {}
