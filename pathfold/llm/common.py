@@ -7,6 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,3 +78,73 @@ def blank_words(text: bytes) -> list[bytes]:
 def row_key(*cols: str):
     """A key for a row by content: rows alike in ``cols`` are one document."""
     return F.xxhash64(*[F.col(c) for c in cols])
+
+
+# --- hashes of blank-separated words, for whole slices of text at once ------------------------------------------------
+
+_BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64)
+_BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, one after the other, and where
+    each text's words begin (one entry more than texts).  Words are as in
+    ``blank_words``; the hash is a polynomial over their bytes, mixed."""
+    joined = np.frombuffer(b" ".join([*texts, b""]), dtype=np.uint8)
+    ends_of_text = np.cumsum([len(t) + 1 for t in texts])
+    blank = np.concatenate([[True], _BLANK[joined], [True]])
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.zeros(len(joined) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[joined] * _powers(HASH_BASE, len(joined)), out=sums[1:])
+    back = _powers(_BACK, len(joined) + 1)  # takes a sum back to the word's beginning
+    words = mix64((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    return words, np.searchsorted(starts, np.concatenate([[0], ends_of_text]))
+
+
+def text_slices(batches, text_at: int, most: int = 1 << 20):
+    """Slices of record batches of about ``most`` bytes of text, or one long text, with the texts."""
+    for whole in batches:
+        texts = utf8(whole.column(text_at))
+        i = 0
+        while i < len(texts):
+            j, size = i + 1, len(texts[i])
+            while j < len(texts) and size + len(texts[j]) < most:
+                size += len(texts[j])
+                j += 1
+            yield whole.slice(i, j - i), texts[i:j]
+            i = j
+
+
+def runs(batches, key_at: int = 0):
+    """The rows of a partition sorted by a key, as one table per key."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key_at).to_numpy()
+        bounds = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            part = batch.slice(a, b - a)
+            if held and held[-1].column(key_at)[0] != part.column(key_at)[0]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pa.Table.from_batches(held)

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, decontam, licenses, linedup, neardup, packing, secrets, toxicity
+from . import ann, decontam, licenses, linedup, lm_score, neardup, packing, secrets, toxicity
 from .common import staged, table
 
 CAPACITY = 2048
@@ -20,6 +20,11 @@ def op1_best_fit_packing(spark, sf_dir):
     return packing.pack_pieces(pieces, CAPACITY)
 
 
+def op2_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.score(docs.withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 5 == 1))
+
+
 #: the label table's columns in the order of the chain
 CATEGORIES = ["quality", "toxic"]
 
@@ -69,6 +74,7 @@ def op10_collision_counting_ann(spark, sf_dir):
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_lm_scoring": op2_lm_scoring,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
