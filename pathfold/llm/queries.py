@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, decontam, licenses, linedup, lm_score, neardup, packing, secrets, toxicity
+from . import ann, chat, decontam, licenses, linedup, lm_score, neardup, packing, secrets, toxicity
 from .common import staged, table
 
 CAPACITY = 2048
@@ -25,6 +25,14 @@ def op2_lm_scoring(spark, sf_dir):
     return lm_score.score(docs.withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 5 == 1))
 
 
+def op3_preference_formatting(spark, sf_dir):
+    """Conversations 2i and 2i + 1 as the chosen and the rejected one of pair i."""
+    turns = table(spark, sf_dir, "conversations")
+    return chat.preference_turns(turns.select(
+        F.expr("conv_id div 2").alias("pair_id"), F.when(F.col("conv_id") % 2 == 0, "chosen").otherwise("rejected").alias("side"),
+        "turn", "role", "text"))
+
+
 #: the label table's columns in the order of the chain
 CATEGORIES = ["quality", "toxic"]
 
@@ -75,6 +83,7 @@ def op10_collision_counting_ann(spark, sf_dir):
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_preference_formatting": op3_preference_formatting,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
@@ -83,4 +92,127 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_collision_counting_ann": op10_collision_counting_ann,
 }
-ORACLE: dict[str, str] = {}
+
+
+# --- SQL, where it can express an operator ----------------------------------------------------------------------------
+
+_SQL3 = """WITH own AS (
+  SELECT conv_id // 2 AS pair_id, CASE WHEN conv_id % 2 = 0 THEN 'chosen' ELSE 'rejected' END AS side, turn, role, text
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+by_turn AS (
+  SELECT pair_id, turn,
+    list_sort(list({'role': role, 'text': text}) FILTER (side = 'chosen')) AS c,
+    list_sort(list({'role': role, 'text': text}) FILTER (side = 'rejected')) AS r
+  FROM own GROUP BY ALL),
+pairs AS (
+  SELECT pair_id, min(turn) FILTER (c IS DISTINCT FROM r) AS first_diff
+  FROM by_turn GROUP BY pair_id HAVING count(c) > 0 AND count(r) > 0),
+parts AS (
+  SELECT o.pair_id, o.turn, o.role, o.text, o.side,
+    CASE WHEN p.first_diff IS NULL OR o.turn < p.first_diff THEN 'prompt' ELSE o.side END AS part
+  FROM own o JOIN pairs p USING (pair_id))
+SELECT pair_id, part, turn, role, text,
+  '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10) AS rendered,
+  part <> 'prompt' AND role IS NOT DISTINCT FROM 'assistant' AS trained
+FROM parts WHERE part <> 'prompt' OR side = 'chosen'"""
+
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_SQL5 = f"""WITH items AS (
+  SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_ALNUM}') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, list_slice(w, i, i + least(len(w), 10) - 1) AS win
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(win) AS n FROM windows),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_ALNUM}') AS w FROM documents),
+places AS (
+  SELECT r, i, n, list_slice(w, i, i + n - 1) AS win
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, sizes WHERE len(w) >= n)),
+hits AS (SELECT r, i, n, item_id FROM places JOIN windows USING (win)),
+marked AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hits) GROUP BY r),
+found AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN marked USING (r) LEFT JOIN found USING (r)"""
+
+_SQL6 = f"""WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, hash(list_slice(w, i, i + 4)) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both FROM shingles x JOIN shingles y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * n_both >= 75 * (p.n + q.n - n_both)),
+reach AS (
+  SELECT doc_id, doc_id AS c FROM documents UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.doc_id WHERE r.c < l.b)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT doc_id, min(c) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)"""
+
+_SQL7 = r"""WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+marked AS (
+  SELECT *, list_transform(lines, lambda x: CAST('0x' || substr(md5(x), 1, 7) AS BIGINT)) AS h,
+    list_transform(lines, lambda x: len(regexp_extract_all(x, '[^ 	-
+]+')) >= 50) AS big FROM docs),
+cut AS (
+  SELECT *, list_filter(range(1, len(lines) + 1), lambda i: i = 1 OR big[i] OR big[i - 1]
+    OR (CASE WHEN i > 2 THEN h[i - 2] ELSE 0 END * 31 + h[i - 1]) % 3 = 0) AS starts FROM marked),
+chunks AS (
+  SELECT r, doc_id, text AS whole, k, s, e - s AS n_lines, array_to_string(list_slice(lines, s, e - 1), chr(10)) AS chunk, big[s] AS is_big
+  FROM (SELECT *, starts[k] AS s, coalesce(starts[k + 1], len(lines) + 1) AS e
+        FROM (SELECT *, unnest(range(1, len(starts) + 1)) AS k FROM cut))),
+able AS (SELECT * FROM chunks WHERE is_big OR (n_lines > 1 AND length(chunk) >= 80)),
+known AS (
+  SELECT chunk, min({'d': doc_id, 't': whole, 'k': k}) AS first FROM able GROUP BY chunk HAVING count(*) > 1),
+gone AS (SELECT r, k FROM able JOIN known USING (chunk) WHERE {'d': doc_id, 't': whole, 'k': k} IS DISTINCT FROM first)
+SELECT doc_id, CAST(sum(n_lines) AS BIGINT) AS n_lines, count(*) AS n_chunks, count(gone.k) AS n_removed,
+  CAST(coalesce(sum(n_lines) FILTER (gone.k IS NOT NULL), 0) AS BIGINT) AS n_removed_lines,
+  coalesce(string_agg(chunk, chr(10) ORDER BY chunks.k) FILTER (gone.k IS NULL), '') AS text
+FROM chunks LEFT JOIN gone USING (r, k) GROUP BY r, doc_id"""
+
+
+def _sql8() -> str:
+    """Places of matches from the parts between them, as the operator has them."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    kinds = []
+    for no, (kind, pattern, group, least) in enumerate(secrets.KINDS):
+        p = quoted(pattern)
+        kinds.append(f"""SELECT r, doc_id, source, {no} AS no, '{kind}' AS kind, g, m, val FROM (
+  SELECT r, doc_id, source, list_slice(string_split_regex(t, {p}), 1, len(regexp_extract_all(t, {p}))) AS g,
+    regexp_extract_all(t, {p}) AS m, regexp_extract_all(t, {p}, {group}) AS val FROM docs) WHERE len(m) > 0""")
+    base = ", ".join(quoted(k) for k in secrets.BASE)
+    return f"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+matched AS ({' UNION ALL '.join(kinds)}),
+each AS (
+  SELECT r, doc_id, source, no, kind, val[i] AS val, length(m[i]) AS n,
+    CAST(sum(length(g[i]) + length(m[i])) OVER (PARTITION BY r, no ORDER BY i) AS BIGINT) AS e
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM matched)),
+spans AS (
+  SELECT *, e - n AS s, kind || ':' || CAST(e - n AS VARCHAR) || ':' || CAST(e AS VARCHAR) AS told FROM each
+  WHERE length(val) >= [{', '.join(str(n) for *_, n in secrets.KINDS)}][no + 1]),
+owned AS (SELECT val, count(DISTINCT coalesce(source, '')) AS owners FROM spans GROUP BY val),
+judged AS (
+  SELECT *, owners >= 3 AS copied, owners < 3 AND NOT regexp_matches(val, {quoted(secrets.PLACEHOLDER)})
+    AND len(list_distinct(string_split(val, ''))) >= 8 AS live FROM spans JOIN owned USING (val)),
+told AS (
+  SELECT r, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secrets.BASE)},
+    string_agg(told, ',' ORDER BY s, no) FILTER (kind IN ({base})) AS base, string_agg(told, ',' ORDER BY s, no) AS spans,
+    count(*) FILTER (copied) AS n_copied, count(*) FILTER (live) AS n_live FROM judged GROUP BY r)
+SELECT doc_id, {', '.join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.BASE)}, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(n_copied, 0) AS n_copied, coalesce(n_live, 0) AS n_live
+FROM docs LEFT JOIN told USING (r)"""
+
+
+ORACLE: dict[str, str] = {
+    "op3_preference_formatting": _SQL3,
+    "op5_decontamination": _SQL5,
+    "op6_minhash_near_dedup": _SQL6,
+    "op7_line_dedup": _SQL7,
+    "op8_secret_scan": _sql8(),
+}
