@@ -21,15 +21,15 @@ from pyspark.sql import functions as F
 # the package lives next to this file; make it importable from any working directory
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pathfold import JobParams  # noqa: E402
-from pathfold.functions import conversion_mark, local_midnight_ms, tagged_touch  # noqa: E402
+from pathfold import JobParams, date_to_epoch_ms  # noqa: E402
+from pathfold.functions import conversion_mark, local_midnight_ms, tagged_touch, touch_map  # noqa: E402
 from pathfold.operators import clients as client_sets  # noqa: E402
 from pathfold.operators import filters  # noqa: E402
-from pathfold.plans import CANONICAL, CSV_ERA, NULL, V2, V3, reports  # noqa: E402
+from pathfold.plans import CANONICAL, CSV_ERA, NULL, V2, V3, jobs, reports  # noqa: E402
 from pathfold.plans.variants import filtered_hits, scope  # noqa: E402
 from pathfold.session import shared_dir  # noqa: E402
 from pathfold.sinks import write_csv  # noqa: E402
-from pathfold.sources import hits_from_events, read_csv_hits  # noqa: E402
+from pathfold.sources import events_to_hits, hits_from_events, read_csv_hits, read_hits  # noqa: E402
 from pathfold.constants import CSV_HIT_COLUMNS  # noqa: E402
 
 # Fixture parameters (FIXTURES.md section 3): project 3, goals 3 and 5, all
@@ -39,9 +39,12 @@ PARAMS = JobParams(project_id=3, date_start="2024-01-10", date_lookback="2024-01
                    source_platform=("adriver", "dcm", "ga", "bq"), achieve_mode="true")
 FAIL_PARAMS = JobParams(**{**PARAMS.__dict__, "achieve_mode": "false"})
 PRODUCT_PARAMS = JobParams(**{**PARAMS.__dict__, "product_name": "p1"})
-# same report, planned with day chunks and every chunk of more than one hit
-# split into sub-chunks (the busy-client path of the sequence scan)
-SPLIT_PARAMS = JobParams(**{**PARAMS.__dict__, "chunk_ms": 86_400_000, "hot_chunk_rows": 1})
+# same report with every client of more than 1/2000 of the hits cut into chunks
+# (the heavy-client path of the sequence scan)
+SPLIT_PARAMS = JobParams(**{**PARAMS.__dict__, "heavy_share": 2000, "heavy_rows": 1})
+# for the second mapping of events: the seizmik platform too
+TIED_PARAMS = JobParams(**{**PARAMS.__dict__, "source_platform": ("adriver", "dcm", "seizmik", "ga", "bq")})
+TIED_FAIL_PARAMS = JobParams(**{**TIED_PARAMS.__dict__, "achieve_mode": "false"})
 
 HIT_COLS = ["ProjectID", "ClientID", "HitTimeStamp", "ga_sourcemedium", "utm_source", "utm_medium",
             "utm_campaign", "interaction_type", "dcm_placement_id", "profile", "ga_location", "goal",
@@ -58,6 +61,21 @@ def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits_from_events(spark, sf_dir, PARAMS.lookback_ms, PARAMS.finish_ms)
 
 
+def _tied_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second mapping of events to hits, with what tells the variants apart:
+    clients without id, goals given as -1, the seizmik platform, and whole-hour
+    timestamps, so that many hits of a client are at the same instant."""
+    eid = F.expr("event_id")
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    named = {"ClientID": F.when(eid % 23 == 0, None).otherwise(F.concat((F.col("user_id") % 400).cast("string"), F.lit("_"), (eid % 2).cast("string"))),
+             "goal": F.when(F.col("event_type") == "signup", 3).when(F.col("event_type") == "purchase", 5)
+             .when(F.col("event_type") == "error", 7).when((F.col("event_type") == "view") & (eid % 2 == 0), -1).cast("bigint"),
+             "src": F.when(eid % 5 == 0, "adriver").when(eid % 5 == 1, "dcm").when(eid % 5 == 2, "ga").when(eid % 5 == 3, "bq").otherwise("seizmik")}
+    base = events_to_hits(events, keep=("event_id", "user_id", "event_type"))
+    ts = F.col("HitTimeStamp")
+    return base.withColumns(named).withColumn("HitTimeStamp", ts - ts % 3_600_000).select(*HIT_COLS)
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
@@ -157,9 +175,13 @@ def q_tagged_touch(spark, sf_dir):
 
 
 def q_date_bounds(spark, sf_dir):
+    """Local midnights of the days in ``events``: as a column expression, and as
+    the jobs have them from their parameters."""
     days = (spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
             .select(F.to_date("ts").cast("string").alias("day")).distinct())
-    return days.select("day", local_midnight_ms(F.col("day"), PARAMS.zone).alias("midnight_ms"))
+    known = [(r.day, date_to_epoch_ms(r.day, PARAMS.zone)) for r in days.where("day is not null").collect()]  # one row a day
+    return (days.join(spark.createDataFrame(known, "day string, job_midnight_ms bigint"), "day")
+            .select("day", local_midnight_ms(F.col("day"), PARAMS.zone).alias("midnight_ms"), "job_midnight_ms"))
 
 
 def q_converters(spark, sf_dir):
@@ -218,10 +240,9 @@ def q_report_csv_roundtrip(spark, sf_dir):
 
 
 def q_report_agg_csv_roundtrip(spark, sf_dir):
-    """Write the path counts as one sorted CSV file and read it back."""
+    """Write the path counts as CSV, in parallel, and read them back."""
     path = _scratch(spark, "agg-report")
-    agg = reports.path_counts(_hits(spark, sf_dir), PARAMS)
-    write_csv(agg, path, single_file=True, sort_by=[F.desc("count"), F.asc("user_path")])
+    write_csv(reports.path_counts(_hits(spark, sf_dir), PARAMS), path)
     return spark.read.option("header", "true").schema("user_path string, count bigint").csv(path)
 
 
@@ -233,6 +254,67 @@ def q_report_pivot_csv_roundtrip(spark, sf_dir):
     return spark.read.option("header", "true").schema(schema).csv(path)
 
 
+def q_read_merged_logs(spark, sf_dir):
+    """Two parquet logs read as one with merged schemas: hits at even milliseconds
+    under today's column names, the others under the older ones and without placement."""
+    new, old = _scratch(spark, "log-new"), _scratch(spark, "log-old")
+    hits, even = _all_hits(spark, sf_dir), F.col("HitTimeStamp") % 2 == 0
+    hits.where(even).write.parquet(new)
+    (hits.where(~even).withColumnRenamed("interaction_type", "adr_typenum").withColumnRenamed("profile", "adr_profile")
+     .drop("dcm_placement_id").write.parquet(old))
+    return read_hits(spark, [new, old])
+
+
+def q_read_unmerged_log(spark, sf_dir):
+    """A parquet log read without merging schemas."""
+    path = _scratch(spark, "log")
+    _all_hits(spark, sf_dir).write.parquet(path)
+    return read_hits(spark, path, merge_schema=False)
+
+
+def q_read_csv_orders(spark, sf_dir):
+    """Two CSV logs whose columns stand in different order."""
+    one, two = _scratch(spark, "csv-one"), _scratch(spark, "csv-two")
+    hits, even = _all_hits(spark, sf_dir), F.col("HitTimeStamp") % 2 == 0
+    for part, columns, path in ((even, CSV_HIT_COLUMNS, one), (~even, CSV_HIT_COLUMNS[::-1], two)):
+        hits.where(part).select(*columns).write.option("header", "true").option("sep", ";").csv(path)
+    return read_csv_hits(spark, [one, two])
+
+
+def q_conversion_flag_old(spark, sf_dir):
+    return scope(_hits(spark, sf_dir), PARAMS, CSV_ERA).select(
+        "ClientID", "HitTimeStamp", "channel", conversion_mark(F.col("conv"), old_style=True).alias("conversion"))
+
+
+def q_tagged_touch_old(spark, sf_dir):
+    return scope(_hits(spark, sf_dir), PARAMS, CSV_ERA).select(
+        "ClientID", "HitTimeStamp", tagged_touch(F.col("channel"), F.col("conv"), old_style=True).alias("channel_conv"))
+
+
+def q_touch_map(spark, sf_dir):
+    """The touch records, each map's entry as key and value."""
+    return scope(_hits(spark, sf_dir), PARAMS, CANONICAL).select(
+        "ClientID", F.explode(touch_map(tagged_touch(F.col("channel"), F.col("conv")))).alias("touch", "ts"))
+
+
+def q_pivot_job(spark, sf_dir):
+    """The pivot job's report under the name that the job gives it."""
+    params = JobParams(**{**PARAMS.__dict__, "output_path": _scratch(spark, "pivot-job")})
+    path = jobs.pivot_report(spark, params, hits=_hits(spark, sf_dir))
+    if not path.endswith("3_2024-01-10_2024-01-28_None_3;5"):
+        raise ValueError(f"unexpected report name {path}")
+    schema = "paths string, true bigint, false bigint, share double"
+    return spark.read.option("header", "true").schema(schema).csv(path)
+
+
+def _tied(report, params, variant):
+    return lambda spark, sf_dir: report(_tied_hits(spark, sf_dir), params, variant)
+
+
+#: (variant, parameters) of the reports over the second mapping
+_TIED = {"canonical": (CANONICAL, TIED_PARAMS), "canonical_fail": (CANONICAL, TIED_FAIL_PARAMS), "v3": (V3, TIED_PARAMS),
+         "null": (NULL, TIED_PARAMS), "v2": (V2, TIED_PARAMS), "csv": (CSV_ERA, TIED_PARAMS)}
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "paths_success_agg": q_paths_success_agg,
     "paths_success_agg_hot_split": q_paths_success_agg_hot_split,
@@ -269,11 +351,22 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_csv_roundtrip": q_report_csv_roundtrip,
     "report_agg_csv_roundtrip": q_report_agg_csv_roundtrip,
     "report_pivot_csv_roundtrip": q_report_pivot_csv_roundtrip,
+    "read_merged_logs": q_read_merged_logs,
+    "read_unmerged_log": q_read_unmerged_log,
+    "read_csv_orders": q_read_csv_orders,
+    "conversion_flag_old": q_conversion_flag_old,
+    "tagged_touch_old": q_tagged_touch_old,
+    "touch_map": q_touch_map,
+    "pivot_job": q_pivot_job,
+    **{f"tied_{name}_detail": _tied(reports.detail_report, p, v) for name, (v, p) in _TIED.items()},
+    **{f"tied_{name}_agg": _tied(reports.path_counts, p, v) for name, (v, p) in _TIED.items()},
+    **{f"tied_{name}_pivot": _tied(reports.status_pivot, p, v) for name, (v, p) in _TIED.items() if name != "canonical_fail"},
 }
 
 
 # The training-data operators are a separate subpackage with their own queries
 # and SQL; everything else works without it.
+_LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _LLM_ORACLE: dict[str, str] = {}
 try:
     from pathfold.llm import queries as _llm  # noqa: E402
@@ -282,8 +375,7 @@ except ModuleNotFoundError as e:
     if not (e.name or "").startswith(("pathfold.llm", "corpus_pipeline")):
         raise
 else:
-    _QUERIES.update(_llm.QUERIES)
-    _QUERIES["pipeline"] = _corpus_pipeline.run
+    _LLM_QUERIES.update(_llm.QUERIES, pipeline=_corpus_pipeline.run)
     _LLM_ORACLE.update(_llm.ORACLE)
     if _corpus_pipeline.ORACLE_SQL is not None:
         _LLM_ORACLE["pipeline"] = _corpus_pipeline.ORACLE_SQL
@@ -295,7 +387,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _LLM_QUERIES
 
 
 # ---------------------------------------------------------------------------
@@ -321,6 +413,25 @@ _HITS_CTE = """hits AS (
     CASE event_id % 4 WHEN 0 THEN 'adriver' WHEN 1 THEN 'dcm' WHEN 2 THEN 'ga' ELSE 'bq' END AS src
   FROM events)"""
 
+# the second mapping, see _tied_hits
+_TIED_CTE = """hits AS (
+  SELECT
+    CAST(CASE WHEN event_id % 10 = 0 THEN 1 ELSE 3 END AS BIGINT) AS ProjectID,
+    CASE WHEN event_id % 23 <> 0 THEN CAST(user_id % 400 AS VARCHAR) || '_' || CAST(event_id % 2 AS VARCHAR) END AS ClientID,
+    CAST(epoch_us(ts) // 1000 - epoch_us(ts) // 1000 % 3600000 AS BIGINT) AS HitTimeStamp,
+    CASE WHEN event_id % 4 IN (2, 3) THEN 'site' || CAST(user_id % 3 AS VARCHAR) || ' / cpc' END AS ga_sourcemedium,
+    'u' || CAST(event_id % 3 AS VARCHAR) AS utm_source,
+    'cpm' AS utm_medium,
+    CASE WHEN event_id % 5 = 0 THEN NULL ELSE 'c' || CAST(event_id % 2 AS VARCHAR) END AS utm_campaign,
+    CASE WHEN event_type = 'view' THEN 'view' ELSE 'click' END AS interaction_type,
+    'pl' || CAST(event_id % 2 AS VARCHAR) AS dcm_placement_id,
+    'pr' || CAST(event_id % 2 AS VARCHAR) AS profile,
+    CAST(CASE WHEN event_type = 'signup' THEN 3 WHEN event_type = 'purchase' THEN 5 WHEN event_type = 'error' THEN 7
+      WHEN event_type = 'view' AND event_id % 2 = 0 THEN -1 END AS BIGINT) AS goal,
+    CASE event_id % 5 WHEN 0 THEN 'adriver' WHEN 1 THEN 'dcm' WHEN 2 THEN 'ga' WHEN 3 THEN 'bq' ELSE 'seizmik' END AS src
+  FROM events)"""
+_TIED_SOURCES = "'adriver', 'dcm', 'ga', 'bq', 'seizmik'"
+
 _CHANNEL = """CASE
     WHEN src = 'adriver' AND interaction_type IN ('view', 'click') THEN interaction_type || ':'
       || coalesce(utm_source, 'null') || ' / ' || coalesce(utm_medium, 'null') || ' / '
@@ -338,36 +449,44 @@ _TARGETS = ", ".join(str(t) for t in _P.target_numbers)
 _SOURCES = ", ".join(f"'{s}'" for s in _P.source_platform)
 
 
-def _where(variant, product=None) -> str:
-    lower = _P.lookback_ms if variant.lookback else _P.start_ms
-    conds = [f"HitTimeStamp >= {lower}", f"HitTimeStamp < {_P.finish_ms}",
-             f"ProjectID = {_P.project_id}", f"src IN ({_SOURCES})"]
-    if product is not None:
-        conds.append(f"ga_location = '{product}'")
-    if not variant.keep_null_client:
-        conds.append("ClientID IS NOT NULL")
-    if variant.goal_rule == "drop_nontarget":
-        conds.append(f"(goal IS NULL OR goal IN ({_TARGETS}))")
-    elif variant.goal_rule == "transit":
-        conds.append(f"coalesce(goal, -1) IN ({_TARGETS}, -1)")
-    return " AND ".join(conds)
+
+_WINDOW = f"HitTimeStamp >= {_P.start_ms} AND HitTimeStamp < {_P.finish_ms} AND ProjectID = 3"
+_LOOKBACK = f"HitTimeStamp >= {_P.lookback_ms} AND HitTimeStamp < {_P.finish_ms} AND ProjectID = 3"
+_AFTER, _BEFORE = f"HitTimeStamp >= {_P.start_ms}", f"HitTimeStamp < {_P.start_ms}"
+
+# What each report reads and how it sees a hit, written out by itself: where, channel, goal,
+# conv (ends a path), qual (makes its client a converter), pre (before the start: cut away up to it),
+# trim, mode, clients.
+_RULES = {
+    "canonical": dict(where=f"{_LOOKBACK} AND ClientID IS NOT NULL AND (goal IS NULL OR goal IN (3, 5))", channel=_CHANNEL,
+                      goal="CASE WHEN goal IN (3, 5) THEN goal ELSE -1 END", conv="goal IN (3, 5)", qual=f"goal IN (3, 5) AND {_AFTER}",
+                      pre=f"goal IN (3, 5) AND {_BEFORE}", trim=True, mode="success", clients="converters"),
+    "v3": dict(where=f"{_LOOKBACK} AND ClientID IS NOT NULL AND coalesce(goal, -1) IN (3, 5, -1)", channel=_CHANNEL,
+               goal="coalesce(goal, -1)", conv="goal <> -1", qual=f"goal <> -1 AND {_AFTER}", pre=f"goal <> -1 AND {_BEFORE}",
+               trim=True, mode="success", clients="converters"),
+    "null": dict(where=f"{_WINDOW} AND ClientID IS NOT NULL", channel=_CHANNEL, goal="coalesce(goal, -1)", conv="false",
+                 qual="goal IN (3, 5)", pre="false", trim=False, mode="fail", clients="nonconverters"),
+    "v2": dict(where=f"{_WINDOW} AND coalesce(goal, -1) IN (3, 5, -1)", channel=_CHANNEL, goal="coalesce(goal, -1)",
+               conv="goal <> -1", qual=f"goal <> -1 AND {_AFTER}", pre="false", trim=False, mode="both", clients="all"),
+    "csv": dict(where=f"{_WINDOW} AND coalesce(goal, -1) IN (3, 5, -1)", channel="coalesce(utm_source, 'null')",
+                goal="coalesce(goal, -1)", conv="goal <> -1", qual=f"goal <> -1 AND {_AFTER}", pre="false", trim=False,
+                mode="success", clients="all"),
+}
+_RULES["canonical_fail"] = _RULES["canonical"] | dict(mode="fail", clients="nonconverters")
+
+
+def _where(rule: str, sources: str = _SOURCES) -> str:
+    return f"{_RULES[rule]['where']} AND src IN ({sources})"
 
 
-def _flags_cte(variant) -> str:
+def _flags_cte(rule: str, sources: str = _SOURCES) -> str:
     """hits -> flags(ClientID, HitTimeStamp, channel, goal, conv, qual, pre)."""
-    channel = _CHANNEL if variant.channel == "label" else "coalesce(utm_source, 'null')"
-    goal = (f"CASE WHEN goal IN ({_TARGETS}) THEN goal ELSE -1 END"
-            if variant.goal_rule == "drop_nontarget" else "coalesce(goal, -1)")
-    if variant.goal_rule == "erase":
-        conv, qual = "false", f"goal IN ({_TARGETS})"
-    else:
-        conv, qual = "goal <> -1", f"goal <> -1 AND HitTimeStamp >= {_P.start_ms}"
-    pre = f"goal <> -1 AND HitTimeStamp < {_P.start_ms}" if variant.trim else "false"
+    r = _RULES[rule]
     return f"""scoped AS (
-  SELECT ClientID, HitTimeStamp, {channel} AS channel, CAST({goal} AS BIGINT) AS goal
-  FROM hits WHERE {_where(variant)}),
+  SELECT ClientID, HitTimeStamp, {r['channel']} AS channel, CAST({r['goal']} AS BIGINT) AS goal
+  FROM hits WHERE {_where(rule, sources)}),
 flags AS (
-  SELECT ClientID, HitTimeStamp, channel, goal, {conv} AS conv, {qual} AS qual, {pre} AS pre
+  SELECT ClientID, HitTimeStamp, channel, goal, {r['conv']} AS conv, {r['qual']} AS qual, {r['pre']} AS pre
   FROM scoped)"""
 
 
@@ -413,8 +532,10 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def _paths_sql(variant, mode, clients, final: str) -> str:
-    return _with(_HITS_CTE, _flags_cte(variant), _SEQ_CTE, _segs_cte(mode, clients, variant.trim)) + final
+def _paths_sql(rule, final: str, mode=None, clients=None, hits: str | None = None, sources: str = _SOURCES) -> str:
+    r = _RULES[rule]
+    return _with(hits or _HITS_CTE, _flags_cte(rule, sources), _SEQ_CTE,
+                 _segs_cte(mode or r["mode"], clients or r["clients"], r["trim"])) + final
 
 
 _DETAIL = f"SELECT ClientID, user_path, timeline, '{_P.targets_csv}' AS target_numbers FROM segs"
@@ -424,29 +545,29 @@ _PIVOT = ('SELECT user_path AS paths, '
           'CAST(sum(CASE WHEN status THEN 1 END) AS BIGINT) AS "true", '
           'CAST(sum(CASE WHEN NOT status THEN 1 END) AS BIGINT) AS "false", '
           'CAST(sum(CASE WHEN status THEN 1 END) AS DOUBLE) '
-          '/ nullif((SELECT count(*) FROM flags WHERE conv), 0) AS share '
+          '/ nullif((SELECT count(*) FROM segs WHERE status), 0) AS share '
           'FROM segs GROUP BY user_path')
 
 
 def oracle_sql() -> dict[str, str]:
-    canon = _with(_HITS_CTE, _flags_cte(CANONICAL))
-    v3 = _with(_HITS_CTE, _flags_cte(V3))
-    seq = _with(_HITS_CTE, _flags_cte(CANONICAL), _SEQ_CTE)
+    canon = _with(_HITS_CTE, _flags_cte("canonical"))
+    v3 = _with(_HITS_CTE, _flags_cte("v3"))
+    seq = _with(_HITS_CTE, _flags_cte("canonical"), _SEQ_CTE)
     csv_cols = set(CSV_HIT_COLUMNS)
     csv_select = ", ".join(c if c in csv_cols else f"CAST(NULL AS VARCHAR) AS {c}" for c in HIT_COLS)
     return _LLM_ORACLE | {
-        "paths_success_agg": _paths_sql(CANONICAL, "success", "converters", _AGG),
-        "paths_success_agg_hot_split": _paths_sql(CANONICAL, "success", "converters", _AGG),
+        "paths_success_agg": _paths_sql("canonical", _AGG),
+        "paths_success_agg_hot_split": _paths_sql("canonical", _AGG),
         "hits_scan": _with(_HITS_CTE) + f"SELECT {_ALL_HIT_COLS} FROM hits",
-        "hits_in_scope": _with(_HITS_CTE) + f"SELECT {_ALL_HIT_COLS} FROM hits WHERE {_where(CANONICAL)}",
+        "hits_in_scope": _with(_HITS_CTE) + f"SELECT {_ALL_HIT_COLS} FROM hits WHERE {_where("canonical")}",
         "hits_in_window": _with(_HITS_CTE) + (
             f"SELECT {_ALL_HIT_COLS} FROM hits WHERE HitTimeStamp >= {_P.start_ms} "
             f"AND HitTimeStamp < {_P.finish_ms} AND ProjectID = {_P.project_id} AND src IN ({_SOURCES})"),
         "hits_product_filter": _with(_HITS_CTE) + (
-            f"SELECT {_ALL_HIT_COLS} FROM hits WHERE {_where(CANONICAL, product='p1')}"),
+            f"SELECT {_ALL_HIT_COLS} FROM hits WHERE {_where("canonical")} AND ga_location = 'p1'"),
         "channel_label": _with(_HITS_CTE) + (
             f"SELECT ClientID, HitTimeStamp, src, interaction_type, {_CHANNEL} AS channel "
-            f"FROM hits WHERE {_where(CANONICAL)}"),
+            f"FROM hits WHERE {_where("canonical")}"),
         "goal_normalised": canon + "SELECT ClientID, HitTimeStamp, goal FROM flags",
         "goal_null_to_transit": v3 + "SELECT ClientID, HitTimeStamp, goal FROM flags",
         "conversion_flag": canon + (
@@ -458,7 +579,8 @@ def oracle_sql() -> dict[str, str]:
             "FROM flags"),
         "date_bounds": (
             "SELECT DISTINCT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, "
-            f"epoch_ms(timezone('{_P.zone}', CAST(CAST(ts AS DATE) AS TIMESTAMP))) AS midnight_ms "
+            f"epoch_ms(timezone('{_P.zone}', CAST(CAST(ts AS DATE) AS TIMESTAMP))) AS midnight_ms, "
+            f"epoch_ms(timezone('{_P.zone}', CAST(CAST(ts AS DATE) AS TIMESTAMP))) AS job_midnight_ms "
             "FROM events"),
         "converters": canon + "SELECT DISTINCT ClientID FROM flags WHERE qual",
         "nonconverters": canon + (
@@ -476,17 +598,17 @@ def oracle_sql() -> dict[str, str]:
         "lookback_trim": seq + (
             "SELECT ClientID, HitTimeStamp, channel, conv, rn FROM seq "
             "WHERE seg >= client_pre AND client_qual > 0"),
-        "segments": _paths_sql(CANONICAL, "both", "all", "SELECT * FROM segs"),
-        "paths_success_detail": _paths_sql(CANONICAL, "success", "converters", _DETAIL),
-        "paths_fail_detail": _paths_sql(CANONICAL, "fail", "nonconverters", _DETAIL),
-        "paths_fail_agg": _paths_sql(CANONICAL, "fail", "nonconverters", _AGG),
-        "paths_v3_detail": _paths_sql(V3, "success", "converters", _DETAIL),
-        "paths_v3_agg": _paths_sql(V3, "success", "converters", _AGG),
-        "paths_null_detail": _paths_sql(NULL, "fail", "nonconverters", _DETAIL),
-        "paths_null_agg": _paths_sql(NULL, "fail", "nonconverters", _AGG),
-        "paths_status_pivot": _paths_sql(V2, "both", "all", _PIVOT),
-        "paths_status_pivot_hot_split": _paths_sql(V2, "both", "all", _PIVOT),
-        "utm_source_paths_top10": _paths_sql(CSV_ERA, "success", "all", (
+        "segments": _paths_sql("canonical", "SELECT * FROM segs", "both", "all"),
+        "paths_success_detail": _paths_sql("canonical", _DETAIL),
+        "paths_fail_detail": _paths_sql("canonical_fail", _DETAIL),
+        "paths_fail_agg": _paths_sql("canonical_fail", _AGG),
+        "paths_v3_detail": _paths_sql("v3", _DETAIL),
+        "paths_v3_agg": _paths_sql("v3", _AGG),
+        "paths_null_detail": _paths_sql("null", _DETAIL),
+        "paths_null_agg": _paths_sql("null", _AGG),
+        "paths_status_pivot": _paths_sql("v2", _PIVOT),
+        "paths_status_pivot_hot_split": _paths_sql("v2", _PIVOT),
+        "utm_source_paths_top10": _paths_sql("csv", (
             'SELECT user_path AS paths, CAST(count(*) AS BIGINT) AS "count" FROM segs '
             'GROUP BY user_path ORDER BY "count" DESC, paths ASC LIMIT 10')),
         "goal_counts": canon + 'SELECT goal, CAST(count(ClientID) AS BIGINT) AS "count" FROM flags GROUP BY goal',
@@ -495,7 +617,23 @@ def oracle_sql() -> dict[str, str]:
             'CAST(count(ClientID) AS BIGINT) AS "count" FROM flags '
             "WHERE ClientID IN (SELECT ClientID FROM flags WHERE qual) GROUP BY 1"),
         "csv_scan": _with(_HITS_CTE) + f"SELECT {csv_select} FROM hits",
-        "report_csv_roundtrip": _paths_sql(CANONICAL, "success", "converters", _DETAIL),
-        "report_agg_csv_roundtrip": _paths_sql(CANONICAL, "success", "converters", _AGG),
-        "report_pivot_csv_roundtrip": _paths_sql(V2, "both", "all", _PIVOT),
+        "report_csv_roundtrip": _paths_sql("canonical", _DETAIL),
+        "report_agg_csv_roundtrip": _paths_sql("canonical", _AGG),
+        "report_pivot_csv_roundtrip": _paths_sql("v2", _PIVOT),
+        "read_merged_logs": _with(_HITS_CTE) + "SELECT " + _ALL_HIT_COLS.replace(
+            "dcm_placement_id", "CASE WHEN HitTimeStamp % 2 = 0 THEN dcm_placement_id END AS dcm_placement_id") + " FROM hits",
+        "read_unmerged_log": _with(_HITS_CTE) + f"SELECT {_ALL_HIT_COLS} FROM hits",
+        "read_csv_orders": _with(_HITS_CTE) + f"SELECT {csv_select} FROM hits",
+        "conversion_flag_old": _with(_HITS_CTE, _flags_cte("csv")) + (
+            "SELECT ClientID, HitTimeStamp, channel, CASE WHEN conv THEN '1' ELSE '0' END AS conversion FROM flags"),
+        "tagged_touch_old": _with(_HITS_CTE, _flags_cte("csv")) + (
+            "SELECT ClientID, HitTimeStamp, channel || '_' || CASE WHEN conv THEN '1' ELSE '0' END AS channel_conv FROM flags"),
+        "touch_map": canon + (
+            "SELECT ClientID, channel || '::_' || CASE WHEN conv THEN 'get@conv' ELSE 'get@no_conv' END AS touch, "
+            "HitTimeStamp AS ts FROM flags"),
+        "pivot_job": _paths_sql("v2", _PIVOT),
+        **{f"tied_{r}_detail": _paths_sql(r, _DETAIL, hits=_TIED_CTE, sources=_TIED_SOURCES) for r in _RULES},
+        **{f"tied_{r}_agg": _paths_sql(r, _AGG, hits=_TIED_CTE, sources=_TIED_SOURCES) for r in _RULES},
+        **{f"tied_{r}_pivot": _paths_sql(r, _PIVOT, "both", "all", hits=_TIED_CTE, sources=_TIED_SOURCES)
+           for r in _RULES if r != "canonical_fail"},
     }

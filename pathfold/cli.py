@@ -7,9 +7,13 @@
 
 Optional for paths / pivot:
     --single_file=true      write each report as one file
-    --chunk_ms=N            time-chunk width of the history scan (default one hour)
-    --hot_chunk_rows=N      split chunks holding more than N hits (default: never)
+    --heavy_share=K         cut histories of clients with more than 1/K of all hits
+    --heavy_rows=N          and with more than N hits (default 50000)
     --day_partition=COL     the log is partitioned by day in COL: read only the days needed
+    --day_format=FMT        format of COL if it isn't a date, e.g. yyyyMMdd
+
+Optional for every command:
+    --zone=ZONE             zone in which the days begin (default Europe/Moscow), e.g. UTC or +03:00
 """
 from __future__ import annotations
 
@@ -36,11 +40,10 @@ def main(argv: list[str]) -> int:
         return 2
     spark = SparkSession.builder.appName("pathfold").getOrCreate()
     cmd, rest = argv[0], argv[1:]
-    options = parse_cli_options(rest) if cmd != "top" else {}
+    options = parse_cli_options(rest)
     single = options.pop("single_file", "false").strip().lower() == "true"
-    tuning = {k: int(options.pop(k)) for k in ("chunk_ms", "hot_chunk_rows") if k in options}
-    if "day_partition" in options:
-        tuning["day_partition"] = options.pop("day_partition").strip()
+    tuning = {k: options.pop(k).strip() for k in ("day_partition", "day_format", "zone") if k in options}
+    tuning |= {k: int(options.pop(k)) for k in ("heavy_share", "heavy_rows") if k in options}
     if cmd in COMMANDS:
         strict = cmd == "paths"
         params = JobParams.from_options(options, strict_dates=strict, **tuning)
@@ -52,7 +55,7 @@ def main(argv: list[str]) -> int:
         params = JobParams.from_options(options, strict_dates=False, **tuning)
         jobs.pivot_report(spark, params, single_file=single)
     elif cmd == "top":
-        params = read_config(spark, rest[0])
+        params = read_config(spark, rest[0], **{k: v for k, v in tuning.items() if k in ("zone", "heavy_share", "heavy_rows")})
         jobs.top_paths_report(spark, params).show(truncate=False)
     else:
         print(__doc__)

@@ -21,14 +21,16 @@ OLD_NO_CONVERSION_MARK = "0"
 SEIZMIK_CHANNEL = "seizmik_channel"
 # text a missing channel part renders as
 NULL_TEXT = "null"
-# platforms known to the channel labeller
-KNOWN_SOURCES = ("adriver", "dcm", "seizmik", "ga", "bq")
 # interaction types that name an adriver / dcm touch
 INTERACTION_TYPES = ("view", "click")
 # default zone in which report dates are read (midnight local time)
 DEFAULT_ZONE = "Europe/Moscow"
 # date shape accepted by the older jobs: the first match inside the argument
 LOOSE_DATE_PATTERN = r"[12]\d{3}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])"
+# names of the job options, all required
+REQUIRED_OPTIONS = ("projectID", "date_start", "date_tHOLD", "date_finish", "target_numbers",
+                    "product_name", "source_platform", "achieve_mode", "flat_path",
+                    "output_path", "output_pathD")
 # ---------------------------------------------------------------------------
 
 # Hit-log schema: (column, Spark SQL type).  Readers cast to it with try_cast.
@@ -48,6 +50,9 @@ HIT_COLUMNS = (
     ("src", "string"),
 )
 
+# Columns no hit log can do without.
+KEY_COLUMNS = ("ProjectID", "ClientID", "HitTimeStamp", "goal", "src")
+
 # Older hit logs name two columns differently.
 LEGACY_COLUMN_NAMES = {"adr_typenum": "interaction_type", "adr_profile": "profile"}
 

@@ -1,8 +1,6 @@
 """DataFrame operators: filters, client sets, ordered histories, paths."""
 from . import clients, filters
-from .segments import pieces, segment_filter, segments
-from .sequence import (chunk_carry, chunk_keys, decode_client, encode_client, hot_chunks, local_order,
-                       sequence)
+from .segments import segment_filter, segments
+from .sequence import History, history, numbered, sequence
 
-__all__ = ["clients", "filters", "pieces", "segment_filter", "segments", "chunk_carry", "chunk_keys", "decode_client", "encode_client", "hot_chunks",
-           "local_order", "sequence"]
+__all__ = ["clients", "filters", "segment_filter", "segments", "History", "history", "numbered", "sequence"]

@@ -17,10 +17,6 @@ def converters(scoped: DataFrame, qual: str = "qual") -> DataFrame:
     return scoped.filter(F.col(qual)).select("ClientID").distinct()
 
 
-def all_clients(scoped: DataFrame) -> DataFrame:
-    return scoped.select("ClientID").distinct()
-
-
 def nonconverters(scoped: DataFrame, qual: str = "qual") -> DataFrame:
     """All clients EXCEPT converters, as one aggregate instead of an
     anti-join of two distinct sets (a null client is one group, as in EXCEPT)."""

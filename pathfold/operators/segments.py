@@ -1,17 +1,13 @@
 """Paths: a client's history cut after every conversion.
 
-A segment (hits of one client with equal ``seg``) is assembled in two
-levels so that no task has to hold a busy client's whole history:
-
-1. inside each (client, chunk) the hits of one segment are collected into a
-   *piece* (path text and timeline text of that stretch) - this reuses the
-   partitioning of ``local_order`` and needs no shuffle;
-2. pieces get their global ``seg`` from the chunk carries, are filtered to
-   the segments a report keeps, and are concatenated in chunk order per
-   (client, seg).  Only pieces - at most one per chunk of a segment - move.
-
-Order inside a piece and between pieces comes from explicit sort keys
-(``local_rn``, ``chunk``), never from the order rows happen to arrive in.
+Hits get their segment number and their client's totals (``sequence``), those
+of segments or clients the report does not keep are dropped, and only then is
+text collected: one row per (client, segment), on the partitioning the window
+made.  If heavy clients were cut into chunks, a chunk's stretch of a segment
+(a *piece*) is collected first and the pieces are put together in chunk order.
+
+Order comes from explicit sort keys (``rn``, ``chunk``), never from the order
+rows happen to arrive in.
 """
 from __future__ import annotations
 
@@ -19,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import PATH_SEPARATOR
-from .sequence import chunk_carry, chunk_keys, decode_client, encode_client, join_carry, local_order
+from .sequence import History, numbered
 
 MODES = ("success", "fail", "both")
 CLIENTS = ("converters", "nonconverters", "all")
@@ -63,50 +59,32 @@ def _joined(items: Column, field: str) -> Column:
     return F.array_join(items[field], PATH_SEPARATOR)
 
 
-def pieces(local: DataFrame, keys: tuple[str, ...] = ("chunk",), timeline: bool = True) -> DataFrame:
-    """Level 1: one row per (client, chunk keys, local_seg)."""
-    # sort_array orders structs by their first field with a natural-order
-    # comparator (array_sort without a comparator runs a lambda per comparison)
-    fields = [F.col("local_rn"), F.col("channel")]
-    if timeline:
-        fields.append(F.col("HitTimeStamp").cast("string").alias("ts"))
-    items = F.sort_array(F.collect_list(F.struct(*fields)))
-    texts = [_joined(F.col("items"), "channel").alias("path_piece")]
-    if timeline:
-        texts.append(_joined(F.col("items"), "ts").alias("timeline_piece"))
-    return (local.groupBy("ClientID", *keys, "local_seg")
-            .agg(items.alias("items"), F.max("conv").alias("has_conv"), F.count(F.lit(1)).alias("n"))
-            .select("ClientID", *keys, "local_seg", *texts, "has_conv", "n"))
-
-
-def segments(scoped: DataFrame, chunk_ms: int, mode: str = "both", clients: str = "all",
-             trim: bool = False, keep_null_client: bool = False,
-             hot_rows: int | None = None, timeline: bool = True) -> DataFrame:
-    """Kept segments of ``scoped`` hits (ClientID, HitTimeStamp, channel, conv,
-    qual, pre) as rows ClientID, seg, user_path, timeline, status, n_touches.
+def segments(found: History, mode: str = "both", clients: str = "all", trim: bool = False,
+             timeline: bool = True) -> DataFrame:
+    """Kept segments of a client history as rows ClientID, seg, user_path,
+    [timeline,] status, n_touches.
 
     ``timeline=False`` leaves the timeline out (column and all its text):
-    reports that only count paths do not build or shuffle it.
-
-    ``keep_null_client``: the hits of a null ClientID form one client (else
-    they are dropped)."""
-    if keep_null_client:
-        scoped = encode_client(scoped)
-    keyed, keys = chunk_keys(scoped, chunk_ms, hot_rows)
-    carry = chunk_carry(keyed, keys)
+    reports that only count paths do not build or shuffle it.  Drop the hits of
+    a null ClientID beforehand if they are no client.
+    """
+    hits = numbered(found)
     cond = segment_filter(mode, clients, trim)
-    # client-level conditions only read carry columns: Catalyst filters the
-    # small side before the join
-    joined = join_carry(pieces(local_order(keyed, keys), keys, timeline), carry, keys) \
-        .withColumn("seg", F.col("conv_before") + F.col("local_seg"))
     if cond is not None:
-        joined = joined.filter(cond)
-    texts = ["path_piece", "timeline_piece"] if timeline else ["path_piece"]
-    parts = F.sort_array(F.collect_list(F.struct(*keys, *texts)))
-    out = [_joined(F.col("parts"), "path_piece").alias("user_path")]
+        hits = hits.filter(cond)
+    # sort_array orders structs by their first field with a natural-order
+    # comparator (array_sort without a comparator runs a lambda per comparison)
+    fields = [F.col("rn"), F.col("channel")]
+    texts = ["user_path"]
     if timeline:
-        out.append(_joined(F.col("parts"), "timeline_piece").alias("timeline"))
-    return (joined.groupBy("ClientID", "seg")
-            .agg(parts.alias("parts"), F.max("has_conv").alias("status"), F.sum("n").alias("n_touches"))
-            .select(decode_client() if keep_null_client else F.col("ClientID"), "seg", *out,
-                    "status", "n_touches"))
+        fields.append(F.col("HitTimeStamp").cast("string").alias("ts"))
+        texts.append("timeline")
+    items = F.sort_array(F.collect_list(F.struct(*fields))).alias("items")
+    stretch = (hits.groupBy(*found.keys, "seg").agg(items, F.max("conv").alias("status"), F.count(F.lit(1)).alias("n_touches"))
+               .select(*found.keys, "seg", *[_joined(F.col("items"), f).alias(t) for f, t in zip(("channel", "ts"), texts)],
+                       "status", "n_touches"))
+    if found.carry is None:
+        return stretch
+    parts = F.sort_array(F.collect_list(F.struct("chunk", *texts))).alias("parts")
+    return (stretch.groupBy("ClientID", "seg").agg(parts, F.max("status").alias("status"), F.sum("n_touches").alias("n_touches"))
+            .select("ClientID", "seg", *[_joined(F.col("parts"), t).alias(t) for t in texts], "status", "n_touches"))

@@ -1,4 +1,4 @@
-"""Ordered client histories as a chunked prefix scan.
+"""Ordered client histories as window scans, heavy clients cut into chunks.
 
 A client's hits are ordered by (HitTimeStamp, conv, channel): time, then a
 plain touch before a conversion at the same instant, then channel.  Two
@@ -8,147 +8,131 @@ numbers per hit follow from that order:
 * ``seg`` - the number of conversions before it.  A conversion closes its own
   segment, so all hits with equal ``seg`` form one path.
 
-Both are prefix sums over the client's history.  Computing them with one
-window partitioned by client would put a busy client (a bot, a shared id)
-into a single task.  Instead the history is cut into time chunks
-(``HitTimeStamp div chunk_ms``):
-
-1. a window partitioned by (client, chunk) numbers hits inside each chunk;
-2. a per-(client, chunk) aggregate (map-side combined) counts hits and
-   conversions, and a window over those small rows - at most one per chunk
-   of a client's history - turns the counts into carries from earlier
-   chunks plus client totals;
-3. carry + local value gives the global value.
-
-The chunk rows are far fewer than hits; joining them back reuses the
-(client, chunk) partitioning of the hits, so the hits shuffle once.
-
-Time chunks split a busy client by time.  A client that is busy *within* one
-chunk (thousands of hits an hour) is split further when ``hot_rows`` is set:
-chunks holding more than ``hot_rows`` hits get a finer sub-chunk width, so
-that a sub-chunk holds about ``hot_rows`` hits.  Those chunks are found by a
-(client, chunk) count; there are at most total hits / ``hot_rows`` of them, a
-bounded list that is broadcast.  Chunk keys are then ``(chunk, sub)``.
+An ordinary client's history is one window partition: one shuffle, no join.
+A *heavy* client - one with more than 1/K of all scoped hits, so there are
+fewer than K, and with more than ``least`` hits, so that cutting pays - would keep one task busy.  Its history is cut at quantiles of
+its own timestamps into about n * K / total chunks of like size (2K chunks at
+most, over all heavy clients); the window then numbers hits inside a chunk,
+and the counts of the chunks before it (the carry) are added.  The lists of
+cuts and of carries have fewer than K and 2K rows by construction, which is
+what bounds their broadcast.  The rows are the same for every K.
+
+The limit of the split: hits of one client in the same millisecond stay in
+one chunk, and a client has at most 1024 chunks.
+
+Which clients are heavy is found by one aggregate of the scoped hits (two
+columns, combined map-side) that runs when the plan is built.
 """
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ORDER = ("HitTimeStamp", "conv", "channel")
+GRID = 1024  # quantiles known of a heavy client, the most chunks it can have
+_ROW = 32    # bounds are searched in rows of this many
 
 
-def with_chunk(df: DataFrame, chunk_ms: int) -> DataFrame:
-    return df.withColumn("chunk", F.expr(f"HitTimeStamp div {int(chunk_ms)}"))
+def heavy_limit(spark, share: int | None) -> int:
+    """K: as given, or four times the shuffle partitions, 1024 at least."""
+    return share or max(1024, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _count_true(c: str) -> Column:
     return F.sum(F.col(c).cast("int"))
 
 
-def encode_client(df: DataFrame) -> DataFrame:
-    """Make ClientID a non-null key where a null client is a real client of
-    the report: null -> '0', id -> '1' + id (injective).  Joins then stay
-    plain equi-joins on ClientID, which keep the hits' hash partitioning
-    (null-safe keys would be hashed as expressions and re-shuffle)."""
-    cid = F.col("ClientID")
-    return df.withColumn("ClientID", F.when(cid.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), cid)))
-
-
-def decode_client() -> Column:
-    """Inverse of ``encode_client``."""
-    return F.when(F.col("ClientID") == "0", F.lit(None).cast("string")) \
-        .otherwise(F.expr("substring(ClientID, 2)")).alias("ClientID")
-
-
-def hot_chunks(chunked: DataFrame, chunk_ms: int, hot_rows: int) -> DataFrame:
-    """(ClientID, chunk, sub_ms) for chunks with more than ``hot_rows`` hits;
-    ``sub_ms`` makes sub-chunks of about ``hot_rows`` hits.  At most
-    total hits / ``hot_rows`` rows."""
-    n = F.col("n")
-    budget = int(chunk_ms) * int(hot_rows)  # exact in Python; a bigint literal below
-    return (chunked.groupBy("ClientID", "chunk").agg(F.count(F.lit(1)).alias("n"))
-            .filter(n > F.lit(hot_rows))
-            .withColumn("budget", F.lit(budget).cast("bigint"))
-            .select("ClientID", "chunk",
-                    F.greatest(F.lit(1).cast("bigint"), F.expr("budget div n")).alias("sub_ms")))
-
-
-def chunk_keys(scoped: DataFrame, chunk_ms: int,
-               hot_rows: int | None = None) -> tuple[DataFrame, tuple[str, ...]]:
-    """``scoped`` with its chunk key columns, and their names.
-
-    Both the in-chunk window and the chunk carries must read the frame
-    returned here: the hot-chunk list is one broadcast, reused by both.
-    """
-    df = with_chunk(scoped, chunk_ms)
-    if hot_rows is None:
-        return df, ("chunk",)
-    if hot_rows <= 0:
-        raise ValueError("hot_rows must be positive")
-    hot = F.broadcast(hot_chunks(df, chunk_ms, hot_rows))  # bounded: total hits / hot_rows
-    df = df.join(hot, ["ClientID", "chunk"], "left")
-    sub = F.coalesce(F.expr("HitTimeStamp div sub_ms"), F.lit(0).cast("bigint"))
-    return df.withColumn("sub", sub).drop("sub_ms"), ("chunk", "sub")
-
-
-def local_order(keyed: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Adds ``local_rn`` and ``local_seg``: values inside the chunk."""
-    w = Window.partitionBy("ClientID", *keys).orderBy(*ORDER)
-    return keyed.select(
-        "*",
-        F.row_number().over(w).alias("local_rn"),
-        F.coalesce(_count_true("conv").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0).cast("bigint")).alias("local_seg"),
-    )
-
-
-def chunk_carry(keyed: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """One row per (client, chunk): carries from earlier chunks and client totals.
+@dataclasses.dataclass(frozen=True)
+class History:
+    """Scoped hits with their window keys and, if any client is heavy, the carries."""
+
+    hits: DataFrame
+    keys: tuple[str, ...]
+    carry: DataFrame | None
+    n_conv: int  # conversions of all clients
+    n_pre: int   # of those flagged ``pre``
+
+
+def _bounds(scoped: DataFrame, per_client: DataFrame, total: int, k: int, least: int) -> DataFrame:
+    """client, bounds: where the history of each heavy client is cut (a chunk ends at its bound)."""
+    heavy = (per_client.where((F.col("n") * k > total) & (F.col("n") > least))
+             .select(F.col("ClientID").alias("client"), F.least(F.lit(GRID), F.ceil(F.col("n") * k / total)).cast("int").alias("m")))
+    own = scoped.join(F.broadcast(heavy), scoped["ClientID"].eqNullSafe(heavy["client"]))  # fewer than K rows
+    grid = F.percentile_approx("HitTimeStamp", F.array(*[F.lit(i / GRID) for i in range(1, GRID)]), F.lit(10 * GRID))
+    known = own.groupBy("client").agg(grid.alias("grid"), F.first("m").alias("m"))
+    picked = F.transform(F.sequence(F.lit(1), F.col("m") - 1),
+                         lambda j: F.element_at("grid", (j * GRID / F.col("m")).cast("int")))
+    return known.select("client", F.when(F.col("m") > 1, F.array_distinct(picked)).otherwise(
+        F.expr("cast(array() as array<bigint>)")).alias("bounds"))
+
+
+def _chunk(ts: Column) -> Column:
+    """How many of ``bounds`` lie before ``ts``: first among each row's last, then in the row."""
+    lasts = F.transform(F.sequence(F.lit(_ROW), F.greatest(F.size("bounds"), F.lit(_ROW)), F.lit(_ROW)), lambda j: F.get("bounds", j - 1))
+    full = F.size(F.filter(lasts, lambda b: b < ts)) * _ROW
+    rest = F.size(F.filter(F.slice("bounds", full + 1, _ROW), lambda b: b < ts))
+    return F.when(F.size("bounds") > 0, full + rest).otherwise(F.lit(0))
+
+
+def history(scoped: DataFrame, share: int | None = None, least: int = 50_000) -> History:
+    """``scoped`` (ClientID, HitTimeStamp, channel, conv, qual, pre, ...) with
+    window keys; a null ClientID is one client."""
+    k = heavy_limit(scoped.sparkSession, share)
+    per_client = scoped.groupBy("ClientID").agg(F.count(F.lit(1)).alias("n"), _count_true("conv").alias("n_conv"),
+                                                 _count_true("pre").alias("n_pre"))
+    total, most, *counts = per_client.agg(F.sum("n"), F.max("n"), F.sum("n_conv"), F.sum("n_pre")).first()
+    counts = [int(c or 0) for c in counts]
+    if not total or most * k <= total or most <= least:
+        return History(scoped, ("ClientID",), None, *counts)
+    bounds = _bounds(scoped, per_client, total, k, least)
+    keyed = (scoped.join(F.broadcast(bounds), scoped["ClientID"].eqNullSafe(bounds["client"]), "left")  # fewer than K rows
+             .withColumn("chunk", F.when(F.col("bounds").isNull(), F.lit(-1)).otherwise(_chunk(F.col("HitTimeStamp"))))
+             .select(*scoped.columns, "chunk"))
+    return History(keyed, ("ClientID", "chunk"), chunk_carry(keyed.where("chunk >= 0")), *counts)
+
+
+def chunk_carry(keyed: DataFrame) -> DataFrame:
+    """One row per chunk of a heavy client: counts before it and client totals.
 
     ``client_conv`` - conversions in the client's history, ``client_pre`` -
     of those flagged ``pre`` (before the report start), ``client_qual`` - hits
     flagged ``qual`` (conversions that make the client a converter).
     """
-    per_chunk = keyed.groupBy("ClientID", *keys).agg(
-        F.count(F.lit(1)).alias("n_hits"),
-        _count_true("conv").alias("n_conv"),
-        _count_true("pre").alias("n_pre"),
-        _count_true("qual").alias("n_qual"),
-    )
-    w = Window.partitionBy("ClientID").orderBy(*keys)
+    per_chunk = keyed.groupBy("ClientID", "chunk").agg(
+        F.count(F.lit(1)).alias("n_hits"), *[_count_true(c).alias(f"n_{c}") for c in ("conv", "pre", "qual")])
+    w = Window.partitionBy("ClientID").orderBy("chunk")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     zero = F.lit(0).cast("bigint")
     return per_chunk.select(
-        "ClientID", *keys,
+        F.col("ClientID").alias("client"), F.col("chunk").alias("own_chunk"),
         F.coalesce(F.sum("n_hits").over(before), zero).alias("hits_before"),
         F.coalesce(F.sum("n_conv").over(before), zero).alias("conv_before"),
-        F.sum("n_conv").over(whole).alias("client_conv"),
-        F.sum("n_pre").over(whole).alias("client_pre"),
-        F.sum("n_qual").over(whole).alias("client_qual"),
-    )
-
+        *[F.sum(f"n_{c}").over(whole).alias(f"all_{c}") for c in ("conv", "pre", "qual")])
 
-def join_carry(left: DataFrame, carry: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Attach chunk carries (inner: every chunk of ``left`` has one)."""
-    return left.join(carry, ["ClientID", *keys], "inner")
 
+def numbered(found: History) -> DataFrame:
+    """Every hit with ``rn``, ``seg`` and its client's totals (client_conv,
+    client_pre, client_qual), partitioned by the history's keys."""
+    w = Window.partitionBy(*found.keys).orderBy(*ORDER)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    zero = F.lit(0).cast("bigint")
+    local = found.hits.select(
+        "*", F.row_number().over(w).cast("bigint").alias("rn"),
+        F.coalesce(_count_true("conv").over(w.rowsBetween(Window.unboundedPreceding, -1)), zero).alias("seg"),
+        *[_count_true(c).over(whole).alias(f"client_{c}") for c in ("conv", "pre", "qual")])
+    if found.carry is None:
+        return local
+    c = F.broadcast(found.carry)  # fewer than 2K rows
+    joined = local.join(c, local["ClientID"].eqNullSafe(c["client"]) & (local["chunk"] == c["own_chunk"]), "left")
+    return joined.select(
+        *found.hits.columns, (F.col("rn") + F.coalesce("hits_before", zero)).alias("rn"),
+        (F.col("seg") + F.coalesce("conv_before", zero)).alias("seg"),
+        *[F.coalesce(f"all_{x}", f"client_{x}").alias(f"client_{x}") for x in ("conv", "pre", "qual")])
 
-def sequence(scoped: DataFrame, chunk_ms: int, keep_null_client: bool = False,
-             hot_rows: int | None = None) -> DataFrame:
-    """Every hit with its global ``rn`` and ``seg`` plus its client's totals.
 
-    ``keep_null_client``: the hits of a null ClientID form one client (else
-    they are dropped)."""
-    if keep_null_client:
-        scoped = encode_client(scoped)
-    keyed, keys = chunk_keys(scoped, chunk_ms, hot_rows)
-    joined = join_carry(local_order(keyed, keys), chunk_carry(keyed, keys), keys)
-    return joined.select(
-        *[decode_client() if keep_null_client and c == "ClientID" else c for c in scoped.columns],
-        *keys,
-        (F.col("hits_before") + F.col("local_rn")).alias("rn"),
-        (F.col("conv_before") + F.col("local_seg")).alias("seg"),
-        "client_conv", "client_pre", "client_qual",
-    )
+def sequence(scoped: DataFrame, share: int | None = None, least: int = 50_000) -> DataFrame:
+    """Every hit with its global ``rn`` and ``seg`` plus its client's totals."""
+    return numbered(history(scoped, share, least)).drop("chunk")

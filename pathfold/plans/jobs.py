@@ -1,6 +1,7 @@
 """Whole jobs: parameters in, report files out."""
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
 
@@ -8,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import JobParams
-from ..session import shared_dir
+from ..session import delete_folder, shared_dir
 from ..sinks import write_csv
 from ..sources import read_csv_hits, read_hits
 from . import reports
@@ -17,12 +18,21 @@ from .variants import CANONICAL, CSV_ERA, NULL, V2, V3, Variant
 PATH_VARIANTS = {"canonical": CANONICAL, "v3": V3, "null": NULL}
 
 
-def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a parquet table in the shared checkpoint folder and
-    read it back: computed once, lineage cut, survives lost executors."""
+@contextlib.contextmanager
+def staged(spark: SparkSession, df: DataFrame, name: str):
+    """``df`` as a parquet table in the shared checkpoint folder: computed once,
+    lineage cut, survives lost executors; removed when the block ends."""
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_folder(spark, path)
+
+
+def _check_window(params: JobParams) -> None:
+    if params.start_ms >= params.finish_ms:
+        raise ValueError(f"the report window is empty: start {params.date_start!r}, finish {params.date_finish!r}")
 
 
 def path_reports(spark: SparkSession, params: JobParams, variant: Variant = CANONICAL,
@@ -30,7 +40,7 @@ def path_reports(spark: SparkSession, params: JobParams, variant: Variant = CANO
                  single_file: bool = False) -> dict[str, DataFrame]:
     """Detail report to ``output_path_detail`` and path counts (most frequent
     first) to ``output_path``.  The detail is staged once as a parquet table
-    in the shared folder and both reports read it.
+    in the shared folder, both reports read it, and it is removed again.
 
     ``single_file`` writes each report as one file (one writer task per
     report); by default the writes stay parallel and the counts keep their
@@ -39,11 +49,12 @@ def path_reports(spark: SparkSession, params: JobParams, variant: Variant = CANO
     params.validate()
     if hits is None:
         hits = read_hits(spark, params.flat_path, merge_schema=merge_schema,
-                         day_column=params.day_partition, days=params.partition_days())
-    detail = stage(spark, reports.detail_report(hits, params, variant), "detail")
-    write_csv(detail, params.output_path_detail, single_file=single_file)
-    write_csv(reports.aggregate_report(detail), params.output_path, single_file=single_file,
-              sort_by=[F.desc("count"), F.asc("user_path")] if single_file else None)
+                         day_column=params.day_partition, days=params.partition_days(),
+                         day_format=params.day_format, needed=variant.needed(params))
+    with staged(spark, reports.detail_report(hits, params, variant), "detail") as detail:
+        write_csv(detail, params.output_path_detail, single_file=single_file)
+        write_csv(reports.aggregate_report(detail), params.output_path, single_file=single_file,
+                  sort_by=[F.desc("count"), F.asc("user_path")] if single_file else None)
     return {"goal_counts": reports.goal_counts(hits, params, variant),
             "conversion_counts": reports.conversion_counts(hits, params, variant)}
 
@@ -51,12 +62,11 @@ def path_reports(spark: SparkSession, params: JobParams, variant: Variant = CANO
 def pivot_report(spark: SparkSession, params: JobParams, hits: DataFrame | None = None,
                  single_file: bool = False) -> str:
     """Success / fail pivot with shares under output_path + report name."""
-    start, finish = params.start_ms, params.finish_ms
-    if start >= finish:
-        raise ValueError("`date_start` must be earlier than `date_finish`")
+    _check_window(params)
     if hits is None:
         hits = read_hits(spark, params.flat_path, merge_schema=False,
-                         day_column=params.day_partition, days=params.partition_days())
+                         day_column=params.day_partition, days=params.partition_days(),
+                         day_format=params.day_format, needed=V2.needed(params))
     path = (params.output_path or "") + params.report_name()
     write_csv(reports.status_pivot(hits, params, V2), path, single_file=single_file,
               sort_by=[F.desc("true"), F.asc("paths")] if single_file else None)
@@ -66,8 +76,7 @@ def pivot_report(spark: SparkSession, params: JobParams, hits: DataFrame | None
 def top_paths_report(spark: SparkSession, params: JobParams, k: int = 10,
                      hits: DataFrame | None = None) -> DataFrame:
     """The CSV-era job: top ``k`` success paths of utm-source channels."""
-    if params.start_ms >= params.finish_ms:
-        raise ValueError("`date_start` must be earlier than `date_finish`")
+    _check_window(params)
     if hits is None:
-        hits = read_csv_hits(spark, list(params.flat_path))
+        hits = read_csv_hits(spark, list(params.flat_path), needed=CSV_ERA.needed(params))
     return reports.top_paths(hits, params, k, CSV_ERA)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.goals import conversion_mark, tagged_touch
 from ..operators import clients as client_sets
 from ..operators.segments import segments
-from ..operators.sequence import sequence
+from ..operators.sequence import history, sequence
 from ..params import JobParams
 from .variants import CANONICAL, CSV_ERA, V2, Variant, scope
 
@@ -23,10 +23,8 @@ def path_segments(hits: DataFrame, params: JobParams, variant: Variant = CANONIC
                   timeline: bool = True) -> DataFrame:
     """Kept paths: ClientID, seg, user_path, [timeline,] status, n_touches."""
     d_mode, d_clients = variant.selection(params)
-    return segments(scope(hits, params, variant), params.chunk_ms,
-                    mode=mode or d_mode, clients=clients or d_clients,
-                    trim=variant.trim, keep_null_client=variant.keep_null_client,
-                    hot_rows=params.hot_chunk_rows, timeline=timeline)
+    return segments(history(scope(hits, params, variant), params.heavy_share, params.heavy_rows), mode=mode or d_mode,
+                    clients=clients or d_clients, trim=variant.trim, timeline=timeline)
 
 
 def detail_report(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
@@ -51,14 +49,11 @@ def path_counts(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL
 def status_pivot(hits: DataFrame, params: JobParams, variant: Variant = V2) -> DataFrame:
     """paths, true, false, share: success / fail counts per path (null, not 0,
     when a path never has that status) and the path's share of all success
-    paths.  The total is a scalar subquery over conversions - every conversion
-    closes exactly one success path - so it is one more aggregate of the scan,
-    not a second pass over the paths, and no row goes through the driver."""
-    scoped = scope(hits, params, variant)
-    segs = segments(scoped, params.chunk_ms, mode="both", clients="all", trim=variant.trim,
-                    keep_null_client=variant.keep_null_client, hot_rows=params.hot_chunk_rows,
-                    timeline=False)
-    total = scoped.select(F.count_if(F.col("conv")).alias("total")).scalar()
+    paths.  Every conversion that the look-back cut leaves closes exactly one
+    success path, so the history's own aggregate knows their total."""
+    found = history(scope(hits, params, variant), params.heavy_share, params.heavy_rows)
+    segs = segments(found, mode="both", clients="all", trim=variant.trim, timeline=False)
+    total = F.lit(found.n_conv - found.n_pre)
     counts = segs.groupBy(F.col("user_path").alias("paths")).agg(
         F.sum(F.when(F.col("status"), F.lit(1))).alias("true"),
         F.sum(F.when(~F.col("status"), F.lit(1))).alias("false"))
@@ -76,10 +71,6 @@ def top_paths(hits: DataFrame, params: JobParams, k: int = 10, variant: Variant
 
 # -- intermediate views -------------------------------------------------------
 
-def scoped_hits(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
-    return scope(hits, params, variant)
-
-
 def selected_hits(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
     """Hits of the clients the report keeps (converters or non-converters)."""
     scoped = scope(hits, params, variant)
@@ -94,8 +85,7 @@ def selected_hits(hits: DataFrame, params: JobParams, variant: Variant = CANONIC
 def client_sequences(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
     """Every scoped hit with its position ``rn`` in its client's history,
     its segment ``seg`` and its tagged touch."""
-    seq = sequence(scope(hits, params, variant), params.chunk_ms, variant.keep_null_client,
-                   params.hot_chunk_rows)
+    seq = sequence(scope(hits, params, variant), params.heavy_share, params.heavy_rows)
     return seq.select("ClientID", "HitTimeStamp", "channel", "conv", "rn", "seg",
                       tagged_touch(F.col("channel"), F.col("conv"), variant.old_marks).alias("channel_conv"))
 
@@ -103,8 +93,7 @@ def client_sequences(hits: DataFrame, params: JobParams, variant: Variant = CANO
 def lookback_trim(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
     """Hits of the selected clients that survive the look-back cut."""
     _, clients = variant.selection(params)
-    seq = sequence(scope(hits, params, variant), params.chunk_ms, variant.keep_null_client,
-                   params.hot_chunk_rows)
+    seq = sequence(scope(hits, params, variant), params.heavy_share, params.heavy_rows)
     keep = F.col("seg") >= F.col("client_pre")
     if clients == "converters":
         keep = keep & (F.col("client_qual") > 0)

@@ -36,6 +36,12 @@ class Variant:
     # "from achieve_mode": converters' success paths or non-converters' fail paths
     mode: str | None = None       # "success" | "fail" | "both"
     clients: str | None = None    # "converters" | "nonconverters" | "all"
+    # channel parts a hit log must have for this variant (older logs lack some)
+    parts: tuple[str, ...] = ("ga_sourcemedium", "utm_source", "utm_medium", "interaction_type", "profile")
+
+    def needed(self, params: JobParams) -> tuple[str, ...]:
+        """Columns, besides the keys, that the variant's reports read."""
+        return self.parts + (("ga_location",) if params.product is not None else ())
 
     def __post_init__(self):
         if self.goal_rule not in GOAL_RULES:
@@ -50,17 +56,17 @@ class Variant:
         return ("success", "converters") if params.converted else ("fail", "nonconverters")
 
 
-CANONICAL = Variant("canonical", lookback=True, goal_rule="drop_nontarget", trim=True, keep_null_client=False)
+CANONICAL = Variant("canonical", lookback=True, goal_rule="drop_nontarget", trim=True, keep_null_client=False,
+                    parts=Variant.parts + ("utm_campaign", "dcm_placement_id"))
 V3 = Variant("v3", lookback=True, goal_rule="transit", trim=True, keep_null_client=False,
-             mode="success", clients="converters")
+             mode="success", clients="converters", parts=Variant.parts + ("utm_campaign",))
 NULL = Variant("null", lookback=False, goal_rule="erase", trim=False, keep_null_client=False,
-               mode="fail", clients="nonconverters")
+               mode="fail", clients="nonconverters", parts=Variant.parts + ("utm_campaign",))
 V2 = Variant("v2", lookback=False, goal_rule="transit", trim=False, keep_null_client=True,
              mode="both", clients="all")
 CSV_ERA = Variant("csv", lookback=False, goal_rule="transit", trim=False, keep_null_client=True,
-                  channel="utm_source", old_marks=True, mode="success", clients="all")
-
-VARIANTS = {v.name: v for v in (CANONICAL, V3, NULL, V2, CSV_ERA)}
+                  channel="utm_source", old_marks=True, mode="success", clients="all",
+                  parts=("utm_source",))
 
 
 def filtered_hits(hits: DataFrame, params: JobParams, variant: Variant) -> DataFrame:

@@ -3,6 +3,7 @@ folder jobs write intermediate tables to."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,27 +31,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+    """The folder every executor reaches, ``spark.checkpoint.dir`` (or the
+    context's checkpoint folder).
 
-    Set by the cluster; only when it is unset (tests, local runs) a fresh
-    temporary folder is created and registered as the context's checkpoint
-    folder (the conf itself cannot change at runtime).
+    Where neither is set, a local master gets a temporary folder of its own;
+    any other master raises, since each executor would write to its own disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        try:
-            d = spark.sparkContext.getCheckpointDir()
-        except Exception:  # no SparkContext (Spark Connect)
-            d = None
-    if not d:
-        d = tempfile.mkdtemp(prefix="pathfold-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(d)
-        except Exception:
-            pass
+        sc = spark.sparkContext
+        d = sc.getCheckpointDir()
+        if not d:
+            if not re.match(r"local(\[|$)", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            d = tempfile.mkdtemp(prefix="pathfold-ckpt-")
+            sc.setCheckpointDir(d)
     return d
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a staged table, on whatever file system it is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a path job over ``input_bytes`` of hit log on a cluster.
 

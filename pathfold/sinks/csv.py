@@ -18,4 +18,6 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False,
     out = df.repartition(1) if single_file else df
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
-    out.write.mode(mode).option("header", "true").csv(path)
+    # blanks around a value are part of it
+    (out.write.mode(mode).option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").csv(path))

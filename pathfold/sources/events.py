@@ -14,7 +14,8 @@ from ..functions.dates import epoch_ms_ntz
 from .hits import to_hit_schema
 
 
-def events_to_hits(events: DataFrame) -> DataFrame:
+def events_to_hits(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Hits of ``events``, with its columns ``keep`` beside the hit schema."""
     eid, uid, etype = F.col("event_id"), F.col("user_id"), F.col("event_type")
     mod = lambda c, n: (c % n).cast("string")
     hits = events.select(
@@ -34,8 +35,9 @@ def events_to_hits(events: DataFrame) -> DataFrame:
          .cast("bigint").alias("goal"),
         F.when(eid % 4 == 0, "adriver").when(eid % 4 == 1, "dcm").when(eid % 4 == 2, "ga")
          .otherwise("bq").alias("src"),
+        *keep,
     )
-    return to_hit_schema(hits)
+    return hits.select(*to_hit_schema(hits).columns, *keep)
 
 
 def _ntz(ms: int) -> Column:

@@ -2,55 +2,65 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..constants import HIT_COLUMNS, LEGACY_COLUMN_NAMES
+from ..constants import HIT_COLUMNS, KEY_COLUMNS, LEGACY_COLUMN_NAMES
 
 
 def _typed(df: DataFrame, name: str, sql_type: str) -> Column:
     """``name`` in ``sql_type``: native columns pass as they are (so filters
     on them reach the parquet reader), others are ``try_cast`` so a bad
-    value becomes null instead of failing the job."""
+    value becomes null instead of failing the job.  Where a log has a column
+    under both its names (merged files of different age), either may hold the value."""
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    source = name
-    if name not in fields:
-        legacy = [old for old, new in LEGACY_COLUMN_NAMES.items() if new == name and old in fields]
-        if not legacy:
-            return F.lit(None).cast(sql_type).alias(name)
-        source = legacy[0]
-    col = F.col(source)
-    if fields[source] != sql_type:
-        col = col.try_cast(sql_type)
-    return col.alias(name)
-
-
-def to_hit_schema(df: DataFrame) -> DataFrame:
+    names = [name, *(old for old, new in LEGACY_COLUMN_NAMES.items() if new == name)]
+    found = [F.col(n) if fields[n] == sql_type else F.col(n).try_cast(sql_type) for n in names if n in fields]
+    if not found:
+        return F.lit(None).cast(sql_type).alias(name)
+    return (found[0] if len(found) == 1 else F.coalesce(*found)).alias(name)
+
+
+def to_hit_schema(df: DataFrame, needed: Iterable[str] = ()) -> DataFrame:
     """Project any hit log onto the 13-column hit schema.
 
     Older logs call ``interaction_type``/``profile`` ``adr_typenum``/
-    ``adr_profile``; columns a log lacks are null.
+    ``adr_profile``.  A log without a key column, or without one of ``needed``,
+    is refused; other columns it lacks are null.
     """
+    there = set(df.columns) | {LEGACY_COLUMN_NAMES[c] for c in df.columns if c in LEGACY_COLUMN_NAMES}
+    lacking = [c for c in dict.fromkeys((*KEY_COLUMNS, *needed)) if c not in there]
+    if lacking:
+        raise ValueError(f"the hit log has no column {', '.join(lacking)}; it has {', '.join(df.columns)}")
     return df.select(*[_typed(df, name, t) for name, t in HIT_COLUMNS])
 
 
 def read_hits(spark: SparkSession, paths: str | Sequence[str], merge_schema: bool = True,
               day_column: str | None = None,
-              days: tuple[datetime.date, datetime.date] | None = None) -> DataFrame:
+              days: tuple[datetime.date, datetime.date] | None = None, day_format: str | None = None,
+              schema: str | T.StructType | None = None, needed: Iterable[str] = ()) -> DataFrame:
     """Parquet hit log from one or more paths (comma list allowed).
 
-    A log partitioned by day (``.../dt=2024-01-10/...``) is read only for the
-    partitions with ``day_column`` in ``days`` (inclusive): a filter on the
-    partition column, so Spark lists and opens only those directories.
+    A log partitioned by day (``.../dt=2024-01-10/...``, or another
+    ``day_format`` such as ``yyyyMMdd``) is read only for the partitions with
+    ``day_column`` in ``days`` (inclusive) and for the partition without a day:
+    a filter on the partition column, so Spark opens only those directories.
+    With ``merge_schema`` Spark reads the footers of all files first; give the
+    log's ``schema`` to read none.
     """
     if isinstance(paths, str):
         paths = [p.strip() for p in paths.split(",") if p.strip()]
-    reader = spark.read.option("mergeSchema", "true" if merge_schema else "false")
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
+    else:
+        reader = reader.option("mergeSchema", "true" if merge_schema else "false")
     raw = reader.parquet(*paths)
     if day_column is not None and days is not None:
         first, last = days
-        day = F.col(day_column).cast("date")
-        raw = raw.filter((day >= F.lit(first)) & (day <= F.lit(last)))
-    return to_hit_schema(raw)
+        day = F.to_date(F.col(day_column).cast("string"), day_format) if day_format else F.col(day_column).cast("date")
+        raw = raw.filter(F.col(day_column).isNull() | ((day >= F.lit(first)) & (day <= F.lit(last))))
+    return to_hit_schema(raw, needed)

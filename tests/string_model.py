@@ -1,154 +1,99 @@
-"""A literal, single-machine model of the path jobs for small inputs.
+"""Brute force for the path reports: walk every client's ordered hits by hand.
 
-Works the way the original jobs do: per client a time-ordered list of tagged
-touches, a look-back cut on that list, then the joined string cut at every
-conversion marker.  Used only as brute force to check the Spark plans.
+A walk keeps the path that is open.  A conversion closes it; whatever is still
+open at the end is the client's unconverted path.  Everything up to and with the
+last conversion before the report's start is forgotten.
 """
 from __future__ import annotations
 
 from collections import defaultdict
 
-POS, NEG, SEP = "::_get@conv", "::_get@no_conv", "=>"
 
+def label(h: dict) -> str:
+    def part(name):
+        return "null" if h[name] is None else h[name]
 
-def _java_split(s: str, delim: str) -> list[str]:
-    if delim not in s:
-        return [s]
-    parts = s.split(delim)
-    while parts and parts[-1] == "":
-        parts.pop()
-    return parts
-
-
-def _strip_prefix(s: str, p: str) -> str:
-    return s[len(p):] if s.startswith(p) else s
-
-
-def path_creator(arr: list[str], mode: str) -> list[str]:
-    pieces = [p.strip() for p in _java_split(SEP.join(arr), POS)]
-    if mode == "success":
-        keep = [p for p in pieces if not p.endswith(NEG)]
-    elif mode == "fail":
-        keep = [p for p in pieces if p.endswith(NEG)]
-    else:
-        raise ValueError(mode)
-    return [_strip_prefix(p, SEP).replace(NEG, "") for p in keep]
-
-
-def search_inception(touches: list[tuple[str, int]], start: int) -> list[tuple[str, int]]:
-    rev = touches[::-1]
-    before = [t for t in rev if t[1] < start]
-    after = [t for t in rev if t[1] >= start]
-    kept = []
-    for t in before:
-        if not t[0].endswith("get@no_conv"):
-            break
-        kept.append(t)
-    return kept[::-1] + after[::-1]
-
-
-def channel(h: dict) -> str:
-    s = lambda v: "null" if v is None else v
-    src, it = h["src"], h["interaction_type"]
-    if src == "adriver" and it in ("view", "click"):
-        return f"{it}:{s(h['utm_source'])} / {s(h['utm_medium'])} / {s(h['utm_campaign'])}:{s(h['profile'])}"
-    if src == "dcm" and it in ("view", "click"):
-        return f"{it}:{s(h['utm_source'])} / {s(h['utm_medium'])} / {s(h['utm_campaign'])}:{s(h['dcm_placement_id'])}"
+    kind, src = h["interaction_type"], h["src"]
+    tail = {"adriver": "profile", "dcm": "dcm_placement_id"}.get(src)
+    if tail and kind in ("view", "click"):
+        return f"{kind}:{part('utm_source')} / {part('utm_medium')} / {part('utm_campaign')}:{part(tail)}"
+    if src in ("ga", "bq"):
+        return part("ga_sourcemedium") + " / " + part("utm_campaign")
     if src == "seizmik":
         return "seizmik_channel"
-    if src in ("ga", "bq"):
-        return f"{s(h['ga_sourcemedium'])} / {s(h['utm_campaign'])}"
-    raise ValueError("Unknown data source")
-
-
-def _sequences(rows, start):
-    """rows: (client, ts, channel, conv) -> client -> ordered touches."""
-    by = defaultdict(list)
-    for c, ts, ch, conv in rows:
-        by[c].append((ts, conv, ch))
-    out = {}
-    for c, items in by.items():
-        items.sort()
-        out[c] = [(ch + "::_" + ("get@conv" if conv else "get@no_conv"), ts) for ts, conv, ch in items]
+    raise ValueError(f"no label for {src}")
+
+
+def walk(touches, forget_before=None):
+    """touches: (ts, converts, channel) of a client in any order -> its paths
+    (list of touches, closed) in order."""
+    paths, open_path = [], []
+    for touch in sorted(touches):
+        ts, converts, _ = touch
+        open_path.append(touch)
+        if converts:
+            if forget_before is not None and ts < forget_before:
+                paths = []
+            else:
+                paths.append((open_path, True))
+            open_path = []
+    if open_path:
+        paths.append((open_path, False))
+    return paths
+
+
+def _wanted(h, p, since):
+    return (since <= h["HitTimeStamp"] < p.finish_ms and h["ProjectID"] == p.project_id
+            and h["src"] in p.source_platform and (p.product is None or h["ga_location"] == p.product))
+
+
+def _clients(hits, converts):
+    out = defaultdict(list)
+    for h in hits:
+        out[h["ClientID"]].append((h["HitTimeStamp"], converts(h), label(h)))
     return out
 
 
-def _cut(touches, mode):
-    chans = [k for k, _ in touches]
-    times = [str(v) + (POS if k.endswith(POS) else NEG) for k, v in touches]
-    return list(zip(path_creator(chans, mode), path_creator(times, mode)))
+def _rows(clients, keep, closed, forget_before=None):
+    return sorted((c, "=>".join(ch for _, _, ch in path), "=>".join(str(ts) for ts, _, _ in path))
+                  for c, touches in clients.items() if c is not None and keep(touches)
+                  for path, ended in walk(touches, forget_before) if ended == closed)
 
 
 def canonical(hits: list[dict], p) -> list[tuple]:
-    """Canonical report: detail rows (client, path, timeline) for p.achieve_mode."""
-    lb, st, fin, t = p.lookback_ms, p.start_ms, p.finish_ms, set(p.target_numbers)
-    scoped = [h for h in hits if lb <= h["HitTimeStamp"] < fin and h["ProjectID"] == p.project_id
-              and (h["goal"] is None or h["goal"] in t) and h["src"] in p.source_platform
-              and (p.product is None or h["ga_location"] == p.product)]
-    rows = [(h["ClientID"], h["HitTimeStamp"], channel(h), h["goal"] in t) for h in scoped]
-    actors = {c for c, ts, _, conv in rows if conv and st <= ts < fin}
-    every = {c for c, *_ in rows}
-    keep = actors if p.converted else every - actors
-    rows = [r for r in rows if r[0] is not None and r[0] in keep]
-    mode = "success" if p.converted else "fail"
-    out = []
-    for c, touches in _sequences(rows, st).items():
-        out += [(c, a, b) for a, b in _cut(search_inception(touches, st), mode)]
-    return sorted(out)
+    """Detail rows (client, path, timeline) for p.achieve_mode; hits with a goal
+    other than a target are not seen at all."""
+    seen = [h for h in hits if _wanted(h, p, p.lookback_ms) and (h["goal"] is None or h["goal"] in p.target_numbers)]
+    clients = _clients(seen, lambda h: h["goal"] in p.target_numbers)
 
+    def converted(touches):
+        return any(conv and ts >= p.start_ms for ts, conv, _ in touches)
 
-def v2_pivot(hits: list[dict], p) -> dict:
-    """Pivot report (v2): path -> (true, false, share)."""
-    st, fin, t = p.start_ms, p.finish_ms, set(p.target_numbers)
-    rows = []
-    for h in hits:
-        g = -1 if h["goal"] is None else h["goal"]
-        if (st <= h["HitTimeStamp"] < fin and h["ProjectID"] == p.project_id
-                and h["src"] in p.source_platform and g in t | {-1}
-                and (p.product is None or h["ga_location"] == p.product)):
-            rows.append((h["ClientID"], h["HitTimeStamp"], channel(h), g != -1))
-    counts = defaultdict(lambda: [0, 0])
-    for _, touches in _sequences(rows, st).items():
-        chans = [k for k, _ in touches]
-        for path in path_creator(chans, "success"):
-            counts[path][0] += 1
-        for path in path_creator(chans, "fail"):
-            counts[path][1] += 1
-    total = sum(v[0] for v in counts.values())
-    return {k: (v[0] or None, v[1] or None, (v[0] / total) if v[0] else None) for k, v in counts.items()}
+    return _rows(clients, lambda t: converted(t) == p.converted, p.converted, p.start_ms)
 
 
 def v3(hits: list[dict], p) -> list[tuple]:
-    """v3 report: converters' success paths; null goal -> -1, only
-    target goals and -1 kept, look-back cut."""
-    lb, st, fin, t = p.lookback_ms, p.start_ms, p.finish_ms, set(p.target_numbers)
-    rows = []
-    for h in hits:
-        g = -1 if h["goal"] is None else h["goal"]
-        if (lb <= h["HitTimeStamp"] < fin and h["ProjectID"] == p.project_id
-                and h["src"] in p.source_platform and g in t | {-1}
-                and (p.product is None or h["ga_location"] == p.product)):
-            rows.append((h["ClientID"], h["HitTimeStamp"], channel(h), g != -1))
-    actors = {c for c, ts, _, conv in rows if conv and st <= ts < fin and c is not None}
-    rows = [r for r in rows if r[0] in actors]
-    out = []
-    for c, touches in _sequences(rows, st).items():
-        out += [(c, a, b) for a, b in _cut(search_inception(touches, st), "success")]
-    return sorted(out)
+    """Converters' closed paths; a goal of -1 is a plain touch, other goals but
+    targets are not seen."""
+    seen = [h for h in hits if _wanted(h, p, p.lookback_ms) and h["goal"] in (None, -1, *p.target_numbers)]
+    clients = _clients(seen, lambda h: h["goal"] not in (None, -1))
+    return _rows(clients, lambda t: any(conv and ts >= p.start_ms for ts, conv, _ in t), True, p.start_ms)
+
+
+def v2_pivot(hits: list[dict], p) -> dict:
+    """path -> (closed, unconverted, share of all closed paths); clients without id are one client."""
+    seen = [h for h in hits if _wanted(h, p, p.start_ms) and h["goal"] in (None, -1, *p.target_numbers)]
+    counts = defaultdict(lambda: [0, 0])
+    for touches in _clients(seen, lambda h: h["goal"] not in (None, -1)).values():
+        for path, closed in walk(touches):
+            counts["=>".join(ch for _, _, ch in path)][0 if closed else 1] += 1
+    total = sum(yes for yes, _ in counts.values())
+    return {k: (yes or None, no or None, yes / total if yes else None) for k, (yes, no) in counts.items()}
 
 
 def null_report(hits: list[dict], p) -> list[tuple]:
-    """Null report: non-converters' whole in-window history as one
-    unconverted path; every goal kept, every hit a touch."""
-    st, fin, t = p.start_ms, p.finish_ms, set(p.target_numbers)
-    scoped = [h for h in hits if st <= h["HitTimeStamp"] < fin and h["ProjectID"] == p.project_id
-              and h["src"] in p.source_platform
-              and (p.product is None or h["ga_location"] == p.product)]
-    actors = {h["ClientID"] for h in scoped if h["goal"] in t}
-    non = {h["ClientID"] for h in scoped} - actors
-    rows = [(h["ClientID"], h["HitTimeStamp"], channel(h), False) for h in scoped
-            if h["ClientID"] is not None and h["ClientID"] in non]
-    out = []
-    for c, touches in _sequences(rows, st).items():
-        out += [(c, a, b) for a, b in _cut(touches, "fail")]
-    return sorted(out)
+    """The whole history in the window of clients without a target goal, as one open path."""
+    seen = [h for h in hits if _wanted(h, p, p.start_ms)]
+    reached = {h["ClientID"] for h in seen if h["goal"] in p.target_numbers}
+    clients = _clients([h for h in seen if h["ClientID"] not in reached], lambda h: False)
+    return _rows(clients, lambda t: True, False)

@@ -77,28 +77,13 @@ def test_top_paths_csv_era(spark):
     assert rows[0].paths == "s" and rows[0]["count"] == 4
 
 
-@pytest.mark.parametrize("chunk_ms,partitions,hot", [(1, 8, None), (7, 3, None), (64, 1, None),
-                                                     (10**12, 5, None), (200, 4, 1), (10**12, 2, 2)])
-def test_invariant_to_chunks_and_partitions(spark, chunk_ms, partitions, hot):
-    kw = dict(partitions=partitions, chunk_ms=chunk_ms, hot_chunk_rows=hot)
+@pytest.mark.parametrize("share,partitions", [(None, 8), (3, 3), (10, 1), (1000, 5)])
+def test_invariant_to_cuts_and_partitions(spark, share, partitions):
+    kw = dict(partitions=partitions, heavy_share=share, heavy_rows=1 if share else 50_000)
     assert detail(spark, PARAMS, **kw) == SUCCESS
     assert detail(spark, FAIL, **kw) == [("c3", "C=>D", "80=>110"), ("c5", "A", "150")]
 
 
-def test_hot_chunks_are_split(spark):
-    from pathfold.operators import chunk_keys
-    from pathfold.plans import CANONICAL, scope
-    p = JobParams(**{**PARAMS.__dict__, "chunk_ms": 200})
-    scoped = scope(hits_df(spark, micro_rows()), p, CANONICAL)
-    keyed, keys = chunk_keys(scoped, 200, hot_rows=1)
-    assert keys == ("chunk", "sub")
-    subs = {r.HitTimeStamp: r.sub for r in keyed.filter("ClientID = 'c1'").collect()}
-    # c1 has 7 hits in chunk 0: sub-chunks of 200 * 1 div 7 = 28 ms
-    assert subs == {10: 0, 50: 1, 110: 3, 120: 4, 130: 4, 140: 5, 150: 5}
-    plan = keyed._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
-
-
 def test_diagnostics(spark):
     hits = hits_df(spark, micro_rows())
     goals = {r.goal: r["count"] for r in reports.goal_counts(hits, PARAMS).collect()}

@@ -1,4 +1,4 @@
-"""Property test: the chunked window plans equal the literal string model."""
+"""Property test: the window plans equal a walk by hand, with and without cutting clients into chunks."""
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -19,19 +19,19 @@ hit_st = st.builds(
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
 
-def _params(mode, chunk, hot=None, start=20, width=30, back=15):
+def _params(mode, share, start=20, width=30, back=15):
     return JobParams(project_id=1, date_start=start, date_finish=start + width,
                      date_lookback=max(0, start - back), target_numbers=(3, 5),
-                     source_platform=("ga", "bq"), achieve_mode=mode, chunk_ms=chunk,
-                     hot_chunk_rows=hot)
+                     source_platform=("ga", "bq"), achieve_mode=mode, heavy_share=share,
+                     heavy_rows=1 if share else 50_000)
 
 
 @SETTINGS
 @given(st.lists(hit_st, min_size=1, max_size=40), st.sampled_from(["true", "false"]),
-       st.sampled_from([1, 4, 9, 1000]), st.sampled_from([None, None, 1, 3]),
+       st.sampled_from([None, 3, 10, 1000]),
        st.integers(0, 40), st.integers(1, 40), st.integers(0, 20))
-def test_canonical_matches_model(spark, rows, mode, chunk, hot, start, width, back):
-    p = _params(mode, chunk, hot, start, width, back)
+def test_canonical_matches_model(spark, rows, mode, share, start, width, back):
+    p = _params(mode, share, start, width, back)
     df = spark.createDataFrame(rows, HIT_DDL).repartition(3)
     got = sorted((r.ClientID, r.user_path, r.timeline) for r in reports.detail_report(df, p).collect())
     expected = string_model.canonical([dict(zip(NAMES, r)) for r in rows], p)
@@ -39,10 +39,9 @@ def test_canonical_matches_model(spark, rows, mode, chunk, hot, start, width, ba
 
 
 @SETTINGS
-@given(st.lists(hit_st, min_size=1, max_size=40), st.sampled_from([1, 6, 1000]),
-       st.sampled_from([None, 1, 2]))
-def test_pivot_matches_model(spark, rows, chunk, hot):
-    p = _params("true", chunk, hot)
+@given(st.lists(hit_st, min_size=1, max_size=40), st.sampled_from([None, 4, 1000]))
+def test_pivot_matches_model(spark, rows, share):
+    p = _params("true", share)
     df = spark.createDataFrame(rows, HIT_DDL).repartition(2)
     got = {r.paths: (r["true"], r["false"], r.share) for r in reports.status_pivot(df, p, V2).collect()}
     expected = string_model.v2_pivot([dict(zip(NAMES, r)) for r in rows], p)
@@ -54,11 +53,10 @@ def test_pivot_matches_model(spark, rows, chunk, hot):
 
 
 @SETTINGS
-@given(st.lists(hit_st, min_size=1, max_size=40), st.sampled_from([1, 5, 1000]),
-       st.sampled_from([None, 2]))
-def test_v3_and_null_match_model(spark, rows, chunk, hot):
+@given(st.lists(hit_st, min_size=1, max_size=40), st.sampled_from([None, 5, 1000]))
+def test_v3_and_null_match_model(spark, rows, share):
     from pathfold.plans import NULL, V3
-    p = _params("true", chunk, hot)
+    p = _params("true", share)
     df = spark.createDataFrame(rows, HIT_DDL).repartition(2)
     dicts = [dict(zip(NAMES, r)) for r in rows]
     got_v3 = sorted((r.ClientID, r.user_path, r.timeline) for r in reports.detail_report(df, p, V3).collect())

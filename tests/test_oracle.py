@@ -15,11 +15,15 @@ def con():
     return duck(SF)
 
 
+#: the training-data queries have tests of their own, in tests/llm
+OWN = sorted(k for k in E.queries() if k not in E._LLM_QUERIES)
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(OWN) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_oracle(spark, con, name):
     ok, msg = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF, con)
     assert ok, msg

@@ -89,7 +89,7 @@ def test_cluster_conf_sizes_partitions():
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 
-def test_shared_dir_falls_back_only_when_unset():
+def test_shared_dir_falls_back_only_when_unset_and_local():
     import os
 
     from pathfold.session import shared_dir
@@ -102,8 +102,8 @@ def test_shared_dir_falls_back_only_when_unset():
             return self.value if key == "spark.checkpoint.dir" else default
 
     class Ctx:
-        def __init__(self):
-            self.dir = None
+        def __init__(self, master):
+            self.dir, self.master = None, master
 
         def getCheckpointDir(self):
             return self.dir
@@ -112,21 +112,29 @@ def test_shared_dir_falls_back_only_when_unset():
             self.dir = d
 
     class Session:
-        def __init__(self, value):
-            self.conf, self.sparkContext = Conf(value), Ctx()
+        def __init__(self, value, master="local[2]"):
+            self.conf, self.sparkContext = Conf(value), Ctx(master)
 
     assert shared_dir(Session("hdfs:///shared/ckpt")) == "hdfs:///shared/ckpt"
     s = Session(None)
     d = shared_dir(s)
     assert os.path.isdir(d) and s.sparkContext.dir == d
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://host"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(Session(None, master))
+        assert shared_dir(Session("hdfs:///shared/ckpt", master)) == "hdfs:///shared/ckpt"
 
 
 def test_tuning_values_are_checked():
     with pytest.raises(ValueError):
-        JobParams(**{**BASE, "chunk_ms": 0})
-    with pytest.raises(ValueError):
-        JobParams(**{**BASE, "hot_chunk_rows": 0})
+        JobParams(**{**BASE, "heavy_share": 0})
     with pytest.raises(ValueError):
         JobParams(**{**BASE, "target_numbers": ()})
-    p = JobParams(**{**BASE, "chunk_ms": 60_000, "hot_chunk_rows": 5, "day_partition": "dt"})
-    assert (p.chunk_ms, p.hot_chunk_rows, p.day_partition) == (60_000, 5, "dt")
+    p = JobParams(**{**BASE, "heavy_share": 5, "day_partition": "dt"})
+    assert (p.heavy_share, p.day_partition) == (5, "dt")
+
+
+@pytest.mark.parametrize("arg", ["--zone=", "--=x", "--zone"])
+def test_options_need_a_name_and_a_value(arg):
+    with pytest.raises(ValueError):
+        parse_cli_options([arg])

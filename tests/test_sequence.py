@@ -1,5 +1,9 @@
-"""White-box: the chunk carries and the global numbers of the chunked scan."""
-from pathfold.operators import chunk_carry, chunk_keys, sequence
+"""White-box: heavy clients are cut into chunks, and the numbers stay the same."""
+import pytest
+from pyspark.sql import functions as F
+
+from pathfold.operators import history, sequence
+from pathfold.operators.sequence import chunk_carry
 
 DDL = "ClientID string, HitTimeStamp bigint, channel string, conv boolean, qual boolean, pre boolean"
 # one client, chunks of 10 ms: [1 2c 5 | 12 15c | 31c 33], start = 12
@@ -9,14 +13,37 @@ ROWS = [("a", 1, "A", False, False, False), ("a", 2, "B", True, False, True), ("
 
 
 def test_chunk_carries(spark):
-    keyed, keys = chunk_keys(spark.createDataFrame(ROWS, DDL), 10)
-    rows = {r.chunk: r for r in chunk_carry(keyed, keys).collect()}
-    assert sorted(rows) == [0, 1, 3]
+    keyed = spark.createDataFrame(ROWS, DDL).withColumn("chunk", F.expr("HitTimeStamp div 10"))
+    rows = {r.own_chunk: r for r in chunk_carry(keyed).collect()}
     assert [(rows[c].hits_before, rows[c].conv_before) for c in (0, 1, 3)] == [(0, 0), (3, 1), (5, 2)]
-    assert {(r.client_conv, r.client_pre, r.client_qual) for r in rows.values()} == {(3, 1, 2)}
+    assert {(r.all_conv, r.all_pre, r.all_qual) for r in rows.values()} == {(3, 1, 2)}
+
+
+@pytest.mark.parametrize("share", [None, 2, 3, 7, 1000])
+def test_global_rank_and_segment(spark, share):
+    seq = sequence(spark.createDataFrame(ROWS, DDL), share, 1 if share else 50_000).orderBy("HitTimeStamp").collect()
+    assert [(r.rn, r.seg) for r in seq] == [(1, 0), (2, 0), (3, 1), (4, 1), (5, 1), (6, 2), (7, 3)]
+    assert {(r.client_conv, r.client_pre, r.client_qual) for r in seq} == {(3, 1, 2)}
+
+
+def test_ordinary_clients_need_no_chunks(spark):
+    found = history(spark.createDataFrame(ROWS, DDL))
+    assert found.carry is None and found.keys == ("ClientID",) and (found.n_conv, found.n_pre) == (3, 1)
 
 
-def test_global_rank_and_segment(spark):
-    for chunk in (1, 10, 1000):
-        seq = sequence(spark.createDataFrame(ROWS, DDL), chunk).orderBy("HitTimeStamp").collect()
-        assert [(r.rn, r.seg) for r in seq] == [(1, 0), (2, 0), (3, 1), (4, 1), (5, 1), (6, 2), (7, 3)]
+def test_a_burst_is_split_and_the_lists_are_bounded(spark):
+    """100,000 hits of one client (and of the null client) within a second, among 2,000 ordinary ones."""
+    k = 50
+    client = F.when(F.col("id") < 100_000, "bot").when(F.col("id") < 150_000, None).otherwise((F.col("id") % 2000).cast("string"))
+    hits = spark.range(0, 200_000).select(
+        client.alias("ClientID"), (F.col("id") * 7919 % 1000).alias("HitTimeStamp"), F.lit("x").alias("channel"),
+        (F.col("id") % 10 == 0).alias("conv"), F.lit(False).alias("qual"), F.lit(False).alias("pre"))
+    found = history(hits, k, 1000)
+    chunks = {(r.ClientID, r.chunk): r["count"] for r in found.hits.where("chunk >= 0").groupBy("ClientID", "chunk").count().collect()}
+    assert {c for c, _ in chunks} == {"bot", None}
+    assert len(chunks) <= 2 * k and found.carry.count() == len(chunks)
+    assert max(chunks.values()) <= 1.5 * 200_000 / k
+    cut = sequence(hits, k, 1000).groupBy("ClientID").agg(F.max("rn"), F.count_distinct("rn"), F.max("seg"), F.sum("seg"))
+    whole = sequence(hits).groupBy("ClientID").agg(F.max("rn"), F.count_distinct("rn"), F.max("seg"), F.sum("seg"))
+    assert cut.exceptAll(whole).count() == 0 and whole.exceptAll(cut).count() == 0
+    assert cut.where("ClientID = 'bot'").first()[1:3] == (100_000, 100_000)
