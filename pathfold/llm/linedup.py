@@ -77,19 +77,21 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
 
     A null or empty text has one empty line and stays as it is; rows alike in
     doc_id and text count as one document and stay alike; other columns are
-    carried along.
+    carried along (one named ``_dedup`` must not be there).
     """
-    own = docs.withColumn("_key", row_key("doc_id", "text"))
-    gone = repeated(docs, **options).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key2"), F.col("at").alias("_at"))
-    joined = own.join(gone, own["doc_id"].eqNullSafe(gone["_id"]) & (own["_key"] == gone["_key2"]), "left")
-    named = [c for c in docs.columns]
-    parts = with_chunks(joined, *named, "_at", **options)
-    numbered = _as_row(parts, *named, "chunks", "_at", kept=F.filter(
-        "chunks", lambda c, i: F.col("_at").isNull() | ~F.array_contains("_at", i)))
+    # the whole row in one column, so that none of its names meets one used here
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text",
+                      row_key("doc_id", "text").alias("key"))
+    gone = repeated(docs, **options).select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key"), "at")
+    joined = own.join(gone, own["doc_id"].eqNullSafe(gone["gone_id"]) & (own["key"] == gone["gone_key"]), "left")
+    parts = with_chunks(joined, "row", "at", **options)
+    numbered = _as_row(parts, "row", "chunks", "at", kept=F.filter(
+        "chunks", lambda c, i: F.col("at").isNull() | ~F.array_contains("at", i)))
     lines = lambda name: F.aggregate(name, F.lit(0), lambda a, c: a + c["n_lines"])
-    text = F.when(F.col("_at").isNull(), F.col("text")).otherwise(
+    text = F.when(F.col("at").isNull(), F.col("row")["text"]).otherwise(
         F.array_join(F.transform("kept", lambda c: c["text"]), "\n"))
     told = F.struct(lines("chunks").alias("n_lines"), F.size("chunks").alias("n_chunks"),
                     (F.size("chunks") - F.size("kept")).alias("n_removed"),
                     (lines("chunks") - lines("kept")).alias("n_removed_lines"))
-    return numbered.select(*[text.alias(c) if c == "text" else F.col(c) for c in named], told.alias("_dedup"))
+    return numbered.select(*[text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns],
+                           told.alias("_dedup"))

@@ -1,0 +1,83 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pathfold.llm import ann
+from pathfold.llm.queries import op10_collision_counting_ann
+
+DDL = "vec_id long, embedding array<float>, id string, vec string, rank int"
+SF = "/root/testdata/sf0.1"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, "x", "y", 0) for i, v in rows], DDL)
+
+
+def brute(rows, is_query, k):
+    fine = [(i, np.array(v, dtype=np.float32).astype(float)) for i, v in rows if i is not None and v is not None
+            and all(x is not None and math.isfinite(x) for x in v) and any(x != 0 for x in v)]
+    out = {}
+    for i, q in {i: v for i, v in fine if is_query(i)}.items():
+        near = sorted((math.sqrt(((v - q) ** 2).sum()), j) for j, v in fine if j != i and len(v) == len(q))
+        out[i] = near[:k]
+    return out
+
+
+def by_query(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.score, r.vec_id))
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+@pytest.mark.parametrize("options", [{}, {"block_rows": 60, "query_rows": 2}])
+def test_small_table_against_brute_force(spark, options):
+    r = np.random.default_rng(1)
+    rows = [(i, r.standard_normal(8).tolist()) for i in range(300)]
+    rows += [(1000 + i, rows[100][1]) for i in range(30)]      # copies of a query: ties by id
+    rows += [(400, None), (500, []), (600, [0.0] * 8), (700, [1.0, None] + [0.0] * 6), (800, [float("nan")] * 8), (900, [float("inf")] + [1.0] * 7),
+             (None, [1.0] * 8), (950, [1.0, 2.0])]
+    got = by_query(ann.search(table(spark, rows), F.col("id") % 100 == 0, **options))
+    expected = {i: v for i, v in brute(rows, lambda i: i % 100 == 0, 10).items() if v}
+    assert set(got) == set(expected)
+    assert [j for _, j in got[100]] == [1000 + i for i in range(10)]
+    hits = sum(len({j for _, j in got[q]} & {j for _, j in v}) for q, v in expected.items())
+    assert hits >= 0.95 * sum(map(len, expected.values()))
+    vectors = {i: np.array(v, dtype=np.float32).astype(float) for i, v in rows if v is not None and len(v) == 8 and None not in v}
+    for q, near in got.items():
+        assert near == sorted(near)
+        assert all(math.isclose(s, math.sqrt(((vectors[q] - vectors[j]) ** 2).sum()), rel_tol=1e-14, abs_tol=0) for s, j in near)
+
+
+def test_fewer_candidates_than_asked(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.5, 0.5])]
+    got = by_query(ann.search(table(spark, rows), F.col("id") == 0))
+    assert [j for _, j in got[0]] == [2, 1]
+    assert by_query(ann.search(table(spark, rows[:1]), F.col("id") == 0)) == {}
+    assert by_query(ann.search(table(spark, []), F.col("id") == 0)) == {}
+
+
+def test_repeated_rows(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [0.0, 1.0])]
+    assert [j for _, j in by_query(ann.search(table(spark, rows), F.col("id") == 0))[0]] == [1, 1]
+
+
+def test_recall_of_the_query(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    expected, got = brute(rows, lambda i: i % 100 == 0, 10), by_query(op10_collision_counting_ann(spark, SF))
+    hits = sum(len({j for _, j in got.get(q, [])} & {j for _, j in v}) for q, v in expected.items())
+    assert hits >= 0.9 * sum(map(len, expected.values()))
+
+
+def test_windows_find_few_when_vectors_are_clustered():
+    """Far clusters are not verified: the work is not brute force."""
+    r = np.random.default_rng(2)
+    centres = r.standard_normal((50, 16)) * 30
+    x = np.repeat(centres, 100, axis=0) + r.standard_normal((5000, 16))
+    index, seen = ann.SortedProjections(x, 48), []
+    rows, dist = next(iter(index.nearest(x[:1], 10, np.array([0]), np.arange(5000), 0.55, 1.5)))
+    exact = np.argsort(((x - x[0]) ** 2).sum(axis=1), kind="stable")[1:11]
+    assert len(set(rows) & set(exact)) >= 9

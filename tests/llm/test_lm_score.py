@@ -1,0 +1,144 @@
+import collections
+import math
+import zlib
+
+import numpy as np
+import pytest
+from conftest import ODD, documents
+from pyspark.sql import functions as F
+
+from pathfold.llm import elias_fano, lm_score
+from pathfold.llm.queries import op2_lm_scoring
+
+
+def brute(rows, held):
+    """doc_id, held out, n_tokens, n_known, N, base score, score of every row."""
+    c1, c2, c3, docs = collections.Counter(), collections.Counter(), collections.Counter(), 0
+    tokens = [(i, [("w", w) for w in (t or "").encode().lower().split()] + ["end"]) for i, t in rows]
+    for i, w in tokens:
+        if not held(i):
+            docs += 1
+            c1.update(w)
+            c2.update(zip(["begin", *w], w))
+            c3.update(zip(["begin", "begin", *w], ["begin", *w], w))
+    c1["begin"], n = docs, sum(c1.values())
+    v = len(c1) - 1 if docs else 0
+    out = []
+    for i, w in tokens:
+        base = score = 0.0
+        known = 0
+        for u, x, y in zip(["begin", "begin", *w], ["begin", *w], w):
+            p1 = (c1[y] + 0.5) / (n + 0.5 * (v + 1))
+            k = 2 * c1[x] ** 0.9 + 1
+            p2 = (c2[x, y] + k * p1) / (c1[x] + k)
+            before = docs if x == "begin" else c2[u, x]
+            base += math.log10(p1)
+            score += math.log10((c3[u, x, y] + 20 * p2) / (before + 20))
+            known += c1[y] > 0
+        out.append((i, held(i), len(w), known, n, base, score))
+    return out
+
+
+def check(got, expected):
+    key = lambda r: (r[0] is None, r[0] or 0, r[2], r[5])
+    got = sorted([tuple(r) for r in got], key=key)
+    assert len(got) == len(expected)
+    for g, e in zip(got, sorted(expected, key=key)):
+        assert g[:5] == e[:5]
+        assert math.isclose(g[5], e[5], rel_tol=1e-9, abs_tol=1e-9) and abs(g[6] - e[6]) <= 0.005 * e[2]
+
+
+def held(i):
+    return i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+
+
+def split(df):
+    return df.withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 5 == 1)
+
+
+TEXTS = [(100 + i, " ".join(f"W{(i * 7 + k * k) % 40}" for k in range(i % 50))) for i in range(300)]
+
+
+@pytest.mark.parametrize("sizes", [{}, {"block_tokens": 500, "shard_tokens": 700}])
+def test_against_brute_force(spark, sizes):
+    rows = ODD + TEXTS + [(900 + i, "the same pair the same pair " * 30 + f"x{i}") for i in range(40)]
+    n = 0 if sizes else None
+    rows = [r for r in rows if n is None or len(r[1] or "") < 10_000]
+    check(lm_score.score(split(documents(spark, rows)), **sizes).collect(), brute(rows, held))
+
+
+def test_hot_bigrams_are_spread(spark):
+    """A pair with more than a 1024th of the tokens is counted beforehand and split by the word before it."""
+    rows = [(i, f"a{i % 97} hot pair b{i % 89} c{i % 83}") for i in range(400)]
+    docs = split(documents(spark, rows))
+    blocks = lm_score._blocks(docs, 300)
+    hot = lm_score._hot_bigrams(blocks, 400 * 6)
+    assert max(hot.values()) == sum(not held(i) for i, _ in rows)
+    check(lm_score.score(docs, 300, 200).collect(), brute(rows, held))
+
+
+def test_probabilities_sum_to_one(spark):
+    """Over all next words, the unknown class included, for a seen and an unseen context."""
+    rows = [(i, t) for i, t in TEXTS if not held(i)][:60]
+    words = sorted({w for _, t in rows for w in t.lower().split()})
+    start = "w3 w7"
+    asked = [(10_000 + k, f"{start} {w}".strip()) for k, w in enumerate([*words, "unknownword"])] + [(20_000, start)]
+    docs = documents(spark, rows + asked).withColumn("held_out", F.col("doc_id") >= 10_000)
+    got = {r.doc_id: r for r in lm_score.score(docs).collect()}
+    one = brute(rows + asked, lambda i: i >= 10_000)
+    score = {r[0]: r[6] for r in one}
+    for i, *_ in asked:
+        assert abs(got[i].score - score[i]) < 0.05
+
+
+def test_everything_or_nothing_held_out(spark):
+    for flag in (True, False):
+        rows = ODD[:5] + TEXTS[:20]
+        docs = documents(spark, rows).withColumn("held_out", F.lit(flag))
+        check(lm_score.score(docs).collect(), brute(rows, lambda i: flag))
+
+
+def test_empty_table(spark):
+    assert lm_score.score(split(documents(spark, []))).count() == 0
+
+
+def test_query_scores_held_out_texts_better_than_the_base(spark, sf):
+    got = op2_lm_scoring(spark, sf)
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    check(got.collect(), brute(docs, held))
+    r = got.where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert r[0] > r[1]
+
+
+def test_model_can_be_mapped(spark, tmp_path):
+    docs = split(documents(spark, TEXTS))
+    words = 0
+    for r in lm_score.model(docs, 2000, 3000).collect():
+        path = tmp_path / f"shard-{r.shard}"
+        path.write_bytes(r.image)
+        trie = lm_score.Trie(elias_fano.mapped(str(path)))
+        words += trie.words.n
+        assert trie.n == sum(len(t.split()) + 1 for i, t in TEXTS if not held(i))
+    assert words
+
+
+@pytest.mark.parametrize("n,top", [(0, 1), (1, 5), (1000, 100), (200_000, 1 << 63), (70_000, 80_000)])
+def test_monotone(n, top):
+    r = np.random.default_rng(n)
+    values = np.sort(r.integers(0, top, n, dtype=np.uint64))
+    m = elias_fano.opened(elias_fano.image(a=elias_fano.Monotone.of(values)))["a"]
+    if n:
+        assert (np.concatenate([m.chunk(c) for c in range(-(-n // elias_fano.CHUNK))]) == values).all()
+        assert (m.get(np.arange(0, n, 3)) == values[::3]).all()
+    asked = np.sort(np.concatenate([values[::7], r.integers(0, top, 500, dtype=np.uint64)]))
+    at, equal = m.successor(asked)
+    assert (at == np.searchsorted(values, asked)).all() and (equal == np.isin(asked, values)).all()
+
+
+def test_level():
+    r = np.random.default_rng(4)
+    pairs = np.unique(np.stack([r.integers(0, 300, 5000), r.integers(0, 1000, 5000)], 1), axis=0)
+    level = elias_fano.Level.of(320, pairs[:, 0], pairs[:, 1])
+    asked = np.unique(np.concatenate([pairs[::3], np.stack([r.integers(0, 320, 4000), r.integers(0, 2000, 4000)], 1)]), axis=0)
+    known = {tuple(x): i for i, x in enumerate(pairs.tolist())}
+    assert level.find(asked[:, 0], asked[:, 1]).tolist() == [known.get(tuple(x), -1) for x in asked.tolist()]

@@ -1,0 +1,65 @@
+import numpy as np
+from conftest import ODD, documents
+from pyspark.sql import functions as F
+
+from pathfold.llm import toxicity
+from pathfold.llm.queries import CATEGORIES, op4_toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+def made(spark, n=600, seed=3):
+    """Documents of random words; rude ones have 'zork' or a word that begins with 'blarg'; threats are rude ones with 'doom'."""
+    r = np.random.default_rng(seed)
+    docs, labels = [], []
+    for i in range(n):
+        words = [f"w{x}" for x in r.integers(0, 400, r.integers(5, 300))]
+        rude, threat = i % 4 == 0, i % 8 == 0
+        if rude:
+            words[len(words) // 2] = "Zork!" if i % 3 else f"blarg{r.integers(0, 99)}"
+        if threat:
+            words[0] = "doom"
+        docs.append((i, " ".join(words)))
+        if i % 2 == 0:
+            labels.append((i, int(rude), int(threat) if i % 10 else None))
+    return documents(spark, docs), spark.createDataFrame(labels, "doc_id long, rude int, threat int")
+
+
+def test_held_out_accuracy_of_a_chain(spark):
+    docs, labels = made(spark)
+    chain = toxicity.fit(docs, labels, ["rude", "threat"], least_docs=4)
+    # the second model has one weight for the first one's probability
+    assert len(chain.weights[1]) == len(chain.features[1]) + 2
+    got = {r.doc_id: r for r in toxicity.scores(docs, chain).collect()}
+    test = [i for i in got if i % 2 == 1 or i % 4 == 0]
+    assert np.mean([got[i].rude == (i % 4 == 0) for i in test]) > 0.97
+    left = toxicity.without(docs, chain, "rude")
+    assert left.columns == docs.columns
+    assert {r.doc_id for r in left.collect()} == {i for i, r in got.items() if not r.rude}
+
+
+def test_odd_rows_and_empty_tables(spark):
+    docs, labels = made(spark, 200)
+    odd = labels.union(spark.createDataFrame([(None, 1, 1), (10_000, 1, 0), (0, 0, None), (0, 1, None)], labels.schema))
+    chain = toxicity.fit(docs.union(documents(spark, ODD)), odd, ["rude", "threat"], least_docs=4)
+    rows = toxicity.scores(documents(spark, ODD), chain).collect()
+    assert len(rows) == len(ODD) and not any(r.rude for r in rows if r.doc_id in (1, 2, 8))
+    assert toxicity.scores(documents(spark, []), chain).count() == 0
+    for d, lab in ((documents(spark, []), labels), (docs, labels.limit(0)), (docs, labels.where("rude = 0"))):
+        chain = toxicity.fit(d, lab, ["rude", "threat"])
+        assert not any(r.rude for r in toxicity.scores(docs, chain).collect())  # nothing known: nothing rejected
+        assert toxicity.without(docs, chain, "rude").count() == 200
+
+
+def test_sample_is_bounded(spark):
+    docs, labels = made(spark)
+    chain = toxicity.fit(docs, labels, ["rude"], sample_rows=100, least_docs=3)
+    assert len(chain.held_out[0][1]) == 100
+
+
+def test_query_on_the_table(spark, sf):
+    got = op4_toxicity(spark, SF)
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
+    r = got.join(labels, "doc_id").agg(F.avg((F.col("toxic") == (F.col("label") == 1)).cast("int"))).first()[0]
+    assert r > 0.96 and got.columns == ["doc_id", *[f"p_{c}" for c in CATEGORIES], *CATEGORIES]
+    assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
