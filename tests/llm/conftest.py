@@ -8,25 +8,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SF = "/root/testdata/sf0.001"
 
-#: names that the operators use for columns of their own
-CLASHING = ["key", "row", "class", "signature", "chunks", "lines", "marks", "starts", "at", "_at", "_key", "digest", "hit",
-            "n_words", "length", "offset", "piece", "kind", "held_out", "block", "grp", "kept", "n", "label", "score"]
-
 
 @pytest.fixture(scope="session")
 def sf():
     if not os.path.isdir(SF):
         pytest.skip("test data not present")
     return SF
-
-
-def documents(spark, rows):
-    """Rows (doc_id, text) as a documents table with columns of clashing names."""
-    ddl = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHING)
-    return spark.createDataFrame([(i, t, None, f"s{(i or 0) % 4}", None if t is None else len(t), *CLASHING) for i, t in rows], ddl)
-
-
-#: null and empty texts, a null id, repeated rows, equal texts, a very long text, a text without blanks
-ODD = [(1, None), (2, ""), (None, "a b c d e f"), (3, "same words in two rows here"), (3, "same words in two rows here"),
-       (4, "same words in two rows here"), (5, " ".join(f"w{i}" for i in range(60_000))), (6, "x" * 5000), (7, " \n\t\n "),
-       (8, None), (9, "one"), (10, "Ünïcode wörds — 日本語 и ещё\nǰ J̌ ᾳ İstanbul ﬁn <|endoftext|>")]
