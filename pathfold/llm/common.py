@@ -55,9 +55,29 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+_WORKER_MEMORY: dict[str, dict] = {}
+
+
+def worker_memory(name: str) -> dict:
+    """What a Python worker remembers from one task of an operator to the next."""
+    return _WORKER_MEMORY.setdefault(name, {})
+
+
+def _forget_all_but(name: str | None) -> None:
+    for other in _WORKER_MEMORY.keys() - {name}:
+        _WORKER_MEMORY[other].clear()
+
+
+def map_arrow(df: DataFrame, run, schema, keeps: str | None = None) -> DataFrame:
+    """``mapInArrow``; of the worker's memories only the one named ``keeps`` stays."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def tidy(batches):
+        _forget_all_but(keeps)
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()  # the worker stays, for tasks that may need the executor's memory
+
+    return df.mapInArrow(tidy, schema)
 
 
 def utf8(column: pa.Array) -> list[bytes]:

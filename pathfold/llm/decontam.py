@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, map_arrow, row_key, utf8
+from .common import alnum_words, map_arrow, row_key, text_slices
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -123,16 +123,14 @@ def _scan(docs: DataFrame, windows: WindowSet, column: str) -> DataFrame:
     kind = pa.struct([(f, t) for f, t in zip(("n_words", "spans", "items"), _HIT_TYPES)])
 
     def run(batches):
-        for whole in batches:
-            for i in range(0, whole.num_rows, 512):
-                batch = whole.slice(i, 512)
-                counts, found = shared.value.scan(utf8(batch.column(at)))
-                hits = []
-                for k, n_words in enumerate(counts):
-                    spans, items = found.get(k, ([], ()))
-                    hits.append({"n_words": n_words, "spans": [{"first": a, "end": b} for a, b in spans],
-                                 "items": sorted(items)})
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hits, kind)], names=names)
+        for batch, texts in text_slices(batches, at):
+            counts, found = shared.value.scan(texts)
+            hits = []
+            for k, n_words in enumerate(counts):
+                spans, items = found.get(k, ([], ()))
+                hits.append({"n_words": n_words, "spans": [{"first": a, "end": b} for a, b in spans],
+                             "items": sorted(items)})
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hits, kind)], names=names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return map_arrow(docs, run, f"{schema}, `{column}` struct<{_HIT_SCHEMA}>")
@@ -187,20 +185,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, remove: st
         shared = docs.sparkSession.sparkContext.broadcast(windows)
 
         def run(batches, shared=shared):
-            for whole in batches:
-                for i in range(0, whole.num_rows, 512):
-                    batch = whole.slice(i, 512)
-                    texts = utf8(batch.column(at))
-                    _, found = shared.value.scan(texts)
-                    if remove == "document":
-                        yield batch.filter(pa.array([k not in found for k in range(len(texts))], pa.bool_()))
-                    else:
-                        column = batch.column(at)
-                        if found:
-                            column = pa.array([cut(t, found[k][0]) if k in found else x for k, (t, x) in
-                                               enumerate(zip(texts, column.to_pylist()))], column.type)
-                        yield pa.RecordBatch.from_arrays([column if k == at else c for k, c in enumerate(batch.columns)],
-                                                         names=batch.schema.names)
+            for batch, texts in text_slices(batches, at):
+                _, found = shared.value.scan(texts)
+                if remove == "document":
+                    yield batch.filter(pa.array([k not in found for k in range(len(texts))], pa.bool_()))
+                else:
+                    column = batch.column(at)
+                    if found:
+                        column = pa.array([cut(t, found[k][0]) if k in found else x for k, (t, x) in
+                                           enumerate(zip(texts, column.to_pylist()))], column.type)
+                    yield pa.RecordBatch.from_arrays([column if k == at else c for k, c in enumerate(batch.columns)],
+                                                     names=batch.schema.names)
 
         out = map_arrow(out, run, docs.schema)
     return out

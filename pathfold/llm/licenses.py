@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, map_arrow, utf8
+from .common import alnum_words, map_arrow, text_slices
 
 #: base phrases and their labels (fixed by the query's contract)
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -167,8 +167,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner()
-        for batch in batches:
-            rows = [scanner.scan(t) for t in utf8(batch.column(1))]
+        for batch, texts in text_slices(batches, 1):
+            rows = [scanner.scan(t) for t in texts]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([r[0] for r in rows], pa.int64()),
                 pa.array([[{"word": w, "label": x} for w, x in r[1]] for r in rows], place),

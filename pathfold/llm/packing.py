@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, ship, utf8
+from .common import map_arrow, ship, text_slices, worker_memory
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -38,12 +38,14 @@ class WordEncoder:
     """Token ids of blank-separated words as little-endian 32-bit bytes, remembered.
 
     The tokenizer drops white space and never joins across it, so the ids of a
-    text are those of its words one after the other.  Words are remembered up
-    to ``limit``, then the memory starts afresh.  New words that are letters
-    only are encoded together: each ends with exactly one end-of-word token.
+    text are those of its words one after the other.  Words are remembered in
+    two generations of ``limit``: when the younger is full, it takes the place
+    of the older, whose words are forgotten unless they were met again.  New
+    words that are letters only are encoded together: each ends with exactly
+    one end-of-word token.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 700_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -52,6 +54,7 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.limit = limit
 
     def _encode(self, text: str) -> np.ndarray:
@@ -70,6 +73,9 @@ class WordEncoder:
                 bases.add(word)
         letters = []
         for word in bases - known.keys():
+            if word in self.older:
+                known[word] = self.older[word]
+                continue
             text = word.decode("utf-8", "replace")
             if len(text) <= 64 and text.isalpha():
                 letters.append((word, text))
@@ -94,16 +100,18 @@ class WordEncoder:
         # composing marks may join with a letter differently in lower case
         split = [(t if _COMPOSING.search(t) else t.lower()).split() for t in texts]
         if len(self.known) > self.limit:
-            self.known.clear()
-        get = self.known.get
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        get = known.get
         found = [list(map(get, words)) for words in split]
         new = set()
         for words, ids in zip(split, found):
             if None in ids:
                 new.update(w for w, x in zip(words, ids) if x is None)
         if new:
-            self._learn(new)
-            known = self.known
+            again = new & older.keys()
+            known.update((w, older[w]) for w in again)
+            self._learn(new - again)
             for words, ids in zip(split, found):
                 while None in ids:
                     at = ids.index(None)
@@ -111,14 +119,12 @@ class WordEncoder:
         return [b"".join(ids) for ids in found]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder, kept for its later tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    kept = worker_memory("encoders")
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0,
@@ -140,22 +146,18 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(tokenizer_path)
-        for whole in batches:
-            for i in range(0, whole.num_rows, 512):
-                batch = whole.slice(i, 512)
-                rows = []
-                for doc_id, ids in zip(batch.column(0).to_pylist(), words.encode(utf8(batch.column(1)))):
-                    ids += end
-                    for k, at in enumerate(range(0, len(ids), width)):
-                        part = ids[at:at + width]
-                        rows.append((doc_id, k, k * capacity, len(part) // 4, zlib.crc32(part), part)[:len(names)])
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+        for batch, texts in text_slices(batches, 1, 2 << 20):
+            rows = []
+            for doc_id, ids in zip(batch.column(0).to_pylist(), words.encode(texts)):
+                ids += end
+                for k, at in enumerate(range(0, len(ids), width)):
+                    part = ids[at:at + width]
+                    rows.append((doc_id, k, k * capacity, len(part) // 4, zlib.crc32(part), part)[:len(names)])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     schema = PIECE_SCHEMA + (", ids binary" if with_ids else "")
     own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_arrow(own, run, schema)
+    return map_arrow(own, run, schema, keeps="encoders")
 
 
 def configurations(sizes: list[int], counts: list[int], capacity: int) -> Iterator[tuple[dict[int, int], int]]:
@@ -196,7 +198,7 @@ def configurations(sizes: list[int], counts: list[int], capacity: int) -> Iterat
         yield dict(used), times
 
 
-def pack_lengths(lengths: np.ndarray, capacity: int, groups: int = 256, small: float = 1 / 8
+def pack_lengths(lengths: np.ndarray, capacity: int, groups: int = 1024, small: float = 1 / 4
                  ) -> tuple[np.ndarray, np.ndarray]:
     """Sequence number and offset for each of ``lengths`` (any of 0 to capacity)."""
     n = len(lengths)

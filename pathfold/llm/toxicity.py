@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, map_arrow, staged, utf8
+from .common import alnum_words, map_arrow, staged, text_slices
 
 #: shares of a document's words that a unit must reach, by level
 LEVELS = (0.0, 1 / 100, 1 / 30)
@@ -87,7 +87,7 @@ class Chain:
         def wanted(word):
             got = memory.get(word)
             if got is None:
-                if len(memory) > 500_000:
+                if len(memory) > 200_000:
                     memory.clear()
                 got = memory[word] = tuple(u for u in units(word) if u in known)
             return got
@@ -143,24 +143,30 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], sample_rows:
     totals = rows.groupBy("fold").agg(*[F.sum(y).alias(f"{y}_pos") for y in ys], *[F.count(y).alias(y) for y in ys]).collect()
 
     def counted(batches):
-        pos: dict = {}
-        for batch in batches:
+        names = ["unit", "level", "fold"] + [x for y in ys for x in (f"{y}_pos", y)]
+        types = [pa.binary(), pa.int32(), pa.int32()] + [pa.float64()] * (2 * len(ys))
+        n: dict = {}
+
+        def told():
+            columns = [[k[j] for k in n] for j in range(3)] + [[v[j] for v in n.values()] for j in range(2 * len(ys))]
+            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+            n.clear()
+            return batch
+
+        for batch, texts in text_slices(batches, 0):
             folds_, own_ys = batch.column("fold").to_pylist(), [batch.column(y).to_pylist() for y in ys]
-            for i, text in enumerate(utf8(batch.column("text"))):
+            for i, text in enumerate(texts):
                 y = [c[i] for c in own_ys]
                 for unit, level in document_features(alnum_words(text)):
-                    n = pos.setdefault((unit, level, folds_[i]), [0.0] * (2 * len(ys)))
+                    own_n = n.setdefault((unit, level, folds_[i]), [0.0] * (2 * len(ys)))
                     for k, v in enumerate(y):
                         if v is not None:
-                            n[2 * k] += v
-                            n[2 * k + 1] += 1
-        if pos:
-            keys = list(pos)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.binary()), pa.array([k[1] for k in keys], pa.int32()),
-                 pa.array([k[2] for k in keys], pa.int32())]
-                + [pa.array([pos[k][j] for k in keys], pa.float64()) for j in range(2 * len(ys))],
-                names=["unit", "level", "fold"] + [x for y in ys for x in (f"{y}_pos", y)])
+                            own_n[2 * k] += v
+                            own_n[2 * k + 1] += 1
+                if len(n) > 200_000:  # the sums go on behind the shuffle
+                    yield told()
+        if n:
+            yield told()
 
     schema = "unit binary, level int, fold int, " + ", ".join(f"{y}_pos double, {y} double" for y in ys)
     counts = map_arrow(rows, counted, schema)
@@ -185,9 +191,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], sample_rows:
     number = {f: i for i, f in enumerate(sorted(wanted))}
 
     def matrix(batches):
-        for batch in batches:
+        for batch, texts in text_slices(batches, 0):
             at = []
-            for text in utf8(batch.column("text")):
+            for text in texts:
                 own_fs = document_features(alnum_words(text), lambda w: [u for u in units(w) if u in wanted_units])
                 at.append(sorted(number[f] for f in own_fs if f in number))
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.list_(pa.int32())), batch.column("fold"),
@@ -216,18 +222,18 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], sample_rows:
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The threshold with the best F1 on out-of-fold probabilities, in the middle
-    between two of them; at least 0.5, so that a document is only rejected when
-    it is more likely toxic than not."""
+    """The threshold with the best F0.5 (precision counts more: clean documents are
+    to stay) on out-of-fold probabilities, in the middle between two of them, 0.2
+    at least (0.5 where nothing is known)."""
     order = np.argsort(-p, kind="stable")
     p, y = p[order], y[order]
     if not len(y) or not y.sum():
         return 0.5
     hits = np.cumsum(y)
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
-    f1[:-1][p[:-1] == p[1:]] = 0
-    best = int(np.argmax(f1))
-    return max(0.5, float(p[best] + (p[best + 1] if best + 1 < len(p) else 0)) / 2)
+    f = 1.25 * hits / (np.arange(1, len(y) + 1) + 0.25 * y.sum())
+    f[:-1][p[:-1] == p[1:]] = 0  # rows of one probability stand or fall together
+    best = int(np.argmax(f))
+    return max(0.2, float(p[best] + (p[best + 1] if best + 1 < len(p) else 0)) / 2)
 
 
 def scores(docs: DataFrame, chain: Chain) -> DataFrame:
@@ -239,8 +245,8 @@ def scores(docs: DataFrame, chain: Chain) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         score = shared.value.scorer()
-        for batch in batches:
-            p = score(utf8(batch.column(1)))
+        for batch, texts in text_slices(batches, 1):
+            p = score(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *map(pa.array, p.T), *[pa.array(p[:, c] >= t) for c, t in enumerate(chain.thresholds)]],
                 names=names)
@@ -258,8 +264,8 @@ def without(docs: DataFrame, chain: Chain, category: str) -> DataFrame:
 
     def run(batches):
         score = shared.value.scorer()
-        for batch in batches:
-            p = score(utf8(batch.column(at)))
+        for batch, texts in text_slices(batches, at):
+            p = score(texts)
             yield batch.filter(pa.array(p[:, c] < shared.value.thresholds[c], pa.bool_()))
 
     return map_arrow(docs, run, docs.schema)
