@@ -274,8 +274,8 @@ def _numbered(base: list[np.ndarray], rank: np.ndarray, parts: list[dict], offse
 
 
 def _route(rows: DataFrame, shards: int, n: int, v: int, offsets: dict[int, int], hot: dict[tuple[int, int], int]) -> DataFrame:
-    """shard, block, blob: the occurrences of a block for a shard; and with shard
-    -1 what is known of its documents, those to learn from first.  ``hot``: by
+    """shard, block, blob: the occurrences of a block for a shard; and with a
+    negative shard what is known of its documents, those to learn from first.  ``hot``: by
     (v, w), numbers."""
     hot_keys = np.sort(_pair(*np.array(list(hot) or [(0, 0)], dtype=np.uint64).T)[:len(hot)])
 
@@ -291,7 +291,7 @@ def _route(rows: DataFrame, shards: int, n: int, v: int, offsets: dict[int, int]
                 known = np.bincount(doc, weights=counts[number] > 0, minlength=len(size)).astype(np.int64)
                 base_score = np.bincount(doc, weights=p1[number], minlength=len(size))
                 first = np.argsort(out, kind="stable")
-                yield _rows(["shard", "block", "blob"], _ROUTED_TYPES, [(-1, block.as_py(), packed(
+                yield _rows(["shard", "block", "blob"], _ROUTED_TYPES, [(-1 - block.as_py() % shards, block.as_py(), packed(
                     doc_ids[first], has_id[first], out[first], _narrow(size[first]), _narrow(known[first]), base_score[first]))])
                 n_train = np.array([np.count_nonzero(~out)])
                 place = np.empty(len(size), dtype=np.int32)
