@@ -83,7 +83,10 @@ def scan(docs: DataFrame, repository: str = "doc_id", owner: str = "source", lea
     known = ownership(found)
     copied = F.col("n_owners") >= least_owners
     different = F.size(F.array_distinct(F.split("value", ""))) >= 8
-    return (found.join(known, "digest", "left").select(
+    judged = found.where("kind is not null").join(known, "digest")
+    # documents without a span have no part in the join
+    none = found.where("kind is null").withColumns({c: F.lit(None).cast("long") for c in ("n_repositories", "n_owners")})
+    return (judged.unionByName(none).select(
         "row", "doc_id", F.when(F.col("kind").isNotNull(), F.get(F.array(*[F.lit(k) for k, *_ in KINDS]), F.col("kind"))).alias("kind"),
         F.col("kind").alias("kind_no"), "start", "end", "digest", "n_repositories", "n_owners", copied.alias("copied"),
         (~copied & ~F.col("value").rlike(PLACEHOLDER) & different).alias("live")))
