@@ -91,6 +91,7 @@ TEXTS = [
     (2, 0.9, "wtfpl", "fuck", r"do what the fuck you want to public license"),
     (2, 0.9, "boost", "boost", r"boost org license 1 0"),
     (5, 0.4, "unknown", "license", r"licen[cs]ed under (?:the )?\w+"),
+    (5, 0.4, "unknown", "licence", r"licenced under (?:the )?\w+"),  # the same without any "license" in the text
 ]
 
 

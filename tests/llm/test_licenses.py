@@ -61,3 +61,7 @@ def test_a_rule_has_its_keyword(rule):
 
 def test_empty_table(spark):
     assert licenses.scan(documents(spark, [])).count() == 0
+
+
+def test_the_other_spelling_is_tried():
+    assert licenses.Scanner().scan(b"This text is licenced under foo terms")[2:] == ([(14, 32, "unknown", 0.4)], 0.4)
