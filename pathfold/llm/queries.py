@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, licenses, linedup, lm_score, neardup, packing, secrets, toxicity
+from . import ann, chat, decontam, hard_negatives, licenses, linedup, lm_score, neardup, packing, periodic, secrets, toxicity, va_file
 from .common import staged, table
 
 CAPACITY = 2048
@@ -80,6 +80,39 @@ def op10_collision_counting_ann(spark, sf_dir):
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
+def op11_hard_negatives(spark, sf_dir):
+    own = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(own.select("vec_id", "embedding", moved.alias("label")), F.col("id") % 50 == 0)
+
+
+def with_repeats(docs):
+    """``docs`` (doc_id, text), where every tenth document (by the hash h of its
+    id) repeats, from some word on, the words that begin there."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    own = docs.select("doc_id", "text", F.floor(h / 10).cast("long").alias("g"), F.when(h % 10 == 0, words).alias("w")).withColumn("n", F.size("w"))
+    at = own.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int")).withColumn(
+        "p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    rest = F.flatten(F.array_repeat(F.expr("slice(w, a + 1, p)"), F.expr("cast((n - a) div p + 1 as int)")))
+    repeated = F.array_join(F.slice(F.concat(F.expr("slice(w, 1, a)"), rest), F.lit(1), F.col("n")), " ")
+    return at.select("doc_id", F.when(F.col("a").isNotNull(), repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    found = periodic.find_runs(with_repeats(table(spark, sf_dir, "documents")))
+    told = F.transform("runs", lambda r: F.concat(r.start.cast("string"), F.lit(","), r.length.cast("string"), F.lit(","), r.period.cast("string"), F.lit("\n")))
+    best = found.withColumn("best", F.array_min(F.transform("runs", lambda r: F.struct((-r.length).alias("less"), r.start.alias("start"), r.period.alias("period")))))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", (-F.col("best.less")).alias("length"), "best.period",
+        F.expr("-1000 * best.less div best.period").alias("exponent_milli"), F.sha2(F.array_join(told, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_va_file_topk(spark, sf_dir):
+    return va_file.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_lm_scoring": op2_lm_scoring,
@@ -91,6 +124,9 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_license_scan": op9_license_scan,
     "op10_collision_counting_ann": op10_collision_counting_ann,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_va_file_topk": op13_va_file_topk,
 }
 
 
@@ -209,10 +245,39 @@ SELECT doc_id, {', '.join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.BASE)}
 FROM docs LEFT JOIN told USING (r)"""
 
 
+def _whole_sql(scale: int, more: str = "") -> str:
+    """The embeddings that take part, in whole numbers."""
+    return f"""v AS (
+  SELECT vec_id, {more}list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+
+_SQL11 = f"""WITH {_whole_sql(256, "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, ")},
+a AS (SELECT * FROM v WHERE vec_id % 50 = 0 AND label IS NOT NULL),
+scores AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id AS id, a.label = v.label AS alike, CAST(list_dot_product(a.x, v.x) AS BIGINT) AS score
+  FROM a, v WHERE a.vec_id <> v.vec_id AND v.label IS NOT NULL),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 3"""
+
+_SQL13 = f"""WITH {_whole_sql(64)}
+SELECT q.vec_id AS query_id, CAST(row_number() OVER w AS INTEGER) AS rank, v.vec_id, CAST(list_dot_product(q.x, v.x) AS BIGINT) AS score
+FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.x) = len(v.x) WHERE q.vec_id % 20 = 0
+WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_dot_product(q.x, v.x) DESC, v.vec_id) QUALIFY row_number() OVER w <= 20"""
+
+
 ORACLE: dict[str, str] = {
     "op3_preference_formatting": _SQL3,
     "op5_decontamination": _SQL5,
     "op6_minhash_near_dedup": _SQL6,
     "op7_line_dedup": _SQL7,
     "op8_secret_scan": _sql8(),
+    "op11_hard_negatives": _SQL11,
+    "op13_va_file_topk": _SQL13,
 }

@@ -1,0 +1,116 @@
+import hashlib
+import zlib
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from odd_documents import ODD, documents
+
+from pathfold.llm import periodic, queries
+from pathfold.llm.recompression import Grammar
+
+
+def brute_runs(words, least=6):
+    """Every period by itself, by walking along the words."""
+    found = {}
+    for p in range(1, len(words) // 4 + 1):
+        i = 0
+        while i + p < len(words):
+            j = i
+            while j + p < len(words) and words[j] == words[j + p]:
+                j += 1
+            if j + p - i >= max(least, 4 * p):
+                found.setdefault((i, j + p), p)
+            i = j + 1
+    return sorted((s, e - s, p) for (s, e), p in found.items())
+
+
+def planted(doc_id, text):
+    words = (text or "").encode().split()
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    return words
+
+
+def brute_row(doc_id, text):
+    words = planted(doc_id, text)
+    found = brute_runs(words)
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+    told = "".join(f"{s},{n},{q}\n" for s, n, q in found)
+    best = min(((-n, s, q) for s, n, q in found), default=None)
+    four = (None,) * 4 if best is None else (best[1], -best[0], best[2], 1000 * -best[0] // best[2])
+    return (doc_id, len(found), *four, hashlib.sha256(told.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=40), st.integers(1, 6)), max_size=4))
+def test_runs_against_brute_force(parts):
+    texts = [words * times for words, times in parts]
+    texts.append([w for t in texts for w in t])
+    assert periodic.runs_of(texts) == [brute_runs(t) for t in texts]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 2), min_size=2, max_size=80), st.integers(1, 12))
+def test_grammar_extensions(words, times):
+    words = np.append(np.resize(words, len(words) * times // 4 + 2), 3)
+    grammar, n = Grammar(words), len(words)
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(n), np.arange(n)))
+    a, b = a[a != b], b[a != b]
+    for back, step in ((False, 1), (True, -1)):
+        for i, j, got in zip(a[::7], b[::7], grammar.common(a, b, back)[::7]):
+            k = 0
+            while min(i, j) + step * k >= 0 and max(i, j) + step * k < n and words[i + step * k] == words[j + step * k]:
+                k += 1
+            assert got == k
+
+
+def test_grammar_is_small_for_periodic_texts():
+    grammar = Grammar(np.append(np.resize(np.arange(50), 100_000), 50))
+    assert sum(len(r.symbols) for r in grammar.rounds) < 8 * 100_000 and len(grammar.rounds) < 120
+
+
+def test_a_long_text_of_one_word_and_one_of_every_second():
+    assert periodic.runs_of([[b"x"] * 300_000]) == [[(0, 300_000, 1)]]
+    words = [w for i in range(20_000) for w in (b"the", b"w%d" % i)]
+    assert periodic.runs_of([words]) == [[]]
+
+
+def test_collapsed_text_keeps_one_period():
+    words = b"p q a b c a b c a b c a b c r".split()
+    found = periodic.runs_of([words])[0]
+    assert found == [(2, 12, 3)]
+    assert periodic.collapsed(words, found) == b"p q a b c r".split()
+
+
+def test_odd_documents(spark):
+    rows = [*ODD, (20, "x y " * 9), (20, "x y " * 9), (21, "ß " * 7), (22, "a a a a a a a a a a a a"), (23, "a\tb\x0ba\x0cb a\r\nb a b")]
+    got = {(r.doc_id, r.n_words, tuple(map(tuple, r.runs)), r.collapsed) for r in periodic.find_runs(documents(spark, rows)).collect()}
+    want = set()
+    for i, t in rows:
+        words = (t or "").encode().split()
+        found = brute_runs(words) if len(words) < 1000 else []
+        want.add((i, len(words), tuple(found), b" ".join(periodic.collapsed(words, found)).decode()))
+    assert got == want
+    assert periodic.find_runs(documents(spark, rows)).count() == len(rows)
+    assert periodic.find_runs(documents(spark, [])).count() == 0
+
+
+def test_query_against_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    got = sorted(tuple(r) for r in queries.op12_periodic_runs(spark, sf).collect())
+    want = sorted(brute_row(r.doc_id, r.text) for r in docs if len((r.text or "").split()) <= 3000)
+    small = {r[0] for r in want}
+    assert len(got) == len(docs) and sorted(r for r in got if r[0] in small) == want
+    assert sum(r[1] for r in want) > 5  # some are planted
+
+
+def test_planting_in_the_query(spark):
+    rows = [*ODD, *[(i, " ".join(f"w{k}" for k in range(i % 60))) for i in range(100, 400)]]
+    got = [(r.doc_id, (r.text or "").encode().split()) for r in queries.with_repeats(documents(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted(((i, planted(i, t)) for i, t in rows), key=str)
