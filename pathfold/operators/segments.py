@@ -3,10 +3,10 @@
 Hits get their segment number and their client's totals (``sequence``), those
 of segments or clients the report does not keep are dropped, and only then is
 text collected: one row per (client, segment), on the partitioning the window
-made.  If heavy clients were cut into chunks, a chunk's stretch of a segment
-(a *piece*) is collected first and the pieces are put together in chunk order.
+made.  If histories were cut into slots, a slot's stretch of a segment (a *piece*)
+is collected first and the pieces are put together in slot order.
 
-Order comes from explicit sort keys (``rn``, ``chunk``), never from the order
+Order comes from explicit sort keys (``rn``, ``slot``), never from the order
 rows happen to arrive in.
 """
 from __future__ import annotations
@@ -85,6 +85,6 @@ def segments(found: History, mode: str = "both", clients: str = "all", trim: boo
                        "status", "n_touches"))
     if found.carry is None:
         return stretch
-    parts = F.sort_array(F.collect_list(F.struct("chunk", *texts))).alias("parts")
+    parts = F.sort_array(F.collect_list(F.struct("slot", *texts))).alias("parts")
     return (stretch.groupBy("ClientID", "seg").agg(parts, F.max("status").alias("status"), F.sum("n_touches").alias("n_touches"))
             .select("ClientID", "seg", *[_joined(F.col("parts"), t).alias(t) for t in texts], "status", "n_touches"))

@@ -1,4 +1,4 @@
-"""Ordered client histories as window scans, heavy clients cut into chunks.
+"""Ordered client histories as window scans, heavy clients cut at range borders.
 
 A client's hits are ordered by (HitTimeStamp, conv, channel): time, then a
 plain touch before a conversion at the same instant, then channel.  Two
@@ -8,45 +8,80 @@ numbers per hit follow from that order:
 * ``seg`` - the number of conversions before it.  A conversion closes its own
   segment, so all hits with equal ``seg`` form one path.
 
-An ordinary client's history is one window partition: one shuffle, no join.
-A *heavy* client - one with more than 1/K of all scoped hits, so there are
-fewer than K, and with more than ``least`` hits, so that cutting pays - would keep one task busy.  Its history is cut at quantiles of
-its own timestamps into about n * K / total chunks of like size (2K chunks at
-most, over all heavy clients); the window then numbers hits inside a chunk,
-and the counts of the chunks before it (the carry) are added.  The lists of
-cuts and of carries have fewer than K and 2K rows by construction, which is
-what bounds their broadcast.  The rows are the same for every K.
-
-The limit of the split: hits of one client in the same millisecond stay in
-one chunk, and a client has at most 1024 chunks.
-
-Which clients are heavy is found by one aggregate of the scoped hits (two
-columns, combined map-side) that runs when the plan is built.
+First one aggregate per client runs (``overview``): it tells how many hits the
+largest client has, counts conversions, and makes a filter of the clients that
+the report keeps, which then stands before the hit shuffle.
+
+Where no client is too large for a task, a client's history is one window
+partition: one shuffle, no join.
+
+Otherwise the hits are sorted as a whole: ``repartitionByRange`` on client and
+order puts them into *slots* of like size, wherever a client begins or ends, and
+writes them to the shared folder as a table bucketed by slot, so windows within
+(slot, client) need no further shuffle.  A client that goes over a slot's border is
+the last one of a slot or the first one of the next.  So two rows per slot, the
+counts of its first and its last client, are all that has to be carried: they are
+summed along the slots and joined, one row per slot.  Nothing is broadcast, no
+list of heavy clients exists, a burst within a millisecond splits like anything
+else, and the rows are the same whichever way is taken.
 """
 from __future__ import annotations
 
 import dataclasses
+import os
+import uuid
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+from .client_filter import ClientFilter, bits_of, only, useful_filter, word_of
+
 ORDER = ("HitTimeStamp", "conv", "channel")
-GRID = 1024  # quantiles known of a heavy client, the most chunks it can have
-_ROW = 32    # bounds are searched in rows of this many
+FLAGS = ("conv", "pre", "qual")
+SLOTS_PER_BUCKET = 4  # so that slots meeting in one bucket even out
 
 
 def heavy_limit(spark, share: int | None) -> int:
-    """K: as given, or four times the shuffle partitions, 1024 at least."""
-    return share or max(1024, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """K: a client with more than 1/K of the hits is heavy.  As given, or so that
+    it has more than two average shuffle partitions (and 1/64 of all hits)."""
+    return share or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
 
 
 def _count_true(c: str) -> Column:
     return F.sum(F.col(c).cast("int"))
 
 
+@dataclasses.dataclass(frozen=True)
+class Overview:
+    """What the aggregate per client tells about the scoped hits."""
+
+    hits: int      # of all clients
+    most: int      # of the largest client that is kept
+    n_conv: int    # conversions of all clients
+    n_pre: int     # of those flagged ``pre``
+    kept: ClientFilter | None  # the clients that are kept, if it pays to filter by it
+
+
+def overview(scoped: DataFrame, clients: str = "all") -> Overview:
+    """One aggregate of the scoped hits, combined map-side, that runs now; what
+    reaches the driver is a row per word of the filter (see ``client_filter``)."""
+    per_client = scoped.groupBy("ClientID").agg(F.count(F.lit(1)).alias("n"), *[_count_true(c).alias(f"n_{c}") for c in FLAGS])
+    sums = [F.sum("n").alias("hits"), F.max("n").alias("most"), F.sum("n_conv").alias("n_conv"), F.sum("n_pre").alias("n_pre")]
+    if clients == "all":
+        return Overview(*[int(x or 0) for x in per_client.agg(*sums).first()], None)
+    kept = F.col("n_qual") > 0 if clients == "converters" else F.col("n_qual") == 0
+    told = (per_client.groupBy(F.when(kept, word_of(F.col("ClientID"))).otherwise(-1).alias("word"))
+            .agg(F.bit_or(bits_of(F.col("ClientID"))).alias("bits"), *sums).toArrow())
+    total, n_conv, n_pre = (pc.sum(told[c]).as_py() or 0 for c in ("hits", "n_conv", "n_pre"))
+    words = told.filter(pc.greater_equal(told["word"], 0))
+    return Overview(total, pc.max(words["most"]).as_py() or 0, n_conv, n_pre, useful_filter(words, total))
+
+
 @dataclasses.dataclass(frozen=True)
 class History:
-    """Scoped hits with their window keys and, if any client is heavy, the carries."""
+    """Scoped hits with their window keys and, if they were cut into slots, the carries."""
 
     hits: DataFrame
     keys: tuple[str, ...]
@@ -55,62 +90,57 @@ class History:
     n_pre: int   # of those flagged ``pre``
 
 
-def _bounds(scoped: DataFrame, per_client: DataFrame, total: int, k: int, least: int) -> DataFrame:
-    """client, bounds: where the history of each heavy client is cut (a chunk ends at its bound)."""
-    heavy = (per_client.where((F.col("n") * k > total) & (F.col("n") > least))
-             .select(F.col("ClientID").alias("client"), F.least(F.lit(GRID), F.ceil(F.col("n") * k / total)).cast("int").alias("m")))
-    own = scoped.join(F.broadcast(heavy), scoped["ClientID"].eqNullSafe(heavy["client"]))  # fewer than K rows
-    grid = F.percentile_approx("HitTimeStamp", F.array(*[F.lit(i / GRID) for i in range(1, GRID)]), F.lit(10 * GRID))
-    known = own.groupBy("client").agg(grid.alias("grid"), F.first("m").alias("m"))
-    picked = F.transform(F.sequence(F.lit(1), F.col("m") - 1),
-                         lambda j: F.element_at("grid", (j * GRID / F.col("m")).cast("int")))
-    return known.select("client", F.when(F.col("m") > 1, F.array_distinct(picked)).otherwise(
-        F.expr("cast(array() as array<bigint>)")).alias("bounds"))
-
-
-def _chunk(ts: Column) -> Column:
-    """How many of ``bounds`` lie before ``ts``: first among each row's last, then in the row."""
-    lasts = F.transform(F.sequence(F.lit(_ROW), F.greatest(F.size("bounds"), F.lit(_ROW)), F.lit(_ROW)), lambda j: F.get("bounds", j - 1))
-    full = F.size(F.filter(lasts, lambda b: b < ts)) * _ROW
-    rest = F.size(F.filter(F.slice("bounds", full + 1, _ROW), lambda b: b < ts))
-    return F.when(F.size("bounds") > 0, full + rest).otherwise(F.lit(0))
-
-
-def history(scoped: DataFrame, share: int | None = None, least: int = 50_000) -> History:
-    """``scoped`` (ClientID, HitTimeStamp, channel, conv, qual, pre, ...) with
-    window keys; a null ClientID is one client."""
-    k = heavy_limit(scoped.sparkSession, share)
-    per_client = scoped.groupBy("ClientID").agg(F.count(F.lit(1)).alias("n"), _count_true("conv").alias("n_conv"),
-                                                 _count_true("pre").alias("n_pre"))
-    total, most, *counts = per_client.agg(F.sum("n"), F.max("n"), F.sum("n_conv"), F.sum("n_pre")).first()
-    counts = [int(c or 0) for c in counts]
-    if not total or most * k <= total or most <= least:
-        return History(scoped, ("ClientID",), None, *counts)
-    bounds = _bounds(scoped, per_client, total, k, least)
-    keyed = (scoped.join(F.broadcast(bounds), scoped["ClientID"].eqNullSafe(bounds["client"]), "left")  # fewer than K rows
-             .withColumn("chunk", F.when(F.col("bounds").isNull(), F.lit(-1)).otherwise(_chunk(F.col("HitTimeStamp"))))
-             .select(*scoped.columns, "chunk"))
-    return History(keyed, ("ClientID", "chunk"), chunk_carry(keyed.where("chunk >= 0")), *counts)
-
-
-def chunk_carry(keyed: DataFrame) -> DataFrame:
-    """One row per chunk of a heavy client: counts before it and client totals.
-
-    ``client_conv`` - conversions in the client's history, ``client_pre`` -
-    of those flagged ``pre`` (before the report start), ``client_qual`` - hits
-    flagged ``qual`` (conversions that make the client a converter).
+def ranged(scoped: DataFrame, buckets: int | None = None) -> DataFrame:
+    """``scoped`` with its ``slot``, staged: sorted by client and order over all
+    slots, in a table bucketed by slot.  Hits alike in client and order are told
+    apart by their place in the input, so they split too."""
+    spark = scoped.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = ("ClientID", *ORDER)
+    slots = (scoped.withColumn("_nth", F.monotonically_increasing_id())
+             .repartitionByRange(SLOTS_PER_BUCKET * buckets, *by, "_nth").drop("_nth").withColumn("slot", F.spark_partition_id()))
+    name = f"pathfold_slots_{uuid.uuid4().hex}"
+    (slots.write.format("parquet").bucketBy(buckets, "slot").sortBy("slot", *by)
+     .option("path", os.path.join(shared_dir(spark), name)).saveAsTable(name))
+    return spark.table(name)
+
+
+def slot_carry(slots: DataFrame) -> DataFrame:
+    """One row per slot: ``first`` and ``last``, its first and its last client (one
+    and the same, if it has no other), with that client's hits and conversions in
+    the slots before (``hits_before``, ``conv_before``) and in all
+    (``all_conv``, ``all_pre``, ``all_qual``).
+
+    Only the first and the last client of a slot can have hits in another one.
     """
-    per_chunk = keyed.groupBy("ClientID", "chunk").agg(
-        F.count(F.lit(1)).alias("n_hits"), *[_count_true(c).alias(f"n_{c}") for c in ("conv", "pre", "qual")])
-    w = Window.partitionBy("ClientID").orderBy("chunk")
+    counts = slots.groupBy("slot", "ClientID").agg(F.count(F.lit(1)).alias("n_hits"), *[_count_true(c).alias(f"n_{c}") for c in FLAGS])
+    within = Window.partitionBy("slot").orderBy("ClientID")
+    ends = (counts.withColumn("is_first", F.lag(F.lit(1)).over(within).isNull())
+            .withColumn("is_last", F.lead(F.lit(1)).over(within).isNull()).where("is_first or is_last"))
+    w = Window.partitionBy("ClientID").orderBy("slot")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     zero = F.lit(0).cast("bigint")
-    return per_chunk.select(
-        F.col("ClientID").alias("client"), F.col("chunk").alias("own_chunk"),
-        F.coalesce(F.sum("n_hits").over(before), zero).alias("hits_before"),
+    client = F.struct(
+        F.col("ClientID").alias("client"), F.coalesce(F.sum("n_hits").over(before), zero).alias("hits_before"),
         F.coalesce(F.sum("n_conv").over(before), zero).alias("conv_before"),
-        *[F.sum(f"n_{c}").over(whole).alias(f"all_{c}") for c in ("conv", "pre", "qual")])
+        *[F.sum(f"n_{c}").over(whole).alias(f"all_{c}") for c in FLAGS])
+    # an aggregate per slot of at most two rows; max skips nulls
+    return (ends.select(F.col("slot").alias("own_slot"), "is_first", "is_last", client.alias("c")).groupBy("own_slot")
+            .agg(F.max(F.when(F.col("is_first"), F.col("c"))).alias("first"), F.max(F.when(F.col("is_last"), F.col("c"))).alias("last")))
+
+
+def history(scoped: DataFrame, share: int | None = None, least: int = 50_000, clients: str = "all") -> History:
+    """``scoped`` (ClientID, HitTimeStamp, channel, conv, qual, pre, ...) with
+    window keys; a null ClientID is one client.  Hits of clients other than
+    ``clients`` (converters, nonconverters or all) may be left out."""
+    seen = overview(scoped, clients)
+    if seen.kept is not None:
+        scoped = only(scoped, seen.kept)
+    if seen.most <= least or seen.most * heavy_limit(scoped.sparkSession, share) <= seen.hits:
+        return History(scoped, ("ClientID",), None, seen.n_conv, seen.n_pre)
+    slots = ranged(scoped)
+    return History(slots, ("slot", "ClientID"), slot_carry(slots), seen.n_conv, seen.n_pre)
 
 
 def numbered(found: History) -> DataFrame:
@@ -122,17 +152,18 @@ def numbered(found: History) -> DataFrame:
     local = found.hits.select(
         "*", F.row_number().over(w).cast("bigint").alias("rn"),
         F.coalesce(_count_true("conv").over(w.rowsBetween(Window.unboundedPreceding, -1)), zero).alias("seg"),
-        *[_count_true(c).over(whole).alias(f"client_{c}") for c in ("conv", "pre", "qual")])
+        *[_count_true(c).over(whole).alias(f"client_{c}") for c in FLAGS])
     if found.carry is None:
         return local
-    c = F.broadcast(found.carry)  # fewer than 2K rows
-    joined = local.join(c, local["ClientID"].eqNullSafe(c["client"]) & (local["chunk"] == c["own_chunk"]), "left")
+    joined = local.join(found.carry, local["slot"] == found.carry["own_slot"])
+    at_first, at_last = (F.col("ClientID").eqNullSafe(F.col(f"{end}.client")) for end in ("first", "last"))
     return joined.select(
-        *found.hits.columns, (F.col("rn") + F.coalesce("hits_before", zero)).alias("rn"),
-        (F.col("seg") + F.coalesce("conv_before", zero)).alias("seg"),
-        *[F.coalesce(f"all_{x}", f"client_{x}").alias(f"client_{x}") for x in ("conv", "pre", "qual")])
+        *found.hits.columns, (F.col("rn") + F.when(at_first, F.col("first.hits_before")).otherwise(zero)).alias("rn"),
+        (F.col("seg") + F.when(at_first, F.col("first.conv_before")).otherwise(zero)).alias("seg"),
+        *[F.when(at_first, F.col(f"first.all_{x}")).when(at_last, F.col(f"last.all_{x}")).otherwise(F.col(f"client_{x}")).alias(f"client_{x}")
+          for x in FLAGS])
 
 
-def sequence(scoped: DataFrame, share: int | None = None, least: int = 50_000) -> DataFrame:
+def sequence(scoped: DataFrame, share: int | None = None, least: int = 50_000, clients: str = "all") -> DataFrame:
     """Every hit with its global ``rn`` and ``seg`` plus its client's totals."""
-    return numbered(history(scoped, share, least)).drop("chunk")
+    return numbered(history(scoped, share, least, clients)).drop("slot")

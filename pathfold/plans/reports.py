@@ -23,8 +23,9 @@ def path_segments(hits: DataFrame, params: JobParams, variant: Variant = CANONIC
                   timeline: bool = True) -> DataFrame:
     """Kept paths: ClientID, seg, user_path, [timeline,] status, n_touches."""
     d_mode, d_clients = variant.selection(params)
-    return segments(history(scope(hits, params, variant), params.heavy_share, params.heavy_rows), mode=mode or d_mode,
-                    clients=clients or d_clients, trim=variant.trim, timeline=timeline)
+    clients = clients or d_clients
+    found = history(scope(hits, params, variant), params.heavy_share, params.heavy_rows, clients)
+    return segments(found, mode=mode or d_mode, clients=clients, trim=variant.trim, timeline=timeline)
 
 
 def detail_report(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
@@ -93,7 +94,7 @@ def client_sequences(hits: DataFrame, params: JobParams, variant: Variant = CANO
 def lookback_trim(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
     """Hits of the selected clients that survive the look-back cut."""
     _, clients = variant.selection(params)
-    seq = sequence(scope(hits, params, variant), params.heavy_share, params.heavy_rows)
+    seq = sequence(scope(hits, params, variant), params.heavy_share, params.heavy_rows, clients)
     keep = F.col("seg") >= F.col("client_pre")
     if clients == "converters":
         keep = keep & (F.col("client_qual") > 0)
