@@ -55,6 +55,13 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def file_sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, bytes) of the files right in ``path``, on whatever file system it is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(hadoop)
+    return [(f.getPath().getName(), f.getLen()) for f in found if f.isFile()]
+
+
 def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a path job over ``input_bytes`` of hit log on a cluster.
 
