@@ -27,6 +27,9 @@ from pyspark.sql.window import Window
 from .vector_blocks import EXACT, array, exact_products, ids_of, met, numbered, packed, whole_vectors
 
 
+_CHUNK = 64  # anchors whose bounds with a block are held at once
+
+
 def summaries(vectors: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     """Means times the square root of the segment's length, and deviations (n x
     segments each): with these, products need no lengths."""
@@ -38,15 +41,25 @@ def summaries(vectors: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarra
     return means * np.sqrt(sizes), np.sqrt(apart)
 
 
-def score_bounds(means: np.ndarray, deviations: np.ndarray, mean: np.ndarray, deviation: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least and largest possible score; widened by more than doubles round."""
-    middle, spread = means @ mean, deviations @ deviation
-    spread = spread + 1e-9 * (1 + spread + np.abs(means) @ np.abs(mean))
+def score_bounds(means: np.ndarray, deviations: np.ndarray, mean: np.ndarray, deviation: np.ndarray, slack) -> tuple[np.ndarray, np.ndarray]:
+    """Least and largest possible scores, ``slack`` (for what doubles round) further apart."""
+    middle, spread = mean @ means.T, deviation @ deviations.T + slack
     return middle - spread, middle + spread
 
 
-def _nth_largest(values: np.ndarray, n: int) -> float:
-    return -np.inf if len(values) < n else np.partition(values, len(values) - n)[len(values) - n]
+def may_count(low: np.ndarray, high: np.ndarray, ranges: np.ndarray, k: int) -> np.ndarray:
+    """Which rows, by their bounds, may be among the ``k`` best of any of the score ranges [from, to]."""
+    if not len(ranges) or not len(low):
+        return np.zeros(len(low), dtype=bool)
+    inside = (low <= ranges[:, 1].max()) & (high >= ranges[:, 0].min())
+    if (high - low).min() > (ranges[:, 1] - ranges[:, 0]).max():
+        return inside  # no row is sure to be in a range
+    keep = np.zeros(len(low), dtype=bool)
+    for least, most in ranges:
+        sure = low[(low >= least) & (high <= most)]
+        floor = least if len(sure) < k else np.partition(sure, len(sure) - k)[len(sure) - k]
+        keep |= (low <= most) & (high >= floor)
+    return keep
 
 
 class Summaries:
@@ -59,22 +72,27 @@ class Summaries:
         self.most = float(np.abs(self.vectors).max(initial=0))
         self.scored = 0  # exact scores so far
 
-    def left(self, query: np.ndarray, own: list, rows: np.ndarray, ranges: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of ``rows``, those that may be among the ``k`` best of any of the score
-        ranges [from, to], and their exact scores.  ``own``: the query's summaries."""
-        if self.most * float(np.abs(query).max(initial=0)) * max(1, len(query)) < EXACT:
-            for (means, deviations), (mean, deviation) in zip(self.levels, own):
-                if not len(rows):
-                    break
-                whole = len(rows) == len(means)
-                low, high = score_bounds(means if whole else means[rows], deviations if whole else deviations[rows], mean, deviation)
-                keep = np.zeros(len(rows), dtype=bool)
-                for least, most in ranges:
-                    sure = low[(low >= least) & (high <= most)]
-                    keep |= (low <= most) & (high >= max(least, _nth_largest(sure, k)))
-                rows = rows[keep]
-        self.scored += len(rows)
-        return rows, exact_products(self.vectors[rows], query)
+    def left(self, asked: Summaries, some: slice, rows: list[np.ndarray], ranges: list[np.ndarray], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For the queries ``some`` of ``asked``, of each one's ``rows`` those that
+        may be among the ``k`` best of any of its score ranges, and their scores.
+        A level is worked out for all rows together while most are open, and row
+        by row when few are."""
+        queries, rows = asked.vectors[some], list(rows)
+        many = lambda: sum(map(len, rows)) > 0.1 * len(rows) * len(self.ids)
+        most = np.abs(queries).sum(axis=1)[:, None] * self.most
+        fine = bool((most < EXACT).all())
+        for (means, deviations), (mean, deviation) in zip(self.levels if fine else (), asked.levels):
+            mean, deviation, slack, whole = mean[some], deviation[some], 1e-9 * (1 + most), many()
+            if whole:
+                low, high = score_bounds(means, deviations, mean, deviation, slack)
+            for i, own in enumerate(rows):
+                bounds = (low[i, own], high[i, own]) if whole else score_bounds(means[own], deviations[own], mean[i], deviation[i], slack[i])
+                rows[i] = own[may_count(*bounds, ranges[i], k)]
+        self.scored += sum(map(len, rows))
+        if fine and many():
+            scores = queries @ self.vectors.T
+            return [(own, scores[i, own].astype(np.int64)) for i, own in enumerate(rows)]
+        return [(own, exact_products(self.vectors[own], query)) for own, query in zip(rows, queries)]
 
 
 def _best(rows, scores, ids, k):
@@ -119,19 +137,21 @@ def mine(vectors: DataFrame, is_anchor: Column, n_positives: int = 5, n_negative
     fields = "labels binary" + "".join(f", mean{m} binary, dev{m} binary" for m in levels)
     blocks = packed(own, n_blocks, "hn-blocks", summary, fields)
 
-    def queries(block):
-        there = Summaries(block, levels)
-        own = [[(means[i], deviations[i]) for means, deviations in there.levels] for i in range(len(there.ids))]
-        return there, own
+    def searched(block, query, own_rows, ranges, k):
+        """Anchor number, and the rows and scores that may count, for all anchors of a block."""
+        rows, asked = Summaries(block, levels), Summaries(query, levels)
+        for a in range(0, len(asked.ids), _CHUNK):
+            some = range(a, min(a + _CHUNK, len(asked.ids)))
+            own = [np.flatnonzero(own_rows(rows, asked, i)) for i in some]
+            for i, (left, scores) in zip(some, rows.left(asked, slice(a, a + _CHUNK), own, [ranges(i) for i in some], k)):
+                yield i, asked.ids[i], rows.ids, left, scores
 
     def positives(block, query):
-        rows, (asked, own) = Summaries(block, levels), queries(query)
         out = {"anchor_id": [], "id": [], "score": []}
-        for i, anchor in enumerate(asked.ids):
-            mine_ = np.flatnonzero((rows.labels == asked.labels[i]) & (rows.ids != anchor))
-            left, scores = rows.left(asked.vectors[i], own[i], mine_, np.array([[-np.inf, np.inf]]), n_positives)
-            left, scores = _best(left, scores, rows.ids, n_positives)
-            for name, x in (("anchor_id", np.full(len(left), anchor)), ("id", rows.ids[left]), ("score", scores)):
+        alike = lambda rows, asked, i: (rows.labels == asked.labels[i]) & (rows.ids != asked.ids[i])
+        for _, anchor, ids, left, scores in searched(block, query, alike, lambda _: np.array([[-np.inf, np.inf]]), n_positives):
+            left, scores = _best(left, scores, ids, n_positives)
+            for name, x in (("anchor_id", np.full(len(left), anchor)), ("id", ids[left]), ("score", scores)):
                 out[name].append(x)
         return _joined(out)
 
@@ -149,21 +169,20 @@ def mine(vectors: DataFrame, is_anchor: Column, n_positives: int = 5, n_negative
     second = packed(anchors.join(wanted, "id"), n_anchors, "hn-positives", with_positives, fields + ", counts binary, positives binary", key="qblock")
 
     def negatives(block, query):
-        rows, (asked, own) = Summaries(block, levels), queries(query)
-        told = np.split(np.frombuffer(query["positives"], dtype="<i8").reshape(-1, 3), np.cumsum(np.frombuffer(query["counts"], dtype="<i8"))[:-1])
+        counts = np.frombuffer(query["counts"], dtype="<i8")
+        told = np.split(np.frombuffer(query["positives"], dtype="<i8").reshape(-1, 3), np.cumsum(counts)[:-1])
+        # 100 * score in [low * positive, high * positive], in whole numbers of any size
+        ranges = [[(-(-low * int(p[2]) // 100), high * int(p[2]) // 100) for p in own] for own in told]
+        wide = lambda i: np.array([r for r in ranges[i] if r[0] <= r[1]], dtype=np.float64).reshape(-1, 2)
+        other = lambda rows, asked, i: rows.labels != asked.labels[i]
         out = {c: [] for c in ("anchor_id", "nth", "positive_id", "positive_score", "id", "score")}
-        for i, anchor in enumerate(asked.ids):
-            # 100 * score in [low * positive, high * positive], in whole numbers of any size
-            ranges = [(-(-low * int(p[2]) // 100), high * int(p[2]) // 100) for p in told[i]]
-            others = np.flatnonzero(rows.labels != asked.labels[i])
-            wide = np.array([r for r in ranges if r[0] <= r[1]], dtype=np.float64).reshape(-1, 2)
-            left, scores = rows.left(asked.vectors[i], own[i], others[:len(others) * bool(len(wide))], wide, n_negatives)
-            for (nth, positive, score), (a, b) in zip(told[i], ranges):
+        for i, anchor, ids, left, scores in searched(block, query, other, wide, n_negatives):
+            for (nth, positive, score), (a, b) in zip(told[i], ranges[i]):
                 inside = (scores >= a) & (scores <= b)
-                some, its = _best(left[inside], scores[inside], rows.ids, n_negatives)
+                some, its = _best(left[inside], scores[inside], ids, n_negatives)
                 for name, x in (("anchor_id", anchor), ("nth", nth), ("positive_id", positive), ("positive_score", score)):
                     out[name].append(np.full(len(some), x))
-                out["id"].append(rows.ids[some])
+                out["id"].append(ids[some])
                 out["score"].append(its)
         return _joined(out)
 

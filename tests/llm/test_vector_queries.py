@@ -111,7 +111,7 @@ def test_summaries_bound_scores_and_finer_ones_are_closer():
     widths = []
     for m in (1, 2, 3, 8, 24):
         means, deviations = summaries(vectors, m)
-        low, high = score_bounds(means, deviations, means[0], deviations[0])
+        low, high = score_bounds(means, deviations, means[0], deviations[0], 1e-3)
         exact = vectors @ vectors[0]
         assert (low <= exact).all() and (exact <= high).all()
         widths.append(float((high - low).mean()))
@@ -128,8 +128,7 @@ def test_segments_rule_rows_out(spark):
         means, deviations = summaries(vectors, m)
         block |= {f"mean{m}": means.tobytes(), f"dev{m}": deviations.tobytes()}
     there = Summaries(block, levels)
-    own = [(means[0], deviations[0]) for means, deviations in there.levels]
-    rows, scores = there.left(vectors[0], own, np.arange(3000), np.array([[-np.inf, np.inf]]), 5)
+    (rows, scores), = there.left(there, slice(0, 1), [np.arange(3000)], [np.array([[-np.inf, np.inf]])], 5)
     assert there.scored < 300
     assert sorted(scores.tolist(), reverse=True)[:5] == sorted((vectors @ vectors[0]).astype(int).tolist(), reverse=True)[:5]
 
