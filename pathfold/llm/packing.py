@@ -34,18 +34,23 @@ _PUNCTUATION = b".,;:!?|"
 _COMPOSING = re.compile(rb"[\xcc\xcd][\x80-\xbf]")
 
 
+#: bytes that a remembered word takes beside its letters and ids: two objects and their place in a dict
+_ENTRY = 164
+
+
 class WordEncoder:
     """Token ids of blank-separated words as little-endian 32-bit bytes, remembered.
 
     The tokenizer drops white space and never joins across it, so the ids of a
     text are those of its words one after the other.  Words are remembered in
-    two generations of ``limit``: when the younger is full, it takes the place
-    of the older, whose words are forgotten unless they were met again.  New
-    words that are letters only are encoded together: each ends with exactly
-    one end-of-word token.
+    two generations: when the younger has half of ``memory_mb`` (words, ids and
+    what Python needs to keep them), it takes the place of the older, whose words
+    are forgotten unless they were met again.  What is remembered thus stays below
+    ``memory_mb`` and the new words of one slice of text.  New words that are
+    letters only are encoded together: each ends with exactly one end-of-word token.
     """
 
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, path: str, memory_mb: float):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -55,7 +60,7 @@ class WordEncoder:
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.limit = limit
+        self.most, self.held = memory_mb * (1 << 19), 0.0
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -99,8 +104,8 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         # composing marks may join with a letter differently in lower case
         split = [(t if _COMPOSING.search(t) else t.lower()).split() for t in texts]
-        if len(self.known) > self.limit:
-            self.known, self.older = {}, self.known
+        if self.held > self.most:
+            self.known, self.older, self.held = {}, self.known, 0.0
         known, older = self.known, self.older
         get = known.get
         found = [list(map(get, words)) for words in split]
@@ -109,9 +114,11 @@ class WordEncoder:
             if None in ids:
                 new.update(w for w, x in zip(words, ids) if x is None)
         if new:
-            again = new & older.keys()
+            again, before = new & older.keys(), len(known)
             known.update((w, older[w]) for w in again)
             self._learn(new - again)
+            added = len(known) - before  # the parts of words, too
+            self.held += added * (_ENTRY + sum(len(w) + len(known[w]) for w in new) / len(new))
             for words, ids in zip(split, found):
                 while None in ids:
                     at = ids.index(None)
@@ -119,23 +126,25 @@ class WordEncoder:
         return [b"".join(ids) for ids in found]
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, memory_mb: float) -> WordEncoder:
     """The worker's encoder, kept for its later tasks."""
     kept = worker_memory("encoders")
-    if path not in kept:
-        kept[path] = WordEncoder(path)
-    return kept[path]
+    if (path, memory_mb) not in kept:
+        kept.clear()  # one at a time, so that the bound holds
+        kept[path, memory_mb] = WordEncoder(path, memory_mb)
+    return kept[path, memory_mb]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0,
-                 with_ids: bool = False) -> DataFrame:
+                 with_ids: bool = False, memory_mb: float = 80) -> DataFrame:
     """Tokenise ``docs`` (doc_id, text; other columns are not read) and cut.
 
     One row per piece: doc_id, piece, start, length, ids_crc32 and, with
     ``with_ids``, the ids as little-endian 32-bit ``ids`` binary.  Every text is
     followed by ``end_id``; a null or empty text is that id alone.  Only longer
     documents than ``capacity`` are cut.  Repeated rows give repeated pieces, a
-    null doc_id stays null, an empty table gives no piece.
+    null doc_id stays null, an empty table gives no piece.  ``memory_mb`` bounds what
+    one Python worker (there is one per core) remembers of words; more of it is faster.
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
@@ -145,7 +154,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(tokenizer_path)
+        words = encoder(tokenizer_path, memory_mb)
         for batch, texts in text_slices(batches, 1, 2 << 20):
             rows = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), words.encode(texts)):

@@ -16,7 +16,7 @@ def tokenizer_path() -> str:
 
 
 def op1_best_fit_packing(spark, sf_dir):
-    pieces = staged(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path(), CAPACITY), "op1-pieces")
+    pieces = staged(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path(), CAPACITY, memory_mb=250), "op1-pieces")
     return packing.pack_pieces(pieces, CAPACITY)
 
 

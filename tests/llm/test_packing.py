@@ -1,5 +1,6 @@
 """Packing: ids as the tokenizer gives them, an exact packing, few sequences."""
 import array
+import sys
 import zlib
 
 import numpy as np
@@ -84,11 +85,24 @@ WORDS = st.text(alphabet=st.sampled_from(list("abzAZ09'.,;:!?|-_ \n\t\x1c\x85é
 @settings(max_examples=150, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(WORDS, min_size=1, max_size=4))
 def test_remembered_words_give_the_tokenizers_ids(tokenizer, texts):
-    words = packing.encoder(tokenizer_path())
+    words = packing.encoder(tokenizer_path(), 0.01)  # forgets all the time
     assert words.encode([t.encode() for t in texts]) == [
         array.array("I", tokenizer.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
 
 
+def test_remembered_words_stay_in_their_bound(tokenizer):
+    """More words than fit: both generations together are below the bound, but for one slice's new words."""
+    words, sizes = packing.WordEncoder(tokenizer_path(), 0.4), []
+    letters = "etaoinsh"
+    for a in range(12):
+        texts = [" ".join(f"{letters[i % 8]}{letters[i // 8 % 8]}x{letters[i // 64 % 8]}{a}" for i in range(j, j + 500)).encode() for j in range(0, 1000, 500)]
+        ids = words.encode(texts)
+        assert ids == [array.array("I", tokenizer.encode(t.decode(), add_special_tokens=False).ids).tobytes() for t in texts]
+        sizes.append(sum(sys.getsizeof(k) + sys.getsizeof(v) for d in (words.known, words.older) for k, v in d.items())
+                     + sys.getsizeof(words.known) + sys.getsizeof(words.older))
+    assert max(sizes) <= 0.4 * (1 << 20) + sizes[0] and len(words.known) + len(words.older) < 12 * 512
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 100), max_size=300), st.integers(1, 40))
 def test_any_lengths_are_packed(lengths, groups):
