@@ -7,8 +7,9 @@
 
 Optional for paths / pivot:
     --single_file=true      write each report as one file
-    --heavy_share=K         cut histories of clients with more than 1/K of all hits
+    --heavy_share=K         cut histories where a client has more than 1/K of all hits
     --heavy_rows=N          and with more than N hits (default 50000)
+    --channel_numbers=true  shuffle channels and paths as numbers (large logs)
     --day_partition=COL     the log is partitioned by day in COL: read only the days needed
     --day_format=FMT        format of COL if it isn't a date, e.g. yyyyMMdd
 
@@ -44,6 +45,7 @@ def main(argv: list[str]) -> int:
     single = options.pop("single_file", "false").strip().lower() == "true"
     tuning = {k: options.pop(k).strip() for k in ("day_partition", "day_format", "zone") if k in options}
     tuning |= {k: int(options.pop(k)) for k in ("heavy_share", "heavy_rows") if k in options}
+    tuning |= {"channel_numbers": True} if options.pop("channel_numbers", "false").strip().lower() == "true" else {}
     if cmd in COMMANDS:
         strict = cmd == "paths"
         params = JobParams.from_options(options, strict_dates=strict, **tuning)
@@ -55,7 +57,7 @@ def main(argv: list[str]) -> int:
         params = JobParams.from_options(options, strict_dates=False, **tuning)
         jobs.pivot_report(spark, params, single_file=single)
     elif cmd == "top":
-        params = read_config(spark, rest[0], **{k: v for k, v in tuning.items() if k in ("zone", "heavy_share", "heavy_rows")})
+        params = read_config(spark, rest[0], **{k: v for k, v in tuning.items() if k in ("zone", "heavy_share", "heavy_rows", "channel_numbers")})
         jobs.top_paths_report(spark, params).show(truncate=False)
     else:
         print(__doc__)

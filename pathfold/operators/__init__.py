@@ -1,6 +1,7 @@
 """DataFrame operators: filters, client sets, ordered histories, paths."""
 from . import clients, filters
+from .channels import ChannelNumbers, channel_numbers
 from .segments import segment_filter, segments
 from .sequence import History, history, numbered, sequence
 
-__all__ = ["clients", "filters", "segment_filter", "segments", "History", "history", "numbered", "sequence"]
+__all__ = ["clients", "filters", "ChannelNumbers", "channel_numbers", "segment_filter", "segments", "History", "history", "numbered", "sequence"]

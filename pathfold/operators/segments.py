@@ -60,14 +60,17 @@ def _joined(items: Column, field: str) -> Column:
 
 
 def segments(found: History, mode: str = "both", clients: str = "all", trim: bool = False,
-             timeline: bool = True) -> DataFrame:
+             timeline: bool = True, numbered_channels: bool = False) -> DataFrame:
     """Kept segments of a client history as rows ClientID, seg, user_path,
     [timeline,] status, n_touches.
 
     ``timeline=False`` leaves the timeline out (column and all its text):
-    reports that only count paths do not build or shuffle it.  Drop the hits of
-    a null ClientID beforehand if they are no client.
+    reports that only count paths do not build or shuffle it.  With
+    ``numbered_channels`` channels are numbers and user_path is an array of them
+    (see ``channels``).  Drop the hits of a null ClientID beforehand if they are no
+    client.
     """
+    joined = lambda items, t: items["channel"] if numbered_channels and t == "channel" else _joined(items, t)
     hits = numbered(found)
     cond = segment_filter(mode, clients, trim)
     if cond is not None:
@@ -81,10 +84,11 @@ def segments(found: History, mode: str = "both", clients: str = "all", trim: boo
         texts.append("timeline")
     items = F.sort_array(F.collect_list(F.struct(*fields))).alias("items")
     stretch = (hits.groupBy(*found.keys, "seg").agg(items, F.max("conv").alias("status"), F.count(F.lit(1)).alias("n_touches"))
-               .select(*found.keys, "seg", *[_joined(F.col("items"), f).alias(t) for f, t in zip(("channel", "ts"), texts)],
+               .select(*found.keys, "seg", *[joined(F.col("items"), f).alias(t) for f, t in zip(("channel", "ts"), texts)],
                        "status", "n_touches"))
     if found.carry is None:
         return stretch
     parts = F.sort_array(F.collect_list(F.struct("slot", *texts))).alias("parts")
     return (stretch.groupBy("ClientID", "seg").agg(parts, F.max("status").alias("status"), F.sum("n_touches").alias("n_touches"))
-            .select("ClientID", "seg", *[_joined(F.col("parts"), t).alias(t) for t in texts], "status", "n_touches"))
+            .select("ClientID", "seg", *[(F.flatten(F.col("parts")[t]) if numbered_channels and t == "user_path" else _joined(F.col("parts"), t)).alias(t)
+                                         for t in texts], "status", "n_touches"))

@@ -6,26 +6,48 @@ parameters and returns a lazy DataFrame; nothing is collected.
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.goals import conversion_mark, tagged_touch
 from ..operators import clients as client_sets
+from ..operators.channels import channel_numbers
 from ..operators.segments import segments
 from ..operators.sequence import history, sequence
 from ..params import JobParams
 from .variants import CANONICAL, CSV_ERA, V2, Variant, scope
 
 
+def _scoped(hits: DataFrame, params: JobParams, variant: Variant) -> tuple[DataFrame, Callable[[DataFrame, str], DataFrame]]:
+    """The variant's hits, with channels as numbers if the job asks for it and
+    there are few enough, and what makes text of a path column."""
+    scoped = scope(hits, params, variant)
+    numbers = channel_numbers(scoped) if params.channel_numbers else None
+    if numbers is None:
+        return scoped, lambda df, _: df
+    return numbers.numbered(scoped), lambda df, path: df.withColumn(path, numbers.text(F.col(path)))
+
+
+def _numbered(scoped: DataFrame) -> bool:
+    return scoped.schema["channel"].dataType.simpleString() == "int"
+
+
+def _segments(scoped: DataFrame, params: JobParams, variant: Variant, mode: str | None = None, clients: str | None = None,
+              timeline: bool = True) -> DataFrame:
+    d_mode, d_clients = variant.selection(params)
+    clients = clients or d_clients
+    found = history(scoped, params.heavy_share, params.heavy_rows, clients)
+    return segments(found, mode=mode or d_mode, clients=clients, trim=variant.trim, timeline=timeline, numbered_channels=_numbered(scoped))
+
+
 def path_segments(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL,
                   mode: str | None = None, clients: str | None = None,
                   timeline: bool = True) -> DataFrame:
     """Kept paths: ClientID, seg, user_path, [timeline,] status, n_touches."""
-    d_mode, d_clients = variant.selection(params)
-    clients = clients or d_clients
-    found = history(scope(hits, params, variant), params.heavy_share, params.heavy_rows, clients)
-    return segments(found, mode=mode or d_mode, clients=clients, trim=variant.trim, timeline=timeline)
+    scoped, with_text = _scoped(hits, params, variant)
+    return with_text(_segments(scoped, params, variant, mode, clients, timeline), "user_path")
 
 
 def detail_report(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
@@ -44,7 +66,9 @@ def aggregate_report(detail: DataFrame) -> DataFrame:
 
 def path_counts(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
     """The aggregate report straight from the hits, without building timelines."""
-    return aggregate_report(path_segments(hits, params, variant, timeline=False))
+    scoped, with_text = _scoped(hits, params, variant)
+    counts = _segments(scoped, params, variant, timeline=False).groupBy("user_path").agg(F.count("ClientID").alias("count"))
+    return with_text(counts, "user_path").orderBy(F.desc("count"), F.asc("user_path"))
 
 
 def status_pivot(hits: DataFrame, params: JobParams, variant: Variant = V2) -> DataFrame:
@@ -52,21 +76,24 @@ def status_pivot(hits: DataFrame, params: JobParams, variant: Variant = V2) -> D
     when a path never has that status) and the path's share of all success
     paths.  Every conversion that the look-back cut leaves closes exactly one
     success path, so the history's own aggregate knows their total."""
-    found = history(scope(hits, params, variant), params.heavy_share, params.heavy_rows)
-    segs = segments(found, mode="both", clients="all", trim=variant.trim, timeline=False)
+    scoped, with_text = _scoped(hits, params, variant)
+    found = history(scoped, params.heavy_share, params.heavy_rows)
+    segs = segments(found, mode="both", clients="all", trim=variant.trim, timeline=False, numbered_channels=_numbered(scoped))
     total = F.lit(found.n_conv - found.n_pre)
     counts = segs.groupBy(F.col("user_path").alias("paths")).agg(
         F.sum(F.when(F.col("status"), F.lit(1))).alias("true"),
         F.sum(F.when(~F.col("status"), F.lit(1))).alias("false"))
-    return (counts.select("paths", "true", "false",
+    return (with_text(counts, "paths").select("paths", "true", "false",
                           F.try_divide(F.col("true").cast("double"), total).alias("share"))
             .orderBy(F.desc("true"), F.asc("paths")))
 
 
 def top_paths(hits: DataFrame, params: JobParams, k: int = 10, variant: Variant = CSV_ERA) -> DataFrame:
     """The ``k`` most frequent success paths (utm-source channels): paths, count."""
-    segs = path_segments(hits, params, variant, mode="success", clients="all", timeline=False)
-    return (segs.groupBy(F.col("user_path").alias("paths")).agg(F.count(F.lit(1)).alias("count"))
+    scoped, with_text = _scoped(hits, params, variant)
+    segs = _segments(scoped, params, variant, "success", "all", timeline=False)
+    counts = segs.groupBy(F.col("user_path").alias("paths")).agg(F.count(F.lit(1)).alias("count"))
+    return (with_text(counts, "paths")
             .orderBy(F.desc("count"), F.asc("paths")).limit(k))
 
 
