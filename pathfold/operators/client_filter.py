@@ -40,10 +40,10 @@ def bits_of(client: Column) -> Column:
 
 
 def useful_filter(told: pa.Table, hits: int) -> ClientFilter | None:
-    """The filter made of ``told`` (word, bits, hits: one row per word), if it pays
+    """The filter made of ``told`` (word, bits, kept_hits: one row per word), if it pays
     for a log with ``hits`` hits."""
     n_set = sum(x.bit_count() for x in (b & (1 << 64) - 1 for b in told["bits"].to_pylist()))
-    if n_set > FULL * 64 * WORDS or (pc.sum(told["hits"]).as_py() or 0) > WORTH * hits:
+    if n_set > FULL * 64 * WORDS or (pc.sum(told["kept_hits"]).as_py() or 0) > WORTH * hits:
         return None
     return ClientFilter(told.select(["word", "bits"]))
 

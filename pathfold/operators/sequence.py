@@ -57,26 +57,39 @@ def _count_true(c: str) -> Column:
 class Overview:
     """What the aggregate per client tells about the scoped hits."""
 
-    hits: int      # of all clients
-    most: int      # of the largest client that is kept
-    n_conv: int    # conversions of all clients
-    n_pre: int     # of those flagged ``pre``
-    kept: ClientFilter | None  # the clients that are kept, if it pays to filter by it
+    hits: int       # of all clients
+    most: int       # of the largest client that is kept
+    n_conv: int     # conversions of all clients
+    n_pre: int      # of those flagged ``pre``
+    kept_hits: int  # hits and conversions of the clients that are kept
+    kept_conv: int
+    goals: dict[int, tuple[int, int]]  # of each goal asked for: hits, and hits of a client with an id
+    kept: ClientFilter | None          # the clients that are kept, if it pays to filter by it
 
 
-def overview(scoped: DataFrame, clients: str = "all") -> Overview:
+def overview(scoped: DataFrame, clients: str = "all", goals: tuple[int, ...] = (), null_is_client: bool = True) -> Overview:
     """One aggregate of the scoped hits, combined map-side, that runs now; what
-    reaches the driver is a row per word of the filter (see ``client_filter``)."""
-    per_client = scoped.groupBy("ClientID").agg(F.count(F.lit(1)).alias("n"), *[_count_true(c).alias(f"n_{c}") for c in FLAGS])
-    sums = [F.sum("n").alias("hits"), F.max("n").alias("most"), F.sum("n_conv").alias("n_conv"), F.sum("n_pre").alias("n_pre")]
+    reaches the driver is a row per word of the filter (see ``client_filter``).
+    Without ``null_is_client`` hits without a client count for ``goals`` alone."""
+    known = F.col("ClientID").isNotNull()
+    counted = F.lit(True) if null_is_client else known
+    kept = counted & {"all": F.lit(True), "converters": F.col("n_qual") > 0, "nonconverters": F.col("n_qual") == 0}[clients]
+    per_client = scoped.groupBy("ClientID").agg(F.count(F.lit(1)).alias("n"), *[_count_true(c).alias(f"n_{c}") for c in FLAGS],
+                                                 *[F.count_if(F.col("goal") == g).alias(f"goal{i}") for i, g in enumerate(goals)])
+    total = lambda c, where, name: F.sum(F.when(where, F.col(c))).alias(name)
+    sums = [total("n", counted, "hits"), total("n_conv", counted, "n_conv"), total("n_pre", counted, "n_pre"),
+            total("n", kept, "kept_hits"), total("n_conv", kept, "kept_conv"),
+            *[x for i in range(len(goals)) for x in (F.sum(f"goal{i}").alias(f"all{i}"), total(f"goal{i}", known, f"known{i}"))]]
+    most = F.max(F.when(kept, F.col("n"))).alias("most")
     if clients == "all":
-        return Overview(*[int(x or 0) for x in per_client.agg(*sums).first()], None)
-    kept = F.col("n_qual") > 0 if clients == "converters" else F.col("n_qual") == 0
-    told = (per_client.groupBy(F.when(kept, word_of(F.col("ClientID"))).otherwise(-1).alias("word"))
-            .agg(F.bit_or(bits_of(F.col("ClientID"))).alias("bits"), *sums).toArrow())
-    total, n_conv, n_pre = (pc.sum(told[c]).as_py() or 0 for c in ("hits", "n_conv", "n_pre"))
-    words = told.filter(pc.greater_equal(told["word"], 0))
-    return Overview(total, pc.max(words["most"]).as_py() or 0, n_conv, n_pre, useful_filter(words, total))
+        told = per_client.agg(*sums, most).toArrow()
+    else:
+        told = (per_client.groupBy(F.when(kept, word_of(F.col("ClientID"))).otherwise(-1).alias("word"))
+                .agg(F.bit_or(bits_of(F.col("ClientID"))).alias("bits"), *sums, most).toArrow())
+    whole = lambda name: int(pc.sum(told[name]).as_py() or 0)
+    words = None if clients == "all" else useful_filter(told.filter(pc.greater_equal(told["word"], 0)), whole("hits"))
+    return Overview(whole("hits"), int(pc.max(told["most"]).as_py() or 0), whole("n_conv"), whole("n_pre"), whole("kept_hits"),
+                    whole("kept_conv"), {g: (whole(f"all{i}"), whole(f"known{i}")) for i, g in enumerate(goals)}, words)
 
 
 @dataclasses.dataclass(frozen=True)
@@ -130,11 +143,12 @@ def slot_carry(slots: DataFrame) -> DataFrame:
             .agg(F.max(F.when(F.col("is_first"), F.col("c"))).alias("first"), F.max(F.when(F.col("is_last"), F.col("c"))).alias("last")))
 
 
-def history(scoped: DataFrame, share: int | None = None, least: int = 50_000, clients: str = "all") -> History:
+def history(scoped: DataFrame, share: int | None = None, least: int = 50_000, clients: str = "all", seen: Overview | None = None) -> History:
     """``scoped`` (ClientID, HitTimeStamp, channel, conv, qual, pre, ...) with
     window keys; a null ClientID is one client.  Hits of clients other than
-    ``clients`` (converters, nonconverters or all) may be left out."""
-    seen = overview(scoped, clients)
+    ``clients`` (converters, nonconverters or all) may be left out.  ``seen``: the
+    overview of the same hits and clients, where it is there already."""
+    seen = seen or overview(scoped, clients)
     if seen.kept is not None:
         scoped = only(scoped, seen.kept)
     if seen.most <= least or seen.most * heavy_limit(scoped.sparkSession, share) <= seen.hits:

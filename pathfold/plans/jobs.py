@@ -1,35 +1,21 @@
 """Whole jobs: parameters in, report files out."""
 from __future__ import annotations
 
-import contextlib
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import JobParams
-from ..session import delete_folder, shared_dir
 from ..sinks import write_csv
 from ..sources import read_csv_hits, read_hits
 from . import reports
+from .staging import Stages, job_key
 from .variants import CANONICAL, CSV_ERA, NULL, V2, V3, Variant
 
 PATH_VARIANTS = {"canonical": CANONICAL, "v3": V3, "null": NULL}
 
 
-@contextlib.contextmanager
-def staged(spark: SparkSession, df: DataFrame, name: str):
-    """``df`` as a parquet table in the shared checkpoint folder: computed once,
-    lineage cut, survives lost executors; removed when the block ends."""
-    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    try:
-        df.write.parquet(path)
-        yield spark.read.schema(df.schema).parquet(path)
-    finally:
-        delete_folder(spark, path)
-
-
 def _check_window(params: JobParams) -> None:
     if params.start_ms >= params.finish_ms:
         raise ValueError(f"the report window is empty: start {params.date_start!r}, finish {params.date_finish!r}")
@@ -37,26 +23,47 @@ def _check_window(params: JobParams) -> None:
 
 def path_reports(spark: SparkSession, params: JobParams, variant: Variant = CANONICAL,
                  hits: DataFrame | None = None, merge_schema: bool = True,
-                 single_file: bool = False) -> dict[str, DataFrame]:
+                 single_file: bool = False, job: str | None = None) -> dict[str, DataFrame]:
     """Detail report to ``output_path_detail`` and path counts (most frequent
-    first) to ``output_path``.  The detail is staged once as a parquet table
-    in the shared folder, both reports read it, and it is removed again.
+    first) to ``output_path``.
+
+    The detail is staged once as a Parquet table in the shared folder, and both
+    reports read it.  The stages are kept until the job is done (see ``staging``):
+    a rerun after a failure takes up the staged detail and does not write a
+    finished report again.  It is the same job by its parameters and input files,
+    or by the name ``job``.
 
     ``single_file`` writes each report as one file (one writer task per
     report); by default the writes stay parallel and the counts keep their
-    order across part files.  Returns the job's diagnostics (hits per goal,
-    hits per conversion mark) as lazy DataFrames of a few rows each."""
+    order across part files.  Returns the job's diagnostics (hits per goal, hits
+    per conversion mark): they come from the aggregate that the report needs
+    anyway, so the log is read once for it and once for the report."""
     params.validate()
     if hits is None:
         hits = read_hits(spark, params.flat_path, merge_schema=merge_schema,
                          day_column=params.day_partition, days=params.partition_days(),
                          day_format=params.day_format, needed=variant.needed(params))
-    with staged(spark, reports.detail_report(hits, params, variant), "detail") as detail:
-        write_csv(detail, params.output_path_detail, single_file=single_file)
-        write_csv(reports.aggregate_report(detail), params.output_path, single_file=single_file,
-                  sort_by=[F.desc("count"), F.asc("user_path")] if single_file else None)
-    return {"goal_counts": reports.goal_counts(hits, params, variant),
-            "conversion_counts": reports.conversion_counts(hits, params, variant)}
+    stages = Stages(spark, job or job_key(hits, params, variant, single_file))
+
+    def make_detail() -> DataFrame:
+        seen = reports.job_overview(hits, params, variant)
+        told = [f(spark, seen).select(F.lit(name).alias("name"), F.col(key).cast("string").alias("key"), "count")
+                for name, key, f in (("goals", "goal", reports.goal_counts_seen),
+                                     ("conversions", "conversion", lambda s, x: reports.conversion_counts_seen(s, x, variant)))]
+        told[0].union(told[1]).coalesce(1).write.mode("overwrite").parquet(os.path.join(stages.folder, "diagnostics"))
+        return reports.detail_report(hits, params, variant, seen)
+
+    detail = stages.table("detail", make_detail)  # and the diagnostics before it
+    rows = spark.read.parquet(os.path.join(stages.folder, "diagnostics")).collect()  # a row per goal and mark
+    stages.once("detail-report", lambda: write_csv(detail, params.output_path_detail, single_file=single_file))
+    stages.once("path-counts", lambda: write_csv(
+        reports.aggregate_report(detail), params.output_path, single_file=single_file,
+        sort_by=[F.desc("count"), F.asc("user_path")] if single_file else None))
+    stages.done()
+    told = {name: [(r.key, r["count"]) for r in rows if r["name"] == name] for name in ("goals", "conversions")}
+    by_goal = (reports.goal_counts(hits, params, variant) if variant.goal_rule == "erase" else
+               spark.createDataFrame([(int(k), n) for k, n in told["goals"]], "goal bigint, count bigint"))
+    return {"goal_counts": by_goal, "conversion_counts": spark.createDataFrame(told["conversions"], "conversion string, count bigint")}
 
 
 def pivot_report(spark: SparkSession, params: JobParams, hits: DataFrame | None = None,

@@ -8,14 +8,15 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.goals import conversion_mark, tagged_touch
 from ..operators import clients as client_sets
 from ..operators.channels import channel_numbers
 from ..operators.segments import segments
-from ..operators.sequence import history, sequence
+from ..constants import TRANSIT_ACTION
+from ..operators.sequence import Overview, history, overview, sequence
 from ..params import JobParams
 from .variants import CANONICAL, CSV_ERA, V2, Variant, scope
 
@@ -35,24 +36,24 @@ def _numbered(scoped: DataFrame) -> bool:
 
 
 def _segments(scoped: DataFrame, params: JobParams, variant: Variant, mode: str | None = None, clients: str | None = None,
-              timeline: bool = True) -> DataFrame:
+              timeline: bool = True, seen: Overview | None = None) -> DataFrame:
     d_mode, d_clients = variant.selection(params)
     clients = clients or d_clients
-    found = history(scoped, params.heavy_share, params.heavy_rows, clients)
+    found = history(scoped, params.heavy_share, params.heavy_rows, clients, seen)
     return segments(found, mode=mode or d_mode, clients=clients, trim=variant.trim, timeline=timeline, numbered_channels=_numbered(scoped))
 
 
 def path_segments(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL,
                   mode: str | None = None, clients: str | None = None,
-                  timeline: bool = True) -> DataFrame:
+                  timeline: bool = True, seen: Overview | None = None) -> DataFrame:
     """Kept paths: ClientID, seg, user_path, [timeline,] status, n_touches."""
     scoped, with_text = _scoped(hits, params, variant)
-    return with_text(_segments(scoped, params, variant, mode, clients, timeline), "user_path")
+    return with_text(_segments(scoped, params, variant, mode, clients, timeline, seen), "user_path")
 
 
-def detail_report(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
+def detail_report(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL, seen: Overview | None = None) -> DataFrame:
     """One row per client path: ClientID, user_path, timeline, target_numbers."""
-    return (path_segments(hits, params, variant)
+    return (path_segments(hits, params, variant, seen=seen)
             .select("ClientID", "user_path", "timeline",
                     F.lit(params.targets_csv).alias("target_numbers")))
 
@@ -130,6 +131,28 @@ def lookback_trim(hits: DataFrame, params: JobParams, variant: Variant = CANONIC
     return seq.filter(keep).select("ClientID", "HitTimeStamp", "channel", "conv", "rn")
 
 
+def job_overview(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> Overview:
+    """The one aggregate that a path job runs before its report: what the report
+    needs (see ``sequence.overview``) and what both diagnostics tell."""
+    every_client = dataclasses.replace(variant, keep_null_client=True)
+    _, clients = variant.selection(params)
+    # the normalised goals there can be; where goals are not filtered, there can be any
+    goals = () if variant.goal_rule == "erase" else (*dict.fromkeys((*params.target_numbers, TRANSIT_ACTION)),)
+    return overview(scope(hits, params, every_client), clients, goals, null_is_client=variant.keep_null_client)
+
+
+def goal_counts_seen(spark: SparkSession, seen: Overview) -> DataFrame:
+    """``goal_counts`` from the job's overview."""
+    rows = [(goal, n_clients) for goal, (n, n_clients) in seen.goals.items() if n]
+    return spark.createDataFrame(rows, "goal bigint, count bigint")
+
+
+def conversion_counts_seen(spark: SparkSession, seen: Overview, variant: Variant = CANONICAL) -> DataFrame:
+    """``conversion_counts`` from the job's overview, for variants without a null client."""
+    counts = spark.createDataFrame([(True, seen.kept_conv), (False, seen.kept_hits - seen.kept_conv)], "conv boolean, count bigint")
+    return counts.where("count > 0").select(conversion_mark(F.col("conv"), variant.old_marks).alias("conversion"), "count")
+
+
 def goal_counts(hits: DataFrame, params: JobParams, variant: Variant = CANONICAL) -> DataFrame:
     """Hits per normalised goal (a diagnostic of the canonical job); counted
     before client selection, so a null client's hits form groups but add 0."""

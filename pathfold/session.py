@@ -49,17 +49,33 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Remove a staged table, on whatever file system it is."""
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of ``path``, on whatever file system it is."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a staged table."""
+    fs, hadoop = _hadoop(spark, path)
+    fs.delete(hadoop, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop = _hadoop(spark, path)
+    return fs.exists(hadoop)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, hadoop = _hadoop(spark, path)
+    fs.create(hadoop, True).close()
 
 
 def file_sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """(name, bytes) of the files right in ``path``, on whatever file system it is."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(hadoop)
-    return [(f.getPath().getName(), f.getLen()) for f in found if f.isFile()]
+    """(name, bytes) of the files right in ``path``."""
+    fs, hadoop = _hadoop(spark, path)
+    return [(f.getPath().getName(), f.getLen()) for f in fs.listStatus(hadoop) if f.isFile()]
 
 
 def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:

@@ -43,7 +43,7 @@ def test_no_filter_where_it_does_not_pay(spark):
     hits = _many(spark, 2000, 1)
     assert overview(hits, "converters").kept is None     # nearly all hits are kept
     assert overview(hits, "all").kept is None
-    full = pa.table({"word": pa.array(range(client_filter.WORDS)), "bits": pa.array([(1 << 40) - 1] * client_filter.WORDS), "hits": [1] * client_filter.WORDS})
+    full = pa.table({"word": pa.array(range(client_filter.WORDS)), "bits": pa.array([(1 << 40) - 1] * client_filter.WORDS), "kept_hits": [1] * client_filter.WORDS})
     assert useful_filter(full, 1 << 40) is None
     assert useful_filter(full.slice(0, 1000), 1 << 40).words.num_rows == 1000
 

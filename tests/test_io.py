@@ -10,7 +10,6 @@ from hitlog import hits_df, letters, micro_rows
 from pathfold import JobParams
 from pyspark.sql import functions as F
 from pathfold.plans import V3, jobs
-from pathfold.session import shared_dir
 from pathfold.sinks import write_csv
 from pathfold.sources import read_config, read_csv_hits, read_hits
 
@@ -97,14 +96,6 @@ def test_blanks_around_a_channel_survive_the_csv(spark, tmp_path):
     assert " a ,1" in _csv_rows(str(tmp_path / "o"))[1]
 
 
-def test_staged_detail_is_removed(spark, tmp_path):
-    df = spark.range(3)
-    with jobs.staged(spark, df, "kept") as s:
-        folder = glob.glob(os.path.join(shared_dir(spark).removeprefix("file:"), "**", "kept-*"), recursive=True)
-        assert s.count() == 3 and len(folder) == 1
-    assert not os.path.exists(folder[0])
-
-
 def test_day_partitions_without_a_day_and_in_another_format(spark, tmp_path):
     day = F.date_format(F.timestamp_millis("HitTimeStamp"), "yyyyMMdd")
     log = str(tmp_path / "days")
