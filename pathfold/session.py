@@ -72,6 +72,14 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(hadoop, True).close()
 
 
+def expanded(spark: SparkSession, path: str) -> list[str]:
+    """The paths that a pattern stands for; one that is no pattern is itself."""
+    if not re.search(r"[*?\[{]", path):
+        return [path]
+    fs, hadoop = _hadoop(spark, path)
+    return [f.getPath().toString() for f in fs.globStatus(hadoop) or ()]
+
+
 def file_sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """(name, bytes) of the files right in ``path``."""
     fs, hadoop = _hadoop(spark, path)

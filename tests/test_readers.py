@@ -1,0 +1,118 @@
+"""Logs whose files differ in schema or in the case of names; strict JSON configs."""
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from hitlog import hits_df, micro_rows
+from pathfold.constants import HIT_COLUMNS
+from pathfold.sources import read_config, read_hits, to_hit_schema
+from pathfold.sources.hits import schema_groups
+
+KINDS = [lambda d: d, lambda d: d.withColumn("goal", F.col("goal").cast("int")).withColumnRenamed("ClientID", "CLIENTID"),
+         lambda d: d.withColumn("goal", F.col("goal").cast("string")).withColumn("HitTimeStamp", F.col("HitTimeStamp").cast("int")),
+         lambda d: d.withColumnRenamed("profile", "ADR_Profile").drop("dcm_placement_id")]
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def _log(spark, root, partitioned=False):
+    """The micro-fixture in parts of four kinds, as folders of ``root``."""
+    with_profile = lambda rows: hits_df(spark, rows).withColumn("profile", F.lit("p"))
+    for i in range(6):
+        KINDS[i % 4](with_profile(micro_rows()[i::6])).write.parquet(f"{root}/{'dt=2024-01-0' if partitioned else 'part-'}{i + 1}")
+    return with_profile(micro_rows())
+
+
+def test_groups_are_cast_by_themselves(spark, tmp_path):
+    hits = _log(spark, tmp_path / "log", partitioned=True)
+    assert 2 <= len(schema_groups(spark, [str(tmp_path / "log")])) <= 4
+    back = read_hits(spark, str(tmp_path / "log"))
+    assert back.schema.simpleString() == hits.schema.simpleString()
+    assert _rows(back) == _rows(hits)
+
+
+def test_paths_patterns_and_single_files(spark, tmp_path):
+    hits = _log(spark, tmp_path / "log")
+    paths = [str(tmp_path / "log" / f"part-{i}") for i in range(1, 7)]
+    assert _rows(read_hits(spark, paths)) == _rows(hits)
+    assert _rows(read_hits(spark, str(tmp_path / "log" / "part-*"))) == _rows(hits)
+
+
+def test_mixed_files_in_one_folder_are_halved(spark, tmp_path):
+    hits = hits_df(spark, micro_rows())
+    for i in range(5):
+        KINDS[i % 3](hits_df(spark, micro_rows()[i::5])).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    assert len(schema_groups(spark, [str(tmp_path / "log")])) >= 2
+    assert _rows(read_hits(spark, str(tmp_path / "log"))) == _rows(hits)
+
+
+def test_day_partitions_of_grouped_logs_are_pruned(spark, tmp_path):
+    import datetime
+    _log(spark, tmp_path / "log", partitioned=True)
+    days = (datetime.date(2024, 1, 2), datetime.date(2024, 1, 3))
+    some = read_hits(spark, str(tmp_path / "log"), day_column="dt", days=days)
+    want = spark.read.parquet(str(tmp_path / "log/dt=2024-01-02")).count() + spark.read.parquet(str(tmp_path / "log/dt=2024-01-03")).count()
+    assert some.count() == want > 0
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == plan.count("PartitionFilters: [") > 1 and "PartitionFilters: []" not in plan
+
+
+def test_filters_reach_every_group(spark, tmp_path):
+    _log(spark, tmp_path / "log", partitioned=True)
+    plan = read_hits(spark, str(tmp_path / "log")).where("ProjectID = 1 and src = 'ga'")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == plan.count("EqualTo(src,ga)") > 1
+
+
+def test_a_column_that_one_group_has_is_enough(spark, tmp_path):
+    _log(spark, tmp_path / "log", partitioned=True)
+    read_hits(spark, str(tmp_path / "log"), needed=("dcm_placement_id",))
+    old = KINDS[3](hits_df(spark, micro_rows()))
+    old.write.parquet(str(tmp_path / "old"))
+    with pytest.raises(ValueError, match="dcm_placement_id"):
+        read_hits(spark, str(tmp_path / "old"), needed=("dcm_placement_id",))
+
+
+def test_names_in_another_case(spark, tmp_path):
+    hits = hits_df(spark, micro_rows())
+    upper = hits.select(*[F.col(c).alias(c.upper()) for c in hits.columns])
+    assert _rows(to_hit_schema(upper)) == _rows(hits)
+    upper.write.parquet(str(tmp_path / "log"))
+    assert _rows(read_hits(spark, str(tmp_path / "log"))) == _rows(hits)
+    assert to_hit_schema(upper).columns == [n for n, _ in HIT_COLUMNS]
+
+
+def test_case_counts_if_the_session_says_so(spark):
+    hits = hits_df(spark, micro_rows())
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        both = hits.withColumn("UTM_Source", F.lit("other"))
+        assert _rows(to_hit_schema(both)) == _rows(hits)
+        with pytest.raises(ValueError, match="goal"):
+            to_hit_schema(hits.withColumnRenamed("goal", "Goal"))
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    with pytest.raises(ValueError, match="utm_source twice"):
+        to_hit_schema(both)
+
+
+GOOD = {"projectID": 3, "date_start": "2024-01-10", "date_finish": "2024-01-28", "target_numbers": [3, 5], "source_platform": ["ga"]}
+
+
+@pytest.mark.parametrize("text,why", [
+    ("", "no record"), ("[]", "no record"), (json.dumps([GOOD, GOOD]), "more than one"), ("{not json", "no JSON"),
+    (json.dumps(GOOD | {"projectID": "three"}), "another type"), (json.dumps(GOOD | {"target_numbers": "3,5"}), "another type"),
+    (json.dumps(GOOD | {"target_numbers": [3, "x"]}), "another type"), (json.dumps({k: v for k, v in GOOD.items() if k != "date_start"}), "no date_start"),
+    (json.dumps(GOOD | {"source_platform": None}), "no source_platform"), (json.dumps(GOOD | {"target_numbers": [3, None]}), "no target_numbers")])
+def test_bad_configs_are_refused(spark, tmp_path, text, why):
+    (tmp_path / "c.json").write_text(text)
+    with pytest.raises(ValueError, match=why):
+        read_config(spark, str(tmp_path / "c.json"))
+
+
+def test_a_good_config(spark, tmp_path):
+    (tmp_path / "c.json").write_text(json.dumps(GOOD | {"flat_path": "/a, /b", "unknown": {"x": 1}}, indent=2))
+    p = read_config(spark, str(tmp_path / "c.json"))
+    assert (p.project_id, p.target_numbers, p.flat_path, p.product) == (3, (3, 5), ("/a", "/b"), None)
