@@ -7,6 +7,7 @@
 
 Optional for paths / pivot:
     --single_file=true      write each report as one file
+    --by_window=true        write each path report as the partition of its window (paths only)
     --heavy_share=K         cut histories where a client has more than 1/K of all hits
     --heavy_rows=N          and with more than N hits (default 50000)
     --channel_numbers=true  shuffle channels and paths as numbers (large logs)
@@ -43,6 +44,7 @@ def main(argv: list[str]) -> int:
     cmd, rest = argv[0], argv[1:]
     options = parse_cli_options(rest)
     single = options.pop("single_file", "false").strip().lower() == "true"
+    by_window = options.pop("by_window", "false").strip().lower() == "true"
     tuning = {k: options.pop(k).strip() for k in ("day_partition", "day_format", "zone") if k in options}
     tuning |= {k: int(options.pop(k)) for k in ("heavy_share", "heavy_rows") if k in options}
     tuning |= {"channel_numbers": True} if options.pop("channel_numbers", "false").strip().lower() == "true" else {}
@@ -50,7 +52,7 @@ def main(argv: list[str]) -> int:
         strict = cmd == "paths"
         params = JobParams.from_options(options, strict_dates=strict, **tuning)
         diagnostics = jobs.path_reports(spark, params, jobs.PATH_VARIANTS[COMMANDS[cmd]],
-                                        single_file=single)
+                                        single_file=single, by_window=by_window)
         for df in diagnostics.values():
             df.show()
     elif cmd == "pivot":

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import JobParams
-from ..sinks import write_csv
+from ..sinks import write_csv, write_window
 from ..sources import read_csv_hits, read_hits
 from . import reports
 from .staging import Stages, job_key
@@ -23,7 +23,7 @@ def _check_window(params: JobParams) -> None:
 
 def path_reports(spark: SparkSession, params: JobParams, variant: Variant = CANONICAL,
                  hits: DataFrame | None = None, merge_schema: bool = True,
-                 single_file: bool = False, job: str | None = None) -> dict[str, DataFrame]:
+                 single_file: bool = False, job: str | None = None, by_window: bool = False) -> dict[str, DataFrame]:
     """Detail report to ``output_path_detail`` and path counts (most frequent
     first) to ``output_path``.
 
@@ -35,15 +35,19 @@ def path_reports(spark: SparkSession, params: JobParams, variant: Variant = CANO
 
     ``single_file`` writes each report as one file (one writer task per
     report); by default the writes stay parallel and the counts keep their
-    order across part files.  Returns the job's diagnostics (hits per goal, hits
+    order across part files.  ``by_window`` writes each report as the partition
+    ``report_window=<start>_<finish>`` of its path and leaves other windows' files as
+    they are.  Returns the job's diagnostics (hits per goal, hits
     per conversion mark): they come from the aggregate that the report needs
     anyway, so the log is read once for it and once for the report."""
     params.validate()
+    if by_window and single_file:
+        raise ValueError("single_file and by_window exclude each other")
     if hits is None:
         hits = read_hits(spark, params.flat_path, merge_schema=merge_schema,
                          day_column=params.day_partition, days=params.partition_days(),
                          day_format=params.day_format, needed=variant.needed(params))
-    stages = Stages(spark, job or job_key(hits, params, variant, single_file))
+    stages = Stages(spark, job or job_key(hits, params, variant, single_file, by_window))
 
     def make_detail() -> DataFrame:
         seen = reports.job_overview(hits, params, variant)
@@ -55,10 +59,15 @@ def path_reports(spark: SparkSession, params: JobParams, variant: Variant = CANO
 
     detail = stages.table("detail", make_detail)  # and the diagnostics before it
     rows = spark.read.parquet(os.path.join(stages.folder, "diagnostics")).collect()  # a row per goal and mark
-    stages.once("detail-report", lambda: write_csv(detail, params.output_path_detail, single_file=single_file))
-    stages.once("path-counts", lambda: write_csv(
-        reports.aggregate_report(detail), params.output_path, single_file=single_file,
-        sort_by=[F.desc("count"), F.asc("user_path")] if single_file else None))
+    counts = reports.aggregate_report(detail)
+    if by_window:
+        window = f"{params.date_start}_{params.date_finish}"
+        stages.once("detail-report", lambda: write_window(detail, params.output_path_detail, window))
+        stages.once("path-counts", lambda: write_window(counts, params.output_path, window, keep_order=True))
+    else:
+        stages.once("detail-report", lambda: write_csv(detail, params.output_path_detail, single_file=single_file))
+        stages.once("path-counts", lambda: write_csv(counts, params.output_path, single_file=single_file,
+                                                     sort_by=[F.desc("count"), F.asc("user_path")] if single_file else None))
     stages.done()
     told = {name: [(r.key, r["count"]) for r in rows if r["name"] == name] for name in ("goals", "conversions")}
     by_goal = (reports.goal_counts(hits, params, variant) if variant.goal_rule == "erase" else

@@ -1,4 +1,5 @@
-"""Sinks: CSV reports."""
+"""Sinks: CSV reports, reports by window."""
 from .csv import write_csv
+from .windows import write_window
 
-__all__ = ["write_csv"]
+__all__ = ["write_csv", "write_window"]

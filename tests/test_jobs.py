@@ -42,7 +42,7 @@ def _failing(at):
 
 def _folder(spark, params, variant=CANONICAL):
     from pathfold.sources import read_hits
-    return Stages(spark, job_key(read_hits(spark, params.flat_path, needed=variant.needed(params)), params, variant, False)).folder
+    return Stages(spark, job_key(read_hits(spark, params.flat_path, needed=variant.needed(params)), params, variant, False, False)).folder
 
 
 def test_a_rerun_takes_up_what_is_finished(spark, params, monkeypatch):
