@@ -10,6 +10,7 @@ engines hash alike.
 
 from __future__ import annotations
 
+import json
 import os
 import sys
 import uuid
@@ -28,8 +29,9 @@ from pathfold.operators import filters  # noqa: E402
 from pathfold.plans import CANONICAL, CSV_ERA, NULL, V2, V3, jobs, reports  # noqa: E402
 from pathfold.plans.variants import filtered_hits, scope  # noqa: E402
 from pathfold.session import shared_dir  # noqa: E402
-from pathfold.sinks import write_csv  # noqa: E402
-from pathfold.sources import events_to_hits, hits_from_events, read_csv_hits, read_hits  # noqa: E402
+from pathfold.sinks import write_csv, write_window  # noqa: E402
+from pathfold.sources import (events_to_hits, hits_from_events, read_bucketed_hits, read_config, read_csv_hits, read_hits,  # noqa: E402
+                              write_bucketed_hits)
 from pathfold.constants import CSV_HIT_COLUMNS  # noqa: E402
 
 # Fixture parameters (FIXTURES.md section 3): project 3, goals 3 and 5, all
@@ -42,6 +44,8 @@ PRODUCT_PARAMS = JobParams(**{**PARAMS.__dict__, "product_name": "p1"})
 # same report with every client of more than 1/2000 of the hits cut into chunks
 # (the heavy-client path of the sequence scan)
 SPLIT_PARAMS = JobParams(**{**PARAMS.__dict__, "heavy_share": 2000, "heavy_rows": 1})
+# channels and paths as numbers in the shuffles
+NUMBERED_PARAMS = JobParams(**{**PARAMS.__dict__, "channel_numbers": True})
 # for the second mapping of events: the seizmik platform too
 TIED_PARAMS = JobParams(**{**PARAMS.__dict__, "source_platform": ("adriver", "dcm", "seizmik", "ga", "bq")})
 TIED_FAIL_PARAMS = JobParams(**{**TIED_PARAMS.__dict__, "achieve_mode": "false"})
@@ -63,12 +67,13 @@ def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _tied_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second mapping of events to hits, with what tells the variants apart:
-    clients without id, goals given as -1, the seizmik platform, and whole-hour
-    timestamps, so that many hits of a client are at the same instant."""
-    eid = F.expr("event_id")
+    clients without id, clients without conversions, goals given as -1, the
+    seizmik platform, and whole-hour timestamps, so that many hits of a client are
+    at the same instant."""
+    eid, buys = F.expr("event_id"), F.col("user_id") % 5 != 0
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     named = {"ClientID": F.when(eid % 23 == 0, None).otherwise(F.concat((F.col("user_id") % 400).cast("string"), F.lit("_"), (eid % 2).cast("string"))),
-             "goal": F.when(F.col("event_type") == "signup", 3).when(F.col("event_type") == "purchase", 5)
+             "goal": F.when(buys & (F.col("event_type") == "signup"), 3).when(buys & (F.col("event_type") == "purchase"), 5)
              .when(F.col("event_type") == "error", 7).when((F.col("event_type") == "view") & (eid % 2 == 0), -1).cast("bigint"),
              "src": F.when(eid % 5 == 0, "adriver").when(eid % 5 == 1, "dcm").when(eid % 5 == 2, "ga").when(eid % 5 == 3, "bq").otherwise("seizmik")}
     base = events_to_hits(events, keep=("event_id", "user_id", "event_type"))
@@ -307,6 +312,84 @@ def q_pivot_job(spark, sf_dir):
     return spark.read.option("header", "true").schema(schema).csv(path)
 
 
+def q_read_schema_groups(spark, sf_dir):
+    """A log by day whose files do not merge: goals are longs, ints under names in
+    another case, or texts."""
+    log, hits, day = _scratch(spark, "log-kinds"), _all_hits(spark, sf_dir), F.col("HitTimeStamp") % 3
+    kinds = [hits, hits.withColumn("goal", F.col("goal").cast("int")).withColumnsRenamed({"ClientID": "CLIENTID", "utm_source": "UTM_Source"}),
+             hits.withColumn("goal", F.col("goal").cast("string"))]
+    for i, kind in enumerate(kinds):
+        kind.where(day == i).write.parquet(f"{log}/part={i}")
+    return read_hits(spark, log)
+
+
+def _bucketed(spark, sf_dir):
+    """The hits as a log bucketed by client, written and read again."""
+    path = _scratch(spark, "log-by-client")
+    table = "hits_" + uuid.uuid4().hex
+    write_bucketed_hits(_hits(spark, sf_dir), table, path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return read_bucketed_hits(spark, table)
+
+
+def q_paths_bucketed_agg(spark, sf_dir):
+    return reports.path_counts(_bucketed(spark, sf_dir), PARAMS)
+
+
+def q_paths_bucketed_pivot(spark, sf_dir):
+    return reports.status_pivot(_bucketed(spark, sf_dir), PARAMS, V2)
+
+
+def q_paths_numbered_agg(spark, sf_dir):
+    return reports.path_counts(_hits(spark, sf_dir), NUMBERED_PARAMS)
+
+
+def q_paths_numbered_detail(spark, sf_dir):
+    return reports.detail_report(_hits(spark, sf_dir), NUMBERED_PARAMS)
+
+
+def q_paths_numbered_pivot(spark, sf_dir):
+    return reports.status_pivot(_hits(spark, sf_dir), NUMBERED_PARAMS, V2)
+
+
+def q_paths_job(spark, sf_dir):
+    """The whole path job over a Parquet log: both reports read back from their
+    CSV files, and the diagnostics."""
+    log, out = _scratch(spark, "job-log"), _scratch(spark, "path-job")
+    _hits(spark, sf_dir).write.parquet(log)
+    params = JobParams(**{**PARAMS.__dict__, "flat_path": (log,), "output_path": f"{out}-agg", "output_path_detail": f"{out}-detail"})
+    told = jobs.path_reports(spark, params)
+    csv = spark.read.option("header", "true")
+    detail = csv.schema("ClientID string, user_path string, timeline string, target_numbers string").csv(params.output_path_detail)
+    agg = csv.schema("user_path string, count bigint").csv(params.output_path)
+    none = F.lit(None).cast("string")
+    row = lambda report, item, count, client=none, timeline=none: (
+        F.lit(report).alias("report"), client.alias("ClientID"), item.alias("item"), timeline.alias("timeline"), count.alias("count"))
+    return (detail.select(*row("detail", F.col("user_path"), F.lit(None).cast("bigint"), F.col("ClientID"), F.col("timeline")))
+            .union(agg.select(*row("paths", F.col("user_path"), F.col("count"))))
+            .union(told["goal_counts"].select(*row("goals", F.col("goal").cast("string"), F.col("count"))))
+            .union(told["conversion_counts"].select(*row("conversions", F.col("conversion"), F.col("count")))))
+
+
+def q_report_by_window(spark, sf_dir):
+    """Two reports as partitions of one path; the first is written once more after the second."""
+    path, hits = _scratch(spark, "by-window"), _hits(spark, sf_dir)
+    for params, window in ((PARAMS, "success"), (FAIL_PARAMS, "fail"), (PARAMS, "success")):
+        write_window(reports.path_counts(hits, params), path, window, keep_order=True)
+    return spark.read.option("header", "true").schema("user_path string, count bigint, report_window string").csv(path)
+
+
+def q_top_paths_from_config(spark, sf_dir):
+    """The CSV-era job from its JSON config: config and log are written, the job
+    reads the config and the log that it names."""
+    log, config = _scratch(spark, "csv-log"), _scratch(spark, "config")
+    _all_hits(spark, sf_dir).select(*CSV_HIT_COLUMNS).write.option("header", "true").option("sep", ";").csv(log)
+    record = {"projectID": PARAMS.project_id, "date_start": PARAMS.date_start, "date_finish": PARAMS.date_finish,
+              "target_numbers": list(PARAMS.target_numbers), "product_name": None, "source_platform": list(PARAMS.source_platform),
+              "flat_path": log, "output_path": ""}
+    spark.createDataFrame([(json.dumps(record),)], "value string").write.text(config)
+    return jobs.top_paths_report(spark, read_config(spark, config))
+
+
 def _tied(report, params, variant):
     return lambda spark, sf_dir: report(_tied_hits(spark, sf_dir), params, variant)
 
@@ -358,6 +441,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tagged_touch_old": q_tagged_touch_old,
     "touch_map": q_touch_map,
     "pivot_job": q_pivot_job,
+    "read_schema_groups": q_read_schema_groups,
+    "paths_bucketed_agg": q_paths_bucketed_agg,
+    "paths_bucketed_pivot": q_paths_bucketed_pivot,
+    "paths_numbered_agg": q_paths_numbered_agg,
+    "paths_numbered_detail": q_paths_numbered_detail,
+    "paths_numbered_pivot": q_paths_numbered_pivot,
+    "paths_job": q_paths_job,
+    "report_by_window": q_report_by_window,
+    "top_paths_from_config": q_top_paths_from_config,
     **{f"tied_{name}_detail": _tied(reports.detail_report, p, v) for name, (v, p) in _TIED.items()},
     **{f"tied_{name}_agg": _tied(reports.path_counts, p, v) for name, (v, p) in _TIED.items()},
     **{f"tied_{name}_pivot": _tied(reports.status_pivot, p, v) for name, (v, p) in _TIED.items() if name != "canonical_fail"},
@@ -426,7 +518,8 @@ _TIED_CTE = """hits AS (
     CASE WHEN event_type = 'view' THEN 'view' ELSE 'click' END AS interaction_type,
     'pl' || CAST(event_id % 2 AS VARCHAR) AS dcm_placement_id,
     'pr' || CAST(event_id % 2 AS VARCHAR) AS profile,
-    CAST(CASE WHEN event_type = 'signup' THEN 3 WHEN event_type = 'purchase' THEN 5 WHEN event_type = 'error' THEN 7
+    CAST(CASE WHEN user_id % 5 <> 0 AND event_type = 'signup' THEN 3 WHEN user_id % 5 <> 0 AND event_type = 'purchase' THEN 5
+      WHEN event_type = 'error' THEN 7
       WHEN event_type = 'view' AND event_id % 2 = 0 THEN -1 END AS BIGINT) AS goal,
     CASE event_id % 5 WHEN 0 THEN 'adriver' WHEN 1 THEN 'dcm' WHEN 2 THEN 'ga' WHEN 3 THEN 'bq' ELSE 'seizmik' END AS src
   FROM events)"""
@@ -551,6 +644,8 @@ _PIVOT = ('SELECT user_path AS paths, '
 
 def oracle_sql() -> dict[str, str]:
     canon = _with(_HITS_CTE, _flags_cte("canonical"))
+    top10 = ('SELECT user_path AS paths, CAST(count(*) AS BIGINT) AS "count" FROM segs '
+             'GROUP BY user_path ORDER BY "count" DESC, paths ASC LIMIT 10')
     v3 = _with(_HITS_CTE, _flags_cte("v3"))
     seq = _with(_HITS_CTE, _flags_cte("canonical"), _SEQ_CTE)
     csv_cols = set(CSV_HIT_COLUMNS)
@@ -608,9 +703,7 @@ def oracle_sql() -> dict[str, str]:
         "paths_null_agg": _paths_sql("null", _AGG),
         "paths_status_pivot": _paths_sql("v2", _PIVOT),
         "paths_status_pivot_hot_split": _paths_sql("v2", _PIVOT),
-        "utm_source_paths_top10": _paths_sql("csv", (
-            'SELECT user_path AS paths, CAST(count(*) AS BIGINT) AS "count" FROM segs '
-            'GROUP BY user_path ORDER BY "count" DESC, paths ASC LIMIT 10')),
+        "utm_source_paths_top10": _paths_sql("csv", top10),
         "goal_counts": canon + 'SELECT goal, CAST(count(ClientID) AS BIGINT) AS "count" FROM flags GROUP BY goal',
         "conversion_counts": canon + (
             "SELECT CASE WHEN conv THEN 'get@conv' ELSE 'get@no_conv' END AS conversion, "
@@ -632,6 +725,22 @@ def oracle_sql() -> dict[str, str]:
             "SELECT ClientID, channel || '::_' || CASE WHEN conv THEN 'get@conv' ELSE 'get@no_conv' END AS touch, "
             "HitTimeStamp AS ts FROM flags"),
         "pivot_job": _paths_sql("v2", _PIVOT),
+        "read_schema_groups": _with(_HITS_CTE) + f"SELECT {_ALL_HIT_COLS} FROM hits",
+        "paths_bucketed_agg": _paths_sql("canonical", _AGG),
+        "paths_bucketed_pivot": _paths_sql("v2", _PIVOT),
+        "paths_numbered_agg": _paths_sql("canonical", _AGG),
+        "paths_numbered_detail": _paths_sql("canonical", _DETAIL),
+        "paths_numbered_pivot": _paths_sql("v2", _PIVOT),
+        "paths_job": _paths_sql("canonical", (
+            "SELECT 'detail' AS report, ClientID, user_path AS item, timeline, CAST(NULL AS BIGINT) AS \"count\" FROM segs "
+            "UNION ALL SELECT 'paths', NULL, user_path, NULL, count(ClientID) FROM segs GROUP BY user_path "
+            "UNION ALL SELECT 'goals', NULL, CAST(goal AS VARCHAR), NULL, count(ClientID) FROM flags GROUP BY goal "
+            "UNION ALL SELECT 'conversions', NULL, CASE WHEN conv THEN 'get@conv' ELSE 'get@no_conv' END, NULL, count(ClientID) FROM flags "
+            "WHERE ClientID IN (SELECT ClientID FROM flags WHERE qual) GROUP BY conv")),
+        "report_by_window": (
+            f"SELECT *, 'success' AS report_window FROM ({_paths_sql('canonical', _AGG)}) "
+            f"UNION ALL SELECT *, 'fail' FROM ({_paths_sql('canonical_fail', _AGG)})"),
+        "top_paths_from_config": _paths_sql("csv", top10),
         **{f"tied_{r}_detail": _paths_sql(r, _DETAIL, hits=_TIED_CTE, sources=_TIED_SOURCES) for r in _RULES},
         **{f"tied_{r}_agg": _paths_sql(r, _AGG, hits=_TIED_CTE, sources=_TIED_SOURCES) for r in _RULES},
         **{f"tied_{r}_pivot": _paths_sql(r, _PIVOT, "both", "all", hits=_TIED_CTE, sources=_TIED_SOURCES)

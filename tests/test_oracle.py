@@ -27,6 +27,7 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     ok, msg = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF, con)
     assert ok, msg
+    assert not msg.startswith("0 rows"), "an empty result tells nothing"
 
 
 def test_entry(spark):
