@@ -75,3 +75,32 @@ def test_query_matches_its_sql(spark, sf):
     assert ok, told
     r = QUERIES[name](spark, sf).where("not contaminated").first()
     assert r.items_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_long_and_repeated_items_keep_blocks_small(spark):
+    """One item far over the bound, and one row that is there 3000 times: no block is larger than the bound."""
+    long_ = " ".join(f"x{i % 1000}" for i in range(6000))
+    rows = [(1, long_), (2, "a a a a a a a a a a a a a a a a a a a a a")] + [(3, LONG)] * 3000
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    blocks = list(decontam._blocks(bench, 10, 4000))
+    assert len(blocks) >= 7 and max(len(b.words) for b in blocks) <= 2000
+    windows = {tuple(list(b.vocabulary)[w - 1] for w in b.words[s:s + size])
+               for b in blocks for size, (_, starts, *_) in b.by_size.items() for s in starts}
+    own = [w.encode() for w in long_.split()]
+    assert windows == {tuple(own[i:i + 10]) for i in range(5991)} | {(b"a",) * 10} | {tuple(LONG.encode().split()[i:i + 10]) for i in range(3)}
+    docs = [(5, f"begin {long_[500:900]} end"), (6, LONG), (7, "nothing of it")]
+    got = decontam.contamination(documents(spark, docs), bench, 10, 4000).collect()
+    assert flat(got) == brute(docs, list(dict.fromkeys(rows)))
+
+
+def test_a_full_block_is_built_in_little_time():
+    """A quarter of a full block: growth is close to linear, so a full one takes seconds."""
+    import random
+    import time
+    r = random.Random(1)
+    words = [f"w{i}" for i in range(20_000)]
+    items = [(i, " ".join(r.choices(words, k=200))) for i in range(3000)]
+    began = time.process_time()
+    found = decontam.WindowSet(items, 10)
+    assert time.process_time() - began < 20 and len(found.by_size[10][0]) > 500_000
+    assert found.scan([items[7][1].encode()])[1] == {0: ([(0, 200)], {7})}
