@@ -128,8 +128,10 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], sample_rows:
         features: int = 300, least_docs: int = 8) -> Chain:
     """Fit a chain on ``labels`` (doc_id and a 0/1 column per category, null: not labelled).
 
-    Rows with a null doc_id are left out; labels given twice count as 1 if any
-    is; a category without both classes gets a constant model near 0 or 1.
+    At most ``sample_rows`` labelled doc_ids, those with the least hash, are fitted,
+    each with one text: of a doc_id that is there several times the one with the
+    least hash.  That bounds what is fitted, and what reaches the driver.  Rows with
+    a null doc_id are left out; labels given twice count as 1 if any is; a category without both classes gets a constant model near 0 or 1.
     """
     spark = docs.sparkSession
     own = (labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id")
@@ -137,6 +139,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], sample_rows:
     sample = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     rows = staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
                   .join(F.broadcast(sample), "doc_id")  # at most sample_rows rows of numbers
+                  # a doc_id's rows count as one document: the text with the least hash
+                  .groupBy(*sample.columns).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+                  .select("doc_id", "text", *sample.columns[1:])
                   .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(folds)).cast("int"))
                   .drop("doc_id").repartition(max(2, spark.sparkContext.defaultParallelism)), "toxicity-sample")
     ys = [f"y{i}" for i in range(len(categories))]
@@ -239,7 +244,8 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 def scores(docs: DataFrame, chain: Chain) -> DataFrame:
     """doc_id, one probability column ``p_<category>`` and one decision
     ``<category>`` per category.  Null and empty texts have no words and get the
-    models' constants; repeated rows get a row each; other columns are not read."""
+    models' constants; repeated rows get a row each; other columns are not read; an
+    empty table gives no rows.  A very long text is scored whole, in one task."""
     shared = docs.sparkSession.sparkContext.broadcast(chain)  # a few hundred weights
     names = ["doc_id"] + [f"p_{c}" for c in chain.categories] + list(chain.categories)
 
@@ -258,7 +264,10 @@ def scores(docs: DataFrame, chain: Chain) -> DataFrame:
 
 
 def without(docs: DataFrame, chain: Chain, category: str) -> DataFrame:
-    """``docs`` without those the chain puts into ``category``; all columns stay."""
+    """``docs`` without those the chain puts into ``category``; all columns stay.
+    Null and empty texts have no words and get the model's constant; repeated rows
+    stand or fall together; an empty table stays empty; a very long text is scored
+    whole, in one task."""
     shared = docs.sparkSession.sparkContext.broadcast(chain)
     at, c = docs.columns.index("text"), chain.categories.index(category)
 

@@ -63,3 +63,102 @@ def test_query_on_the_table(spark, sf):
     r = got.join(labels, "doc_id").agg(F.avg((F.col("toxic") == (F.col("label") == 1)).cast("int"))).first()[0]
     assert r > 0.96 and got.columns == ["doc_id", *[f"p_{c}" for c in CATEGORIES], *CATEGORIES]
     assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_a_doc_id_that_is_there_very_often_counts_once(spark):
+    docs, labels = made(spark, 400)
+    many = spark.range(20_000).selectExpr("0L as doc_id", "concat('zork ', id) as text")
+    both = docs.select("doc_id", "text").union(many)
+    chain = toxicity.fit(both, labels, ["rude"], sample_rows=100, least_docs=3)
+    assert len(chain.held_out[0][1]) <= 100
+    again = toxicity.fit(both.repartition(7), labels.repartition(3), ["rude"], sample_rows=100, least_docs=3)
+    assert again.features == chain.features and again.thresholds == chain.thresholds
+
+
+def brute_features(text):
+    """Words and the first 4 to 8 bytes of longer ones, by the share of the document's words they make up."""
+    words = "".join(c if c.isalnum() else " " for c in text.lower()).encode().split()  # ASCII texts
+    found = set()
+    for unit in {u for w in words for u in [w + b"$"] + [w[:k] for k in (4, 5, 6, 7, 8) if k < len(w)]}:
+        n = sum(w + b"$" == unit or (len(w) > len(unit) >= 4 and w[:len(unit)] == unit and len(unit) <= 8) for w in words)
+        found.update((unit, k) for k, share in enumerate((0, 0.01, 1 / 30)) if n >= share * len(words))
+    return found
+
+
+def brute_g2(rows, f, label):
+    """Twice the sum of observed * log(observed / expected) over the four cells."""
+    cells = {}
+    for has, y in ((f in fs, fs_y[label]) for fs, fs_y in rows if fs_y[label] is not None):
+        cells[has, y] = cells.get((has, y), 0) + 1
+    total = sum(cells.values())
+    side = lambda i, x: sum(n for c, n in cells.items() if c[i] == x)
+    return 2 * sum(n * np.log(n * total / (side(0, has) * side(1, y))) for (has, y), n in cells.items())
+
+
+def small(spark):
+    docs, labels = made(spark, 160, seed=5)
+    folds = {r.doc_id: r.fold for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)).alias("fold")).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = [(i, folds[i], brute_features(texts[i]), (rude, threat)) for i, rude, threat in (tuple(r) for r in labels.collect())]
+    return docs, labels, rows
+
+
+def test_features_are_those_with_the_largest_g2(spark):
+    docs, labels, rows = small(spark)
+    chain = toxicity.fit(docs, labels, ["rude", "threat"], features=25, least_docs=6)
+    own = [(fs, y) for _, _, fs, y in rows]
+    for k in (0, 1):
+        known = [r for r in own if r[1][k] is not None]
+        counts = {}
+        for fs, _ in known:
+            for f in fs:
+                counts[f] = counts.get(f, 0) + 1
+        g = {f: brute_g2(own, f, k) for f, n in counts.items() if n >= 6}
+        chosen = [g[f] for f in chain.features[k]]
+        assert len(set(chain.features[k])) == 25
+        assert np.allclose(sorted(chosen, reverse=True), sorted(g.values(), reverse=True)[:25], rtol=1e-9, atol=1e-9)
+
+
+def is_optimal(w, x, y):
+    """The gradient of the penalised likelihood is nought."""
+    p = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+    return np.abs(x.T @ (p - y) + w[:-1]).max() < 1e-4 and abs((p - y).sum() + 1e-6 * w[-1]) < 1e-4
+
+
+def test_folds_and_weights_of_the_chain_against_brute_force(spark):
+    """With no limit on features: every model from its rows alone, later ones with the earlier ones' out-of-fold answers."""
+    docs, labels, rows = small(spark)
+    chain = toxicity.fit(docs, labels, ["rude", "threat"], features=100_000, least_docs=6)
+    fold = np.array([r[1] for r in rows])
+    earlier = np.zeros((len(rows), 0))
+    for k in (0, 1):
+        y = np.array([np.nan if r[3][k] is None else r[3][k] for r in rows])
+        known = ~np.isnan(y)
+        out = np.zeros(len(rows))
+        for f in (0, 1, 2, 3, None):
+            use = known & (fold != f) if f is not None else known
+            counts = {}
+            for r in (r for r, u in zip(rows, use) if u):
+                for x in r[2]:
+                    counts[x] = counts.get(x, 0) + 1
+            features = sorted(x for x, n in counts.items() if n >= 6)
+            x = np.hstack([np.array([[u in r[2] for u in features] for r in rows], dtype=float), earlier])
+            if f is None:
+                assert sorted(chain.features[k]) == features
+                place = [chain.features[k].index(u) for u in features]
+                w = np.concatenate([chain.weights[k][:len(features)][place], chain.weights[k][len(features):]])
+                assert is_optimal(w, x[use], y[use])
+            else:
+                w = toxicity.fit_logistic(x[use], y[use])
+                assert is_optimal(w, x[use], y[use])
+                out[fold == f] = 1 / (1 + np.exp(-(x[fold == f] @ w[:-1] + w[-1])))
+        got_p, got_y = chain.held_out[k]
+        assert np.allclose(sorted(zip(got_p, got_y)), sorted(zip(out[known], y[known])), atol=1e-5)
+        earlier = np.hstack([earlier, out[:, None]])
+        # the threshold: of all cuts between two probabilities, one with the best F0.5
+        def f05(t):
+            hit = ((out >= t) & (y == 1)).sum()
+            return 1.25 * hit / ((out[known] >= t).sum() + 0.25 * (y == 1).sum())
+        cuts = np.sort(out[known])
+        best = max(f05(c) for c in cuts)
+        assert chain.thresholds[k] == 0.2 or abs(f05(chain.thresholds[k]) - best) < 1e-9
