@@ -12,6 +12,8 @@ A document is a unit of work of its own: one pass, no shuffle.
 """
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -127,11 +129,23 @@ class Scanner:
         found = [(r.priority, m.start() - m.end(), m.start(), m.end(), r.label, r.weight)
                  for r in self.rules if r.keyword in there for m in r.pattern.finditer(text)]
         kept: list[tuple[int, int, str, float]] = []
+        starts, ends = [], []  # of the kept ones that no other kept one contains; both ascend
         for _, _, start, end, label, weight in sorted(found):
-            if not any(a <= start and end <= b for a, b, _, _ in kept):
-                kept.append((start, end, label, weight))
-        known = [x for x in kept if x[2] != "unknown"]
-        return sorted(x for x in kept if x[2] != "unknown" or not any(a < x[1] and x[0] < b for a, b, *_ in known))
+            at = bisect.bisect_right(starts, start)
+            if at and ends[at - 1] >= end:
+                continue
+            kept.append((start, end, label, weight))
+            first = bisect.bisect_left(starts, start)
+            last = bisect.bisect_right(ends, end, first)
+            starts[first:last], ends[first:last] = [start], [end]
+        known = sorted(x[:2] for x in kept if x[2] != "unknown")
+        begins, reach = [a for a, _ in known], list(itertools.accumulate((b for _, b in known), max))
+
+        def overlapped(start: int, end: int) -> bool:
+            before = bisect.bisect_left(begins, end)
+            return before > 0 and reach[before - 1] > start
+
+        return sorted(x for x in kept if x[2] != "unknown" or not overlapped(x[0], x[1]))
 
     def scan(self, text: bytes):
         """n_words, places of base phrases (first word, label), detections, score."""
@@ -142,10 +156,11 @@ class Scanner:
         normal = b" " + b" ".join(words) + b" "
         places = []
         for phrase, label in self.phrases:
-            at = normal.find(phrase)
+            at, last, word = normal.find(phrase), 0, 0
             while at >= 0:
-                places.append((normal.count(b" ", 0, at), label))
-                at = normal.find(phrase, at + 1)
+                word += normal.count(b" ", last, at)  # blanks since the last place
+                places.append((word, label))
+                last, at = at, normal.find(phrase, at + 1)
         detections = self.detect(normal)
         score = max([0.7 if places else 0.0, *(w for *_, w in detections)])
         return len(words), sorted(places), detections, score
@@ -161,7 +176,8 @@ def scan(docs: DataFrame) -> DataFrame:
     blank), score (the best weight, 0 without any).
 
     Null and empty texts have no words; repeated rows get a row each; other
-    columns are not read.
+    columns are not read; an empty table gives no rows.  A very long text is one
+    task's work, in proportion to its length and n log n for its n detections.
     """
     place = pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())]))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("label", pa.string()), ("weight", pa.float64())]))

@@ -1,6 +1,8 @@
 import re
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from odd_documents import ODD, documents
 
 from pathfold.llm import licenses
@@ -65,3 +67,35 @@ def test_empty_table(spark):
 
 def test_the_other_spelling_is_tried():
     assert licenses.Scanner().scan(b"This text is licenced under foo terms")[2:] == ([(14, 32, "unknown", 0.4)], 0.4)
+
+
+def slow_detect(scanner, text):
+    """Priority and containment by comparing everything with everything."""
+    found = sorted((r.priority, m.start() - m.end(), m.start(), m.end(), r.label, r.weight)
+                   for r in scanner.rules if r.keyword in text for m in r.pattern.finditer(text))
+    kept = []
+    for _, _, a, b, label, weight in found:
+        if not any(x <= a and b <= y for x, y, *_ in kept):
+            kept.append((a, b, label, weight))
+    known = [x for x in kept if x[2] != "unknown"]
+    return sorted(x for x in kept if x[2] != "unknown" or not any(a < x[1] and x[0] < b for a, b, *_ in known))
+
+
+WORDS = "mit license gnu general public apache the under licensed version 2 0 cc by sa nc bsd 3 clause see terms of released spdx identifier x".split()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(WORDS), max_size=60))
+def test_priority_and_containment_against_brute_force(words):
+    scanner = licenses.Scanner()
+    text = " ".join(["", *words, ""]).encode()
+    assert scanner.detect(text) == slow_detect(scanner, text)
+
+
+def test_a_megabyte_of_licenses_takes_little_time():
+    import time
+    scanner, text = licenses.Scanner(), b"mit license " * 90_000
+    began = time.process_time()
+    n, places, found, score = scanner.scan(text)
+    assert time.process_time() - began < 30
+    assert n == 180_000 and [w for w, _ in places] == list(range(0, 180_000, 2)) and len(found) == 90_000
