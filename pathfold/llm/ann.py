@@ -89,12 +89,13 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", ve
     repeated query is answered once; vectors of another length than the query's
     are no candidates for it; an empty table gives no rows.
     """
-    own = staged(usable(vectors, id_col, vec_col).withColumn("dim", F.size("vec")), "ann-vectors")
+    # rows are dealt by a number of their own: those with one id, or one vector, do not meet in a block
+    own = staged(usable(vectors, id_col, vec_col).withColumn("dim", F.size("vec")).withColumn("row", F.monotonically_increasing_id()), "ann-vectors")
     queries = own.where(is_query).dropDuplicates(["id"])
     n, n_queries = own.count(), queries.count()
     blocks, query_blocks = max(1, -(-n // block_rows)), max(1, -(-n_queries // query_rows))
     # each block of vectors meets each block of queries once
-    left = (own.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
+    left = (own.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
             .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
     right = (queries.withColumn("qblock", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(query_blocks)).cast("int"))
              .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))))

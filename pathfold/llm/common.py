@@ -38,6 +38,14 @@ def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(taken: list[str], wanted: str) -> str:
+    """``wanted``, with underscores behind it until no column has that name."""
+    there = {c.lower() for c in taken}
+    while wanted.lower() in there:
+        wanted += "_"
+    return wanted
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key
+from .common import free_name, row_key
 
 
 def _as_row(df: DataFrame, *keep: str, **made: Column) -> DataFrame:
@@ -71,14 +71,17 @@ def repeated(docs: DataFrame, **options) -> DataFrame:
             .groupBy("doc_id", "key").agg(F.collect_set("at").alias("at")))
 
 
-def dedup(docs: DataFrame, **options) -> DataFrame:
+def dedup(docs: DataFrame, told: str = "_dedup", **options) -> DataFrame:
     """``docs`` with its columns, ``text`` without repeated chunks, and a struct
-    ``_dedup`` of n_lines, n_chunks, n_removed and n_removed_lines.
+    ``told`` of n_lines, n_chunks, n_removed and n_removed_lines.
 
     A null or empty text has one empty line and stays as it is; rows alike in
     doc_id and text count as one document and stay alike; other columns are
-    carried along (one named ``_dedup`` must not be there).
+    carried along, whatever their names; one named as ``told`` is refused.  An empty
+    table stays empty.  A very long text is one task's work.
     """
+    if free_name(docs.columns, told) != told:
+        raise ValueError(f"the documents have a column {told}; give another name")
     # the whole row in one column, so that none of its names meets one used here
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text",
                       row_key("doc_id", "text").alias("key"))
@@ -90,8 +93,8 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
     lines = lambda name: F.aggregate(name, F.lit(0), lambda a, c: a + c["n_lines"])
     text = F.when(F.col("at").isNull(), F.col("row")["text"]).otherwise(
         F.array_join(F.transform("kept", lambda c: c["text"]), "\n"))
-    told = F.struct(lines("chunks").alias("n_lines"), F.size("chunks").alias("n_chunks"),
+    counts = F.struct(lines("chunks").alias("n_lines"), F.size("chunks").alias("n_chunks"),
                     (F.size("chunks") - F.size("kept")).alias("n_removed"),
                     (lines("chunks") - lines("kept")).alias("n_removed_lines"))
     return numbered.select(*[text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns],
-                           told.alias("_dedup"))
+                           counts.alias(told))

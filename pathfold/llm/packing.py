@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, ship, text_slices, worker_memory
+from .common import free_name, map_arrow, ship, text_slices, worker_memory
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -261,9 +261,10 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048, bucket_rows: int = 3276
     """Add sequence_id and offset to ``pieces`` (a staged table with a long
     ``length``; columns of these two names are replaced).
 
-    Ties in length are taken in any order; repeated rows are packed each.
+    Ties in length are taken in any order; repeated rows are packed each, and are
+    dealt to buckets by their places in the table, so they do not meet in one.
     """
-    kept = pieces.drop("sequence_id", "offset", "_bucket")
+    kept, bucket_ = pieces.drop("sequence_id", "offset"), free_name(pieces.columns, "_bucket")
     n_buckets = max(1, -(-kept.count() // bucket_rows))
     keys = [c for c in ("doc_id", "piece", "ids_crc32") if c in kept.columns] or kept.columns
     names = kept.columns
@@ -271,12 +272,12 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048, bucket_rows: int = 3276
     schema = kept.schema.add("sequence_id", "long").add("offset", "long")
 
     def pack(pdf):
-        bucket = int(pdf["_bucket"].iloc[0])
+        bucket = int(pdf[bucket_].iloc[0])
         sequence, offset = pack_lengths(pdf["length"].to_numpy(dtype=np.int64), capacity)
         return pdf[names].assign(sequence_id=sequence + (bucket << 32), offset=offset)
 
-    return (kept.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(n_buckets)))
-            .groupBy("_bucket").applyInPandas(pack, schema))
+    return (kept.withColumn(bucket_, F.pmod(F.xxhash64(*keys, F.monotonically_increasing_id()), F.lit(n_buckets)))
+            .groupBy(bucket_).applyInPandas(pack, schema))
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -81,3 +81,13 @@ def test_windows_find_few_when_vectors_are_clustered():
     rows, dist = next(iter(index.nearest(x[:1], 10, np.array([0]), np.arange(5000), 0.55, 1.5)))
     exact = np.argsort(((x - x[0]) ** 2).sum(axis=1), kind="stable")[1:11]
     assert len(set(rows) & set(exact)) >= 9
+
+
+def test_rows_of_one_id_are_spread_over_blocks(spark):
+    """A third of the rows has one id: the result is the same in one block and in many."""
+    r = np.random.default_rng(7)
+    rows = [(5 if i % 3 == 0 else 1000 + i, r.standard_normal(6).tolist()) for i in range(300)] + [(0, [0.1] * 6)]
+    want = [(s, j) for s, j in brute(rows, lambda i: i == 0, 10)[0]]
+    for options in ({}, {"block_rows": 40}):
+        got = by_query(ann.search(table(spark, rows), F.col("id") == 0, share=0.01, **options))[0]
+        assert [j for _, j in got] == [j for _, j in want]

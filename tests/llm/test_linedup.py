@@ -82,3 +82,13 @@ def test_query_matches_its_sql(spark, sf, name):
 def test_native_plans_run_no_python(spark, sf, name):
     plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"))
+
+
+def test_a_column_of_the_reports_name(spark):
+    import corpus_pipeline
+    docs = documents(spark, DOCS).withColumnsRenamed({"row": "_dedup", "marks": "_DEDUP_"})
+    with pytest.raises(ValueError, match="_dedup"):
+        linedup.dedup(docs)
+    assert linedup.dedup(docs, told="counts").columns == [*docs.columns, "counts"]
+    left = corpus_pipeline.drop_repeated_chunks(spark, docs, None)
+    assert left.columns == docs.columns and {r._dedup for r in left.collect()} == {"row"}

@@ -128,3 +128,14 @@ def test_few_sequences(kind):
 def test_too_long_a_piece_is_refused():
     with pytest.raises(ValueError):
         packing.pack_lengths(np.array([5, 11]), 10)
+
+
+def test_rows_alike_are_spread_over_buckets(spark):
+    """A third of all rows is one piece: no bucket gets all of them, and a column of the bucket's name stays."""
+    one = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))
+    pieces = spark.range(9000).select(one.alias("doc_id"), F.lit(0).alias("piece"), F.lit(10).cast("long").alias("length"),
+                                      F.lit(5).cast("long").alias("ids_crc32"), F.lit("mine").alias("_bucket"))
+    got = packing.pack_pieces(staged(pieces, "t"), 100, 1000)
+    assert got.columns == pieces.columns + ["sequence_id", "offset"] and got.where("_bucket = 'mine'").count() == 9000
+    per_bucket = got.where("doc_id = 7").groupBy(F.shiftright("sequence_id", 32).alias("b")).count().collect()
+    assert len(per_bucket) == 9 and max(r["count"] for r in per_bucket) < 600
