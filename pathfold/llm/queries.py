@@ -57,7 +57,7 @@ def op6_minhash_near_dedup(spark, sf_dir):
 
 def op7_line_dedup(spark, sf_dir):
     return linedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
-        "doc_id", *[F.col(f"_dedup.{c}").cast("long").alias(c) for c in ("n_lines", "n_chunks", "n_removed", "n_removed_lines")],
+        "doc_id", *[F.col(f"_dedup.{c}").cast("long").alias(c) for c in ("n_lines", "n_removed", "n_removed_lines")],
         "text")
 
 
@@ -192,25 +192,31 @@ FROM (SELECT doc_id, min(c) AS component_id FROM reach GROUP BY doc_id) LEFT JOI
 
 _SQL7 = r"""WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-marked AS (
-  SELECT *, list_transform(lines, lambda x: CAST('0x' || substr(md5(x), 1, 7) AS BIGINT)) AS h,
-    list_transform(lines, lambda x: len(regexp_extract_all(x, '[^ 	-
-]+')) >= 50) AS big FROM docs),
+marked AS (SELECT *, list_transform(lines, lambda x: CAST('0x' || substr(md5(x), 1, 7) AS BIGINT)) AS h FROM docs),
 cut AS (
-  SELECT *, list_filter(range(1, len(lines) + 1), lambda i: i = 1 OR big[i] OR big[i - 1]
-    OR (CASE WHEN i > 2 THEN h[i - 2] ELSE 0 END * 31 + h[i - 1]) % 3 = 0) AS starts FROM marked),
-chunks AS (
-  SELECT r, doc_id, text AS whole, k, s, e - s AS n_lines, array_to_string(list_slice(lines, s, e - 1), chr(10)) AS chunk, big[s] AS is_big
-  FROM (SELECT *, starts[k] AS s, coalesce(starts[k + 1], len(lines) + 1) AS e
+  SELECT *, list_filter(range(1, len(lines) + 1), lambda i: i = 1
+    OR (CASE WHEN i > 2 THEN h[i - 2] ELSE 0 END * 31 + h[i - 1]) % 16 <> 0) AS starts FROM marked),
+ends AS (
+  SELECT *, CASE WHEN after - s >= 2 THEN after ELSE coalesce(starts[k + 2], len(lines) + 1) END AS e
+  FROM (SELECT *, starts[k] AS s, coalesce(starts[k + 1], len(lines) + 1) AS after
         FROM (SELECT *, unnest(range(1, len(starts) + 1)) AS k FROM cut))),
-able AS (SELECT * FROM chunks WHERE is_big OR (n_lines > 1 AND length(chunk) >= 80)),
-known AS (
-  SELECT chunk, min({'d': doc_id, 't': whole, 'k': k}) AS first FROM able GROUP BY chunk HAVING count(*) > 1),
-gone AS (SELECT r, k FROM able JOIN known USING (chunk) WHERE {'d': doc_id, 't': whole, 'k': k} IS DISTINCT FROM first)
-SELECT doc_id, CAST(sum(n_lines) AS BIGINT) AS n_lines, count(*) AS n_chunks, count(gone.k) AS n_removed,
-  CAST(coalesce(sum(n_lines) FILTER (gone.k IS NOT NULL), 0) AS BIGINT) AS n_removed_lines,
-  coalesce(string_agg(chunk, chr(10) ORDER BY chunks.k) FILTER (gone.k IS NULL), '') AS text
-FROM chunks LEFT JOIN gone USING (r, k) GROUP BY r, doc_id"""
+able AS (
+  SELECT * FROM (SELECT r, doc_id, text, s, e - s AS n, array_to_string(list_slice(lines, s, e - 1), chr(10)) AS chunk FROM ends)
+  WHERE n > 1 AND length(chunk) >= 80
+  UNION ALL
+  SELECT r, doc_id, text, s, 1 AS n, lines[s] AS chunk FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS s FROM docs)
+  WHERE len(regexp_extract_all(lines[s], '[^ \x09-\x0D]+')) >= 50),
+known AS (SELECT chunk, min({'d': doc_id, 't': text, 's': s}) AS first FROM able GROUP BY chunk HAVING count(*) > 1),
+gone AS (SELECT r, s, n FROM able JOIN known USING (chunk) WHERE {'d': doc_id, 't': text, 's': s} IS DISTINCT FROM first),
+lost AS (SELECT DISTINCT r, unnest(range(s, s + n)) AS i FROM gone),
+counts AS (SELECT r, count(*) AS n_removed FROM gone GROUP BY r),
+kept AS (
+  SELECT l.r, string_agg(l.line, chr(10) ORDER BY l.i) FILTER (lost.i IS NULL) AS left_, count(lost.i) AS n_lost
+  FROM (SELECT r, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM docs JOIN counts USING (r)) l
+  LEFT JOIN lost ON lost.r = l.r AND lost.i = l.i GROUP BY l.r)
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_lost, 0) AS n_removed_lines,
+  CASE WHEN n_removed IS NULL THEN text ELSE coalesce(left_, '') END AS text
+FROM docs LEFT JOIN counts USING (r) LEFT JOIN kept USING (r)"""
 
 
 def _sql8() -> str:
