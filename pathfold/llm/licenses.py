@@ -92,6 +92,116 @@ TEXTS = [
     (2, 0.9, "zlib", "warranty", r"provided as is without any express or implied warranty in no event will the authors be held liable"),
     (2, 0.9, "wtfpl", "fuck", r"do what the fuck you want to public license"),
     (2, 0.9, "boost", "boost", r"boost org license 1 0"),
+    # --- sentences of the license texts themselves
+    (1, 1.0, "mit", "sublicense", r"to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense"),
+    (1, 0.9, "mit", "copyright", r"the above copyright notice and this permission notice(?: including the next paragraph)? shall be included in all copies or substantial portions"),
+    (2, 0.7, "mit", "liable", r"in no event shall the authors or copyright holders be liable for any claim damages or other liability"),
+    (2, 0.7, "mit", "merchantability", r"the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability"),
+    (1, 1.0, "bsd", "redistributions", r"redistributions of source code must retain the above copyright notice"),
+    (1, 1.0, "bsd", "redistributions", r"redistributions in binary form must reproduce the above copyright notice"),
+    (1, 1.0, "bsd-4", "advertising", r"all advertising materials mentioning features or use of this software must display"),
+    (2, 0.8, "bsd", "copyright", r"this software is provided by the (?:copyright holders|regents|authors?)(?: and contributors)? as is and any express or implied warranties"),
+    (2, 0.8, "bsd", "endorse", r"may(?: not)? be used to endorse or promote products derived from this software"),
+    (1, 1.0, "isc", "permission", r"provided that the above copyright notice and this permission notice appear in all copies"),
+    (2, 0.8, "isc", "disclaims", r"the author disclaims all warranties with regard to this software"),
+    (1, 1.0, "0bsd", "permission", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted(?= the software)"),
+    (1, 1.0, "zlib", "misrepresented", r"the origin of this software must not be misrepresented"),
+    (1, 1.0, "zlib", "altered", r"altered source versions must be plainly marked as such"),
+    (1, 1.0, "boost", "machine", r"solely in the form of machine executable object code generated by a source language processor"),
+    (1, 1.0, "gpl", "freedom", r"is intended to guarantee your freedom to share and change"),
+    (1, 1.0, "gpl", "merchantability", r"without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license"),
+    (1, 1.0, "lgpl", "merchantability", r"without even the implied warranty of merchantability or fitness for a particular purpose see the gnu lesser general public license"),
+    (1, 1.0, "agpl", "merchantability", r"without even the implied warranty of merchantability or fitness for a particular purpose see the gnu affero general public license"),
+    (2, 0.9, "gpl", "received", r"you should have received a copy of the gnu general public license"),
+    (2, 0.9, "lgpl", "received", r"you should have received a copy of the gnu (?:lesser|library) general public license"),
+    (2, 0.9, "agpl", "received", r"you should have received a copy of the gnu affero general public license"),
+    (2, 0.8, "gpl", "foundation", r"published by the free software foundation either version \d"),
+    (2, 0.9, "gpl", "exception", r"as a special exception(?: \w+){0,12} gnu general public license"),
+    (2, 0.9, "gpl", "classpath", r"gnu general public license(?: \w+){0,6} classpath exception"),
+    (1, 1.0, "gfdl", "invariant", r"with no invariant sections(?: with)? no front cover texts and(?: with)? no back cover texts"),
+    (1, 1.0, "apache", "contributor", r"each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    (2, 0.8, "apache", "distributed", r"distributed under the license is distributed on an as is basis without warranties or conditions of any kind"),
+    (2, 0.9, "apache", "apache", r"this product includes software developed by the apache (?:software foundation|group)"),
+    (1, 1.0, "mpl", "mozilla", r"this source code form is subject to the terms of the mozilla public license"),
+    (2, 0.9, "mpl", "mpl", r"if a copy of the mpl was not distributed with this file"),
+    (2, 0.9, "mpl", "mpl", r"mpl ?v?(?:1 1|2 0)"),
+    (1, 1.0, "epl", "eclipse", r"this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    (2, 0.9, "epl", "epl", r"epl ?v?(?:1 0|2 0)"),
+    (2, 0.9, "epl", "eclipse", r"eclipse org legal epl"),
+    (2, 0.9, "edl", "eclipse", r"eclipse org org documents edl"),
+    (1, 1.0, "cddl", "cddl", r"you may not use this file except in compliance with the(?: \w+){0,8} cddl"),
+    (2, 0.9, "cddl", "cddl", r"cddl ?v?1 [01]"),
+    (1, 1.0, "eupl", "eupl", r"licensed under the eupl"),
+    (2, 0.9, "eupl", "eupl", r"eupl ?v?1 [0-2]"),
+    (1, 1.0, "artistic", "artistic", r"this(?: \w+){1,4} is free software you can redistribute it and or modify it under the(?: terms of the)? artistic license"),
+    (2, 0.9, "perl", "perl", r"under the same terms as perl itself"),
+    (1, 1.0, "ofl", "font", r"this font software is licensed under the sil open font license"),
+    (2, 0.9, "ofl", "ofl", r"(?:sil )?ofl ?1 1"),
+    (2, 0.9, "ofl", "reserved", r"with reserved font names?"),
+    (1, 1.0, "unlicense", "anyone", r"anyone is free to copy modify publish use compile sell or distribute this software"),
+    (1, 1.0, "wtfpl", "everyone", r"everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed"),
+    (2, 0.7, "gpl", "everyone", r"everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    (1, 1.0, "beerware", "beer", r"you can buy me a beer in return"),
+    (1, 1.0, "cc0", "cc0", r"has waived all copyright and related or neighboring rights(?: to(?: \w+){1,6})?(?= .{0,80}cc0)"),
+    (2, 0.9, "cc0", "cc0", r"cc0 1 0 universal"),
+    (2, 0.9, "cc0", "dedication", r"public domain dedication"),
+    (1, 1.0, "cc-by", "commons", r"creative commons attribution \d 0(?: international| unported| generic)?"),
+    (1, 1.0, "cc-by-sa", "commons", r"creative commons attribution share ?alike \d 0(?: international| unported| generic)?"),
+    (1, 1.0, "cc-by-nc", "commons", r"creative commons attribution non ?commercial \d 0(?: international| unported| generic)?"),
+    (1, 1.0, "cc-by-nc-sa", "commons", r"creative commons attribution non ?commercial share ?alike(?: \d 0)?(?: international| unported| generic)?"),
+    (1, 1.0, "cc-by-nc-nd", "commons", r"creative commons attribution non ?commercial no ?deriv(?:ative)?s(?: \d 0)?(?: international| unported| generic)?"),
+    (1, 1.0, "cc-by-nd", "commons", r"creative commons attribution no ?deriv(?:ative)?s(?: \d 0)?(?: international| unported| generic)?"),
+    (2, 0.8, "cc-by", "adapt", r"you are free to(?: \w+){0,6} adapt(?: \w+){0,20} as long as you give appropriate credit"),
+    (2, 0.8, "cc-by", "credit", r"you must give appropriate credit provide a link to the license and indicate if changes were made"),
+    (2, 0.9, "cc-by-nc", "commercial", r"you may not use the material for commercial purposes"),
+    (2, 0.9, "cc-by-nd", "remix", r"if you remix transform or build upon the material you may not distribute the modified material"),
+    (2, 0.9, "cc-by-sa", "remix", r"if you remix transform or build upon the material you must distribute your contributions under the same license"),
+    (1, 1.0, "odbl", "opendatacommons", r"opendatacommons org licenses odbl"),
+    (1, 1.0, "odc-by", "opendatacommons", r"opendatacommons org licenses by"),
+    (1, 1.0, "pddl", "opendatacommons", r"opendatacommons org licenses pddl"),
+    (1, 1.0, "cdla", "data", r"community data license agreement(?: permissive| sharing)?"),
+    (1, 1.0, "ogl", "government", r"open government licen[cs]e(?: v ?\d(?: 0)?)?"),
+    (1, 1.0, "psf", "python", r"this license agreement is between the python software foundation"),
+    (1, 1.0, "php", "php", r"this (?:source file|software) is subject to(?: version \d(?: \d+)? of)? the php license"),
+    (2, 0.9, "php", "php", r"this product includes php software freely available from"),
+    (1, 1.0, "openssl", "openssl", r"this product includes software developed by the openssl project"),
+    (1, 1.0, "ssleay", "eric", r"this product includes cryptographic software written by eric young"),
+    (1, 1.0, "postgresql", "postgresql", r"postgresql database management system(?: \w+){0,20} permission to use copy modify and distribute this software"),
+    (1, 1.0, "ncsa", "illinois", r"university of illinois(?: \w+){0,6} open source license"),
+    (1, 1.0, "w3c", "w3c", r"this work is being provided by the copyright holders under the following license(?: .{0,60})? w3c"),
+    (1, 1.0, "vim", "vim", r"there are no restrictions on distributing unmodified copies of vim"),
+    (1, 1.0, "json", "evil", r"the software shall be used for good not evil"),
+    (1, 1.0, "curl", "stenberg", r"copyright c(?: \d+){1,3} daniel stenberg"),
+    (1, 1.0, "ms-pl", "microsoft", r"this license governs use of the accompanying software(?= .{0,200}microsoft public)"),
+    (1, 1.0, "sspl", "sspl", r"sspl ?v?1?"),
+    (1, 1.0, "sspl", "server", r"server side public license"),
+    (1, 1.0, "bsl", "change", r"on the change date(?: \w+){0,12} change license"),
+    (1, 1.0, "bsl", "busl", r"busl ?1 1"),
+    (1, 1.0, "elastic", "hosted", r"you may not provide the software to third parties as a hosted or managed service"),
+    (1, 1.0, "commons-clause", "commons", r"commons clause license condition"),
+    (1, 1.0, "polyform", "polyform", r"polyform (?:noncommercial|shield|strict|small business|perimeter) license"),
+    (1, 1.0, "openrail", "openrail", r"(?:creativeml |bigscience |bigcode )?openrail(?: [ms])?"),
+    (1, 1.0, "cecill", "cecill", r"under french law and abiding by the rules of distribution of free software(?= .{0,300}cecill)"),
+    (1, 1.0, "mulan", "mulan", r"you can use this software according to the terms and conditions of the mulan psl"),
+    (1, 1.0, "upl", "universal", r"the universal permissive license upl"),
+    (1, 1.0, "hpnd", "hpnd", r"historical permission notice and disclaimer(?= .{0,40}hpnd)"),
+    (1, 1.0, "osl", "osl", r"osl ?3 0"), (1, 1.0, "afl", "afl", r"afl ?(?:2 1|3 0)"),
+    (1, 1.0, "ecl", "educational", r"educational community license(?: version 2 0)?"),
+    (1, 1.0, "naist", "nara", r"nara institute of science and technology(?: \w+){0,10} permission to use copy"),
+    (1, 1.0, "unicode", "unicode", r"unicode (?:license agreement data files and software|data files or unicode software)"),
+    (1, 1.0, "tcl", "terms", r"the following terms apply to all files associated with the software unless explicitly disclaimed in individual files"),
+    (1, 1.0, "ijg", "jpeg", r"this software is based in part on the work of the independent jpeg group"),
+    (1, 1.0, "freetype", "freetype", r"portions of this software are copyright(?: c)?(?: \w+){0,3} the freetype project"),
+    (2, 0.6, "public-domain", "domain", r"this (?:file|work|code|software|program|document)(?: \w+){0,3} (?:is )?in the public domain"),
+    (2, 0.6, "public-domain", "domain", r"no copyright is claimed(?: \w+){0,12} public domain"),
+    (3, 0.8, "proprietary", "confidential", r"this (?:document|file|software|code) contains confidential(?: and proprietary)? information"),
+    (3, 0.8, "proprietary", "prohibited", r"unauthori[sz]ed (?:copying|reproduction|distribution|use)(?: \w+){0,10} (?:is )?strictly prohibited"),
+    (3, 0.7, "proprietary", "permission", r"(?:may not|no part(?: \w+){1,4} may) be (?:reproduced|copied|distributed)(?: \w+){0,14} without(?: the)?(?: prior)?(?: express)?(?: written)? permission"),
+    (3, 0.8, "proprietary", "end", r"end user licen[cs]e agreement"),
+    (3, 0.7, "proprietary", "internal", r"for internal use only"),
+    (3, 0.7, "proprietary", "trade", r"contains trade secrets(?: \w+){0,8} property of"),
+    (4, 0.6, "non-commercial", "commercial", r"for non ?commercial (?:use|purposes) only"),
+    (4, 0.6, "academic", "research", r"for (?:academic|research)(?: and (?:academic|research|educational))? (?:use|purposes) only"),
     (5, 0.4, "unknown", "license", r"licen[cs]ed under (?:the )?\w+"),
     (5, 0.4, "unknown", "licence", r"licenced under (?:the )?\w+"),  # the same without any "license" in the text
 ]

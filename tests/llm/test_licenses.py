@@ -99,3 +99,34 @@ def test_a_megabyte_of_licenses_takes_little_time():
     n, places, found, score = scanner.scan(text)
     assert time.process_time() - began < 30
     assert n == 180_000 and [w for w, _ in places] == list(range(0, 180_000, 2)) and len(found) == 90_000
+
+
+@pytest.mark.parametrize("label,text", [
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of it."),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list"),
+    ("bsd-4", "All advertising materials mentioning features or use of this software must display the following"),
+    ("zlib", "The origin of this software must not be misrepresented;"), ("gpl", "You should have received a copy of the GNU General Public License along"),
+    ("lgpl", "you should have received a copy of the GNU Lesser General Public License"), ("mpl", "If a copy of the MPL was not distributed with this file, You can"),
+    ("epl", "made available under EPL-2.0"), ("eupl", "Licensed under the EUPL, Version 1.2"), ("perl", "under the same terms as Perl itself"),
+    ("ofl", "This Font Software is licensed under the SIL Open Font License, Version 1.1."), ("json", "The Software shall be used for Good, not Evil."),
+    ("cc-by-nc-nd", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International"), ("cc-by-sa", "Creative Commons Attribution-ShareAlike 3.0 Unported"),
+    ("odbl", "https://opendatacommons.org/licenses/odbl/"), ("ogl", "Open Government Licence v3.0"), ("bsl", "SPDX BUSL-1.1 applies"),
+    ("commons-clause", "\"Commons Clause\" License Condition v1.0"), ("openrail", "the CreativeML OpenRAIL-M model"), ("ecl", "Educational Community License, Version 2.0"),
+    ("beerware", "you can buy me a beer in return"), ("proprietary", "Unauthorized copying of this file, via any medium is strictly prohibited"),
+    ("non-commercial", "for non-commercial use only"), ("vim", "There are no restrictions on distributing unmodified copies of Vim"),
+    ("unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software")])
+def test_wordings(label, text):
+    _, _, found, score = licenses.Scanner().scan(text.encode())
+    assert label in {x[2] for x in found} and score >= 0.4
+
+
+def test_every_rule_has_its_keyword_and_leaves_prose_alone():
+    scanner = licenses.Scanner()
+    assert len(licenses.TEXTS) >= 140 and len(scanner.rules) == len(licenses.TEXTS) + len(licenses.NAMES) * len(licenses.FORMS)
+    for _, _, label, keyword, pattern in licenses.TEXTS:
+        plain = re.sub(r"licen\[cs\]e", keyword if keyword in ("license", "licence") else "license", pattern)
+        assert keyword in plain, (label, keyword)
+    prose = "It rained all day, and the free people of the common house read the open book under the old tree, as is their right.".encode()
+    assert scanner.scan(prose)[2] == [] and scanner.scan(b"")[2] == []
+    for rule in scanner.rules:
+        assert not rule.pattern.search(b"  ")
