@@ -15,13 +15,14 @@ leave one sequence partly filled, one in several thousand.
 """
 from __future__ import annotations
 
-import re
+import codecs
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,14 +30,26 @@ from .common import free_name, map_arrow, ship, text_slices, worker_memory
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
-#: a punctuation run that may be encoded apart from the letters before it
-_PUNCTUATION = b".,;:!?|"
-_COMPOSING = re.compile(rb"[\xcc\xcd][\x80-\xbf]")
-
+#: ASCII but white space, controls, digits and letters: a run of these after a letter is encoded apart
+_PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 #: bytes that a remembered word takes beside its letters and ids: two objects and their place in a dict
 _ENTRY = 164
 
+#: words encoded together, and the bytes of the longest word that is
+_TOGETHER, _LONG = 512, 256
+
+
+def _byte_letters() -> str:
+    """The letter by which a byte-level tokenizer writes each of the 256 bytes; a blank stays."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    at = dict(zip(own + rest, own + list(range(256, 256 + len(rest))))) | {32: 32}
+    return "".join(chr(at[b]) for b in range(256))
+
+
+_BYTE_LETTERS = _byte_letters()
+
 
 class WordEncoder:
     """Token ids of blank-separated words as little-endian 32-bit bytes, remembered.
@@ -46,84 +59,130 @@ class WordEncoder:
     two generations: when the younger has half of ``memory_mb`` (words, ids and
     what Python needs to keep them), it takes the place of the older, whose words
     are forgotten unless they were met again.  What is remembered thus stays below
-    ``memory_mb`` and the new words of one slice of text.  New words that are
-    letters only are encoded together: each ends with exactly one end-of-word token.
+    ``memory_mb`` and the new words of one slice of text.  Texts are split and their
+    words numbered by Arrow, so a word is looked up once a slice.  New words are
+    encoded many at a time; words of ``letters`` (European letters that the tokenizer
+    only lower-cases, as asked of it for each) go to its model without its
+    normalizer and pattern.
     """
 
     def __init__(self, path: str, memory_mb: float):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.letters = {c for c in map(chr, range(0x41, 0x530)) if c.isalpha() and self._is_plain(c)}
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.most, self.held = memory_mb * (1 << 19), 0.0
 
+    def _is_plain(self, c: str) -> bool:
+        """Whether the model gives the tokenizer's ids for ``c`` in lower case, between letters and at the end."""
+        word = f"a{c}a{c}"
+        # (a sigma in upper case is lowered by its place)
+        return c != "\u03a3" and np.array_equal(self._encode(word), self._encode_plain([word.encode()]))
+
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def _learn(self, words: set[bytes]) -> None:
-        known, parts = self.known, {}
-        bases = set()
-        for word in words:
-            base = word.rstrip(_PUNCTUATION)
-            # a run of punctuation after an ASCII letter is a token run of its own
-            if base and len(base) < len(word) and 97 <= base[-1] | 32 <= 122:
-                parts[word] = (base, word[len(base):])
-                bases.update(parts[word])
+    def _encode_plain(self, words: list[bytes]) -> np.ndarray:
+        low = b" ".join(words).decode().lower().encode()
+        text = codecs.charmap_decode(low, "strict", _BYTE_LETTERS)[0]
+        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _learn_each(self, words: list[bytes]) -> None:
+        """Words of any kind, each a sequence of its own to the tokenizer."""
+        for i in range(0, len(words), _TOGETHER):
+            some = words[i:i + _TOGETHER]
+            texts = [w.decode("utf-8", "replace") for w in some]
+            found = self.tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
+            ends = np.cumsum(np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(some)))
+            self._keep(some, np.array(found.ids, dtype="<u4"), ends)
+
+    def _learn_together(self, words: list[bytes], encode) -> None:
+        """Words of letters: each ends with the one end-of-word token it has."""
+        for i in range(0, len(words), _TOGETHER):
+            some = words[i:i + _TOGETHER]
+            ids = encode(some)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                self._keep(some, ids, ends)
+            else:  # a letter the tokenizer splits on
+                self._learn_each(some)
+
+    def _keep(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        known, run, at = self.known, ids.tobytes(), 0
+        for word, end in zip(words, (ends * 4).tolist()):
+            known[word] = run[at:end]
+            at = end
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Different words, none of them known."""
+        known, older, is_plain = self.known, self.older, self.letters.issuperset
+        new, bases, parts = [], set(), []
+        for word, ids in zip(words, map(older.get, words)):
+            if ids is not None:
+                known[word] = ids
+            elif word.isalpha():  # ASCII letters
+                new.append(word)
             else:
-                bases.add(word)
-        letters = []
-        for word in bases - known.keys():
-            if word in self.older:
-                known[word] = self.older[word]
-                continue
-            text = word.decode("utf-8", "replace")
-            if len(text) <= 64 and text.isalpha():
-                letters.append((word, text))
+                base = word.rstrip(_PUNCTUATION)
+                # a run of punctuation after a letter is a token run of its own
+                if base and len(base) < len(word) and (97 <= base[-1] | 32 <= 122 or is_plain(base.decode("utf-8", "replace"))):
+                    rest = word[len(base):]
+                    parts.append((word, base, rest))
+                    bases.add(base)
+                    bases.add(rest)
+                else:
+                    new.append(word)
+        bases.difference_update(new)
+        for word in bases:
+            if word not in known:
+                if word in older:
+                    known[word] = older[word]
+                else:
+                    new.append(word)
+        plain, letters, each = [], [], []
+        for word in new:
+            if not 0 < len(word) <= _LONG:
+                known[word] = self._encode(word.decode("utf-8", "replace")).tobytes()
+            elif is_plain(text := word.decode("utf-8", "replace")):
+                plain.append(word)
             else:
-                known[word] = self._encode(text).tobytes()
-        for i in range(0, len(letters), 4096):
-            some = letters[i:i + 4096]
-            ids = self._encode(" ".join(t for _, t in some))
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(some) and (not len(ids) or ends[-1] == len(ids)):
-                run, at = ids.tobytes(), 0
-                for (word, _), end in zip(some, (ends * 4).tolist()):
-                    known[word] = run[at:end]
-                    at = end
-            else:  # a letter the tokenizer splits on: one by one
-                for word, text in some:
-                    known[word] = self._encode(text).tobytes()
-        for word, (base, rest) in parts.items():
+                (letters if text.isalpha() else each).append(word)
+        self._learn_together(plain, self._encode_plain)
+        self._learn_together(letters, lambda some: self._encode(b" ".join(some).decode()))
+        self._learn_each(each)
+        for word, base, rest in parts:
             known[word] = known[base] + known[rest]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        # composing marks may join with a letter differently in lower case
-        split = [(t if _COMPOSING.search(t) else t.lower()).split() for t in texts]
+        # composing marks (these bytes begin them) may join with a letter differently in lower case
+        low = pa.array([t if b"\xcc" in t or b"\xcd" in t else t.lower() for t in texts], pa.binary())
+        split = pc.ascii_split_whitespace(low.view(pa.string()))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()
         if self.held > self.most:
             self.known, self.older, self.held = {}, self.known, 0.0
-        known, older = self.known, self.older
-        get = known.get
-        found = [list(map(get, words)) for words in split]
-        new = set()
-        for words, ids in zip(split, found):
-            if None in ids:
-                new.update(w for w, x in zip(words, ids) if x is None)
+        known = self.known
+        found = list(map(known.get, words))
+        new = [w for w, ids in zip(words, found) if ids is None]
         if new:
-            again, before = new & older.keys(), len(known)
-            known.update((w, older[w]) for w in again)
-            self._learn(new - again)
+            before = len(known)
+            self._learn(new)
             added = len(known) - before  # the parts of words, too
             self.held += added * (_ENTRY + sum(len(w) + len(known[w]) for w in new) / len(new))
-            for words, ids in zip(split, found):
-                while None in ids:
-                    at = ids.index(None)
-                    ids[at:] = [known[w] if x is None else x for w, x in zip(words[at:], ids[at:])]
-        return [b"".join(ids) for ids in found]
+            found = [known[w] if ids is None else ids for w, ids in zip(words, found)]
+        of_words = pa.array(found, pa.large_binary()).take(coded.indices)
+        _, offsets, data = of_words.buffers()
+        run = memoryview(data or b"")
+        at = np.frombuffer(offsets, dtype=np.int64)[split.offsets.to_numpy()].tolist() if len(of_words) else [0] * (len(texts) + 1)
+        return [bytes(run[i:j]) for i, j in zip(at[:-1], at[1:])]
 
 
 def encoder(path: str, memory_mb: float) -> WordEncoder:

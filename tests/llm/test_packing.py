@@ -90,6 +90,41 @@ def test_remembered_words_give_the_tokenizers_ids(tokenizer, texts):
         array.array("I", tokenizer.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
 
 
+class Counting:
+    """A tokenizer whose calls are counted."""
+
+    def __init__(self, own):
+        self.own, self.calls = own, 0
+
+    def encode(self, *args, **named):
+        self.calls += 1
+        return self.own.encode(*args, **named)
+
+
+@pytest.mark.parametrize("kind", ["letters", "marks", "digits"])
+def test_new_words_are_encoded_many_at_a_time(tokenizer, kind):
+    """Words of any kind, 1200 of each, each new: the tokenizer is not called once a word."""
+    form = {"letters": "é{0}ñ", "marks": "e{0}ü%%%", "digits": "{0}.7"}[kind]
+    texts = [" ".join(form.format(f"{a}{b}{c}") for c in "etaoinshrdlu") for a in "abcdefghij" for b in "abcdefghij"]
+    words = packing.WordEncoder(tokenizer_path(), 10)
+    words.tokenizer = Counting(words.tokenizer)
+    assert words.encode([t.encode() for t in texts]) == [
+        array.array("I", tokenizer.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+    assert words.tokenizer.calls < 20
+
+
+def test_every_letter_and_mark_in_words(tokenizer):
+    """Each character to U+1200 within a word and beside marks, in both cases."""
+    marks = "".join(chr(b) for b in range(33, 127) if not chr(b).isalnum())
+    chars = [chr(c) for c in range(0x21, 0x1200)]
+    texts = [f"x{c}y {c} {c}{c.upper()}a{c} ab{c}{marks[i % 32]} B{c}{marks[i % 31:i % 31 + 3]}" for i, c in enumerate(chars)]
+    texts += [f"ab{m}{n} é{m}{n} {m}{n}s {m}a{n} a{m}ll{n}" for m in marks for n in marks]
+    texts += ["", " ", "a" * 257, "é" * 129 + "..", "x" + "%" * 300, "Σας ΣΑΣ. ΟΔΟΣ", "<|endoftext|> a<|startoftext|>%", "\x00a \x7fb! c\x0bd"]
+    ids = packing.WordEncoder(tokenizer_path(), 10).encode([t.encode() for t in texts])
+    for text, got in zip(texts, ids):
+        assert got == array.array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes(), text
+
+
 def test_remembered_words_stay_in_their_bound(tokenizer):
     """More words than fit: both generations together are below the bound, but for one slice's new words."""
     words, sizes = packing.WordEncoder(tokenizer_path(), 0.4), []
