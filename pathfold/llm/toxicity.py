@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 
 from .common import alnum_words, map_arrow, staged, text_slices
 
+#: features that a task counts before it hands the sums on
+_COUNTED = 50_000
+
 #: shares of a document's words that a unit must reach, by level
 LEVELS = (0.0, 1 / 100, 1 / 30)
 PREFIXES = range(4, 9)
@@ -153,10 +156,11 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], sample_rows:
         n: dict = {}
 
         def told():
-            columns = [[k[j] for k in n] for j in range(3)] + [[v[j] for v in n.values()] for j in range(2 * len(ys))]
-            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+            keys, sums_ = list(n), list(n.values())
             n.clear()
-            return batch
+            for at in range(0, len(keys), 10_000):
+                columns = [*zip(*keys[at:at + 10_000]), *zip(*sums_[at:at + 10_000])]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
         for batch, texts in text_slices(batches, 0):
             folds_, own_ys = batch.column("fold").to_pylist(), [batch.column(y).to_pylist() for y in ys]
@@ -168,10 +172,10 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], sample_rows:
                         if v is not None:
                             own_n[2 * k] += v
                             own_n[2 * k + 1] += 1
-                if len(n) > 200_000:  # the sums go on behind the shuffle
-                    yield told()
+                if len(n) > _COUNTED:  # the sums go on behind the shuffle
+                    yield from told()
         if n:
-            yield told()
+            yield from told()
 
     schema = "unit binary, level int, fold int, " + ", ".join(f"{y}_pos double, {y} double" for y in ys)
     counts = map_arrow(rows, counted, schema)

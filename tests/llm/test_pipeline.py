@@ -1,4 +1,7 @@
 """Every stage of the pipeline against brute force on what the stage before it kept."""
+import contextlib
+import io
+
 import pytest
 from odd_documents import ODD, documents
 from test_decontam import brute as contaminated
@@ -7,7 +10,7 @@ from test_neardup import brute as components
 from test_packing import check, pieces_of
 
 import corpus_pipeline as P
-from pathfold.llm import toxicity
+from pathfold.llm import common, decontam, neardup, packing, toxicity
 from pathfold.llm.common import staged, table
 from pathfold.llm.queries import CAPACITY, CATEGORIES, tokenizer_path
 
@@ -75,3 +78,43 @@ def test_empty_documents(spark, sf):
     for _, stage in P.STAGES:
         docs = staged(stage(spark, docs, sf), "t")
     assert docs.count() == 0
+
+
+def python_steps_at_once(df):
+    """Most steps in Python of the frame's plan without an exchange between them, which a task has open together."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    most, above = 0, []  # (place in the line, steps since the exchange above)
+    for line in out.getvalue().splitlines():
+        at = len(line) - len(line.lstrip(" :+-*"))
+        name = line[at:].split(") ", 1)[-1] if line[at:].startswith("(") else line[at:]
+        while above and above[-1][0] >= at:
+            above.pop()
+        n = above[-1][1] if above else 0
+        n = 0 if "Exchange" in name.split(" ")[0] else n + name.startswith(("MapInArrow", "FlatMapGroups", "MapInPandas"))
+        above.append((at, n))
+        most = max(most, n)
+    return most
+
+
+def test_a_task_has_one_python_worker(spark, sf, monkeypatch):
+    """Steps in Python right on one another take two workers a core, all of which stay (the pipeline was stopped at 3010 MB)."""
+    steps, map_arrow = [], common.map_arrow
+
+    def seen(df, run, schema, **more):
+        out = map_arrow(df, run, schema, **more)
+        steps.append(python_steps_at_once(out))
+        return out
+
+    for module in (decontam, neardup, packing, toxicity):
+        monkeypatch.setattr(module, "map_arrow", seen)
+    docs = table(spark, sf, "documents")
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, sf)
+        steps.append(python_steps_at_once(out))
+        docs = staged(out, "t")
+    crowded = documents(spark, [(i, f"{' '.join(f'w{k}' for k in range(40))} x{i}") for i in range(30)])
+    links = neardup.near_duplicates(crowded, crowd=3, group_rows=4)
+    assert {(r.component_id, r.kept) for r in links.collect()} == {(0, True), (0, False)}
+    assert max(steps) == 1 and len(steps) > 15

@@ -2,7 +2,7 @@ import numpy as np
 from odd_documents import ODD, documents
 from pyspark.sql import functions as F
 
-from pathfold.llm import toxicity
+from pathfold.llm import common, toxicity
 from pathfold.llm.queries import CATEGORIES, op4_toxicity
 
 SF = "/root/testdata/sf0.01"
@@ -162,3 +162,23 @@ def test_folds_and_weights_of_the_chain_against_brute_force(spark):
         cuts = np.sort(out[known])
         best = max(f05(c) for c in cuts)
         assert chain.thresholds[k] == 0.2 or abs(f05(chain.thresholds[k]) - best) < 1e-9
+
+
+def test_a_worker_holds_the_texts_of_one_slice(monkeypatch):
+    import pyarrow as pa
+    texts = ["a" * 700, None, "", "é" * 200, "b" * 5000, *["c" * 100] * 50]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    held, utf8 = [], common.utf8
+    monkeypatch.setattr(common, "utf8", lambda column: held.append(utf8(column)) or held[-1])
+    slices = list(common.text_slices([batch.slice(0, 3), batch.slice(3), batch.slice(0, 0)], 1, 1000))
+    assert [t for _, some in slices for t in some] == [(t or "").encode() for t in texts]
+    assert [i for part, _ in slices for i in part.column(0).to_pylist()] == list(range(len(texts)))
+    assert all(len(some) == 1 or sum(map(len, some)) < 1000 for some in held) and len(held) == len(slices) > 7
+
+
+def test_counts_told_in_parts_add_up(spark, monkeypatch):
+    docs, labels = made(spark, 200)
+    whole = toxicity.fit(docs, labels, ["rude", "threat"], least_docs=4)
+    monkeypatch.setattr(toxicity, "_COUNTED", 50)
+    parts = toxicity.fit(docs, labels, ["rude", "threat"], least_docs=4)
+    assert parts.features == whole.features and parts.thresholds == whole.thresholds
